@@ -376,6 +376,10 @@ def event_places(spark, folder):
 # --- demand ----------------------------------------------------------------------
 
 
+def _clock_trips(spark, folder):
+    return enrichment.add_calendar(standins.clock_trips(spark, folder))
+
+
 @query
 def hourly_demand(spark, folder):
     return demand.hourly_demand(standins.clock_trips(spark, folder))
@@ -383,12 +387,12 @@ def hourly_demand(spark, folder):
 
 @query
 def lag_demand(spark, folder):
-    return demand.training_rows(standins.clock_trips(spark, folder))
+    return demand.training_rows(_clock_trips(spark, folder))
 
 
 def _weather_trips(spark, folder):
     site = (F.col("start_station_id") % 25).cast("string").alias("weather_station_id")
-    trips = enrichment.add_calendar(standins.clock_trips(spark, folder)).select("*", site)
+    trips = _clock_trips(spark, folder).select("*", site)
     return enrichment.attach_weather(trips, standins.weather(spark, folder))
 
 
@@ -410,13 +414,13 @@ def key_split(spark, folder):
 
 @query
 def model_metrics(spark, folder):
-    rows = demand.training_rows(standins.clock_trips(spark, folder))
+    rows = demand.training_rows(_clock_trips(spark, folder))
     return forecasting.forecast_demand(rows).metrics
 
 
 @query
 def model_predictions(spark, folder):
-    rows = demand.training_rows(standins.clock_trips(spark, folder))
+    rows = demand.training_rows(_clock_trips(spark, folder))
     predictions = forecasting.forecast_demand(rows).predictions
     scored = [df.withColumn("model", F.lit(name)) for name, df in predictions.items()]
     return scored[0].unionByName(scored[1]).unionByName(scored[2])

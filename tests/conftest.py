@@ -1,0 +1,40 @@
+import os
+import sys
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = (
+        SparkSession.builder.master("local[4]")
+        .appName("tests")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("OFF")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def rows():
+    """Rows of a frame as a sorted list of tuples."""
+
+    def collect(df, *columns):
+        chosen = df.select(*columns) if columns else df
+        return sorted((tuple(r) for r in chosen.collect()), key=repr)
+
+    return collect
+
+
+def executed_plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()

@@ -8,9 +8,11 @@ from tripstats.operators.lookup import BROADCAST_BYTES, SALTS, measured_bytes, s
 
 INLINE_SITES = 256
 
-# Depths of the search, in halvings of the box around the unit sphere.  The last
-# gives cells about 12 m wide.
+# Depths of the search, in halvings of the box around the unit sphere.  The first
+# has at most 512 cells; those of the last are about 12 m wide.
 _DEPTHS = (3, 6, 9, 12, 15, 18, 20)
+_FEW_CELLS = 64
+_FEW_SPOTS = 32
 
 
 def nearest_site(
@@ -81,50 +83,42 @@ def _search(
 ) -> DataFrame:
     """Branch and bound over nested cubic cells.
 
-    A point starts with the whole box and trades, depth by depth, each of its
-    cells for the occupied cells inside.  The far corner of an occupied cell
-    bounds the nearest site from above; cells that begin beyond the best bound are
-    given up.  So a point only ever meets the few cells that can still hold its
-    nearest site, however many sites crowd elsewhere.
+    A point starts with the occupied cells of a coarse grid and trades, depth by
+    depth, each of its cells for the occupied cells inside.  The far corner of an
+    occupied cell bounds the nearest site from above; cells that begin beyond the
+    best bound are given up.  So a point only ever meets the few cells that can
+    still hold its nearest site, however many sites crowd elsewhere.
     """
     # Sites at one spot compete as one and are told apart at the end.
     spots = places.groupBy("_lat", "_lng").agg(F.min("_id").alias("_id"))
     spots = spots.select("*", *_named("_s", F.col("_lat"), F.col("_lng")))
-    state = points.select(
-        "*",
-        *_named("_p", F.col("latitude"), F.col("longitude")),
-        F.lit(0).cast("long").alias("_cell"),
-    )
-    carried = state.drop("_cell").columns
-
-    # No table joined below has more rows than there are sites, nor wider ones.
-    if measured_bytes(spots) <= broadcast_bytes:
+    # No table joined below has more rows than there are sites, nor rows more than
+    # twice as wide.
+    small = 2 * measured_bytes(places) <= broadcast_bytes
 
-        def join(many, few, on):
+    def join(many: DataFrame, few: DataFrame, on: list[str]) -> DataFrame:
+        if small:
             return many.join(F.broadcast(few), on)
-    else:
-
-        def join(many, few, on):
-            return salted_join(many, few, on, list(key), salts)
-
-    same_point = Window.partitionBy(*key)
-    depth = 0
-    for deeper in _DEPTHS:
-        cells = spots.select(
-            _cell_at(depth).alias("_cell"), _cell_at(deeper).alias("_child")
+        return salted_join(many, few, on, list(key), salts)
+
+    depths = _useful_depths(spots)
+    vectors = points.select("*", *_named("_p", F.col("latitude"), F.col("longitude")))
+    # At most a few hundred cells, whatever the number of sites.
+    coarse = [row[0] for row in spots.select(_cell_at(depths[0])).distinct().collect()]
+    state = vectors.withColumn("_cell", F.explode(F.lit(coarse).cast("array<long>")))
+    state = _still_possible(state, depths[0], key)
+    for depth, deeper in zip(depths, depths[1:]):
+        inner = spots.select(
+            _cell_at(depth).alias("_cell"), _cell_at(deeper).alias("_inner")
         ).distinct()
-        near, far = _chord_sq_range(deeper)
-        opened = join(state, cells, ["_cell"]).withColumn("_near", near)
-        bounded = opened.withColumn("_bound", F.min(far).over(same_point))
-        # The slack keeps sites whose rounded distances tie.
-        possible = bounded.filter(F.col("_near") <= F.col("_bound") * (1 + 1e-6) + 1e-18)
-        state = possible.select(*carried, F.col("_child").alias("_cell"))
-        depth = deeper
-
-    inside = spots.select("_id", "_lat", "_lng", _cell_at(depth).alias("_cell"))
+        opened = join(state, inner, ["_cell"]).drop("_cell").withColumnRenamed("_inner", "_cell")
+        state = _still_possible(opened, deeper, key)
+
+    inside = spots.select("_id", "_lat", "_lng", _cell_at(depths[-1]).alias("_cell"))
     measured = join(state, inside, ["_cell"]).withColumn(
         "_distance", _distance_to(F.col("_lat"), F.col("_lng"))
     )
+    same_point = Window.partitionBy(*key)
     if ties == "first":
         order = same_point.orderBy("_distance", "_id")
         return measured.withColumn("_n", F.row_number().over(order)).filter("_n = 1")
@@ -132,24 +126,46 @@ def _search(
     return join(nearest.filter("_n = 1").drop("_id"), places, ["_lat", "_lng"])
 
 
+def _still_possible(state: DataFrame, depth: int, key: tuple[str, ...]) -> DataFrame:
+    """Drop the cells that cannot hold the nearest site of their point."""
+    near, far = _chord_sq_range(depth)
+    best = F.min("_far").over(Window.partitionBy(*key))
+    bounded = state.withColumns({"_near": near, "_far": far}).withColumn("_best", best)
+    # The slack keeps sites whose rounded distances tie.
+    possible = bounded.filter(F.col("_near") <= F.col("_best") * (1 + 1e-6) + 1e-18)
+    return possible.drop("_near", "_far", "_best")
+
+
+def _useful_depths(spots: DataFrame) -> tuple[int, ...]:
+    """The depths from the last with few occupied cells to the first where no cell
+    holds many spots.  A choice of speed only: any depths give the same result."""
+    levels = F.array(
+        *(F.struct(F.lit(d).alias("depth"), _cell_at(d).alias("cell")) for d in _DEPTHS)
+    )
+    held = spots.select(F.inline(levels)).groupBy("depth", "cell").count()
+    measured = held.groupBy("depth").agg(F.count("*").alias("cells"), F.max("count").alias("most"))
+    rows = {row["depth"]: row for row in measured.collect()}
+    first = max((d for d in _DEPTHS if rows[d]["cells"] <= _FEW_CELLS), default=_DEPTHS[0])
+    last = min((d for d in _DEPTHS if rows[d]["most"] <= _FEW_SPOTS), default=_DEPTHS[-1])
+    return tuple(d for d in _DEPTHS if first <= d <= max(first, last))
+
+
 def _named(prefix: str, lat: Column, lng: Column) -> list[Column]:
     return [axis.alias(prefix + name) for name, axis in zip("xyz", unit_vector(lat, lng))]
 
 
 def _cell_at(depth: int) -> Column:
     """Key of the cell a spot lies in after ``depth`` halvings of the box."""
-    if depth == 0:
-        return F.lit(0).cast("long")
     top = F.lit(2**depth - 1)
     numbers = (F.floor((F.col(f"_s{a}") + 1) * 2.0 ** (depth - 1)) for a in "xyz")
     return cell_key(*(F.least(n, top) for n in numbers))
 
 
 def _chord_sq_range(depth: int) -> tuple[Column, Column]:
-    """Squared chord from a point to the near and far end of its ``_child`` cell."""
+    """Squared chord from a point to the near and far end of its cell."""
     width = 2.0 ** (1 - depth)
     near = far = F.lit(0.0)
-    for axis, number in zip("xyz", cell_numbers(F.col("_child"))):
+    for axis, number in zip("xyz", cell_numbers(F.col("_cell"))):
         low = number * width - 1
         below, above = low - F.col(f"_p{axis}"), F.col(f"_p{axis}") - (low + width)
         gap = F.greatest(below, above, F.lit(0.0))

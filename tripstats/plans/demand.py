@@ -37,12 +37,19 @@ def hourly_demand(trips: DataFrame, extra_keys: tuple[str, ...] = ()) -> DataFra
 
 
 def training_rows(
-    trips: DataFrame, with_weather: bool = False, min_year: int = FIRST_TRAINING_YEAR
+    trips: DataFrame,
+    with_weather: bool = False,
+    min_year: int = FIRST_TRAINING_YEAR,
+    complete: list[str] | None = None,
 ) -> DataFrame:
-    """Features of a station-hour and, as label, the trips of the hour after it."""
-    recent = trips.filter(F.year("start_time") >= min_year)
+    """Features of a station-hour and, as label, the trips of the hour after it.
+
+    ``trips`` has ``start_year``, by which it may be partitioned.  With weather,
+    trips with a null are left out: in any column, or in those of ``complete``.
+    """
+    recent = trips.filter(F.col("start_year") >= min_year)
     if with_weather:
-        demand = hourly_demand(drop_incomplete(recent), WEATHER_KEYS)
+        demand = hourly_demand(drop_incomplete(recent, complete), WEATHER_KEYS)
     else:
         demand = hourly_demand(recent)
-    return lag_demand(demand, drop=("start_station_name",))
+    return lag_demand(demand.drop("start_station_name"))
