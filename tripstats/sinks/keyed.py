@@ -9,9 +9,10 @@ by a write.  One writer at a time.
 import functools
 import operator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripstats.operators.columns import prefix_columns
 from tripstats.operators.keyed import has_duplicate_keys, latest_per_key
 
 _PREFIX = "version="
@@ -94,15 +95,18 @@ def _touched_partitions(old: DataFrame, new: DataFrame, partition_by: list[str])
     touched = new.select(*partition_by).distinct()
     listed = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()
     if len(listed) > MAX_LISTED_PARTITIONS:
-        return old.join(touched, partition_by, "left_semi")
+        touched = prefix_columns(touched, "_new_")
+        same = [F.col(c).eqNullSafe(F.col(f"_new_{c}")) for c in partition_by]
+        return old.join(touched, same, "left_semi")
     # Literals let the scan skip the other partitions.
-    hits = (
-        functools.reduce(operator.and_, (F.col(c).eqNullSafe(row[c]) for c in partition_by))
-        for row in listed
-    )
+    hits = [_all(F.col(c).eqNullSafe(row[c]) for c in partition_by) for row in listed]
     return old.filter(functools.reduce(operator.or_, hits, F.lit(False)))
 
 
+def _all(conditions) -> Column:
+    return functools.reduce(operator.and_, conditions)
+
+
 def _finish_merge(spark: SparkSession, stored: str, partition_by: list[str]) -> None:
     """Put merged partitions in place.  They were written out completely first, so a
     run that stops half-way is repeated from them by the next one."""
