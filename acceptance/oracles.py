@@ -46,21 +46,21 @@ def _season(month: str) -> str:
 
 _TABLES = {
     "trips": f"""
-        SELECT l_extendedprice AS trip_duration, o_orderdate AS start_time,
+        SELECT cast(floor(l_extendedprice) AS int) AS trip_duration, o_orderdate AS start_time,
                l_shipdate AS stop_time, {_ends("start", "l_suppkey")},
                {_ends("end", "(o_custkey % 50)")}, l_partkey AS bike_id,
                o_orderpriority AS user_type, 2019 - (1930 + o_custkey % 50) AS age,
                l_linenumber % 3 AS gender
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "line_trips": f"""
-        SELECT l_extendedprice AS trip_duration, l_shipdate AS start_time,
+        SELECT cast(floor(l_extendedprice) AS int) AS trip_duration, l_shipdate AS start_time,
                {_ends("start", "l_suppkey")}, {_ends("end", "l_suppkey")},
                l_partkey AS bike_id, nullif(l_quantity, 1e0) AS temperature,
                nullif(l_discount, 0.03e0) AS precipitation,
                nullif(l_linenumber, 2) AS humidity, nullif(l_tax, 0.05e0) AS windspeed
         FROM lineitem""",
     "clock_trips": f"""
-        SELECT value AS trip_duration, ts AS start_time, {_ends("start", "user_id")},
+        SELECT cast(floor(value) AS int) AS trip_duration, ts AS start_time, {_ends("start", "user_id")},
                {_ends("end", "(user_id % 7)")}, event_id AS bike_id,
                cast(2019 - (1950 + user_id % 50) AS int) AS age
         FROM events""",
@@ -104,7 +104,7 @@ def _change(denominator: str) -> str:
             SELECT {_year("start_time")} AS y, {_month("start_time")} AS m, count(*) AS n
             FROM trips GROUP BY ALL''')}
         SELECT c.m AS month, c.y AS year,
-               round((c.n - p.n) / cast({denominator}.n AS double) * 100, 6) AS percentage_change
+               (c.n - p.n) / cast({denominator}.n AS double) * 100 AS percentage_change
         FROM counts c JOIN counts p ON c.m = p.m + 1 AND c.y = p.y"""
 
 
@@ -113,7 +113,7 @@ def _profile(*measures: str) -> str:
     return f"""
         {_with("line_trips")}
         SELECT {filled}, count(*) AS number_of_trips,
-               round(avg(trip_duration), 4) AS average_duration
+               avg(trip_duration) AS average_duration
         FROM line_trips GROUP BY {", ".join(f"coalesce({m}, 0)" for m in measures)}"""
 
 
@@ -173,12 +173,12 @@ ORACLES: dict[str, str] = {
     "usertype_summary": f"""
         {_with("trips")}
         SELECT user_type, count(*) AS number_of_trips,
-               round(avg(trip_duration), 4) AS average_duration
+               avg(trip_duration) AS average_duration
         FROM trips WHERE user_type IN ('1-URGENT', '5-LOW') GROUP BY user_type""",
     "route_top20": f"""
         {_with("trips")}
         SELECT user_type, concat(start_station_name, ' to ', end_station_name) AS route,
-               count(*) AS number_of_trips, round(avg(trip_duration), 4) AS average_duration
+               count(*) AS number_of_trips, avg(trip_duration) AS average_duration
         FROM trips GROUP BY user_type, start_station_name, end_station_name
         ORDER BY number_of_trips DESC, start_station_name, end_station_name, user_type
         LIMIT 20""",
@@ -191,7 +191,7 @@ ORACLES: dict[str, str] = {
         FROM trips GROUP BY 1""",
     "duration_by_age": f"""
         {_with("trips")}
-        SELECT cast(age AS int) AS age, round(avg(trip_duration), 4) AS avg_trip_duration
+        SELECT cast(age AS int) AS age, avg(trip_duration) AS avg_trip_duration
         FROM trips GROUP BY 1""",
     "monthly_trips": f"""
         {_with("trips")}
@@ -219,7 +219,7 @@ ORACLES: dict[str, str] = {
     "by_windspeed_known": f"""
         {_with("line_trips")}
         SELECT windspeed, count(*) AS number_of_trips,
-               round(avg(trip_duration), 4) AS average_duration
+               avg(trip_duration) AS average_duration
         FROM line_trips WHERE windspeed IS NOT NULL GROUP BY windspeed""",
     "trip_features": f"""
         {_with("clock_trips")}

@@ -32,7 +32,7 @@ def query(build):
 
 
 def rounded(df: DataFrame, **digits: int) -> DataFrame:
-    """Sums of doubles depend on their order in the last digits."""
+    """Trigonometric functions of two engines may differ in the last digit."""
     return df.withColumns({name: F.round(name, n) for name, n in digits.items()})
 
 
@@ -70,12 +70,12 @@ def end_top20(spark, folder):
 @query
 def usertype_summary(spark, folder):
     summary = usage.user_type_summary(standins.trips(spark, folder), USER_TYPES)
-    return rounded(summary, average_duration=4)
+    return summary
 
 
 @query
 def route_top20(spark, folder):
-    return rounded(usage.top_routes(standins.trips(spark, folder)), average_duration=4)
+    return usage.top_routes(standins.trips(spark, folder))
 
 
 @query
@@ -86,7 +86,7 @@ def trips_age(spark, folder):
 @query
 def duration_by_age(spark, folder):
     trips = enrichment.add_calendar(standins.trips(spark, folder))
-    return rounded(usage.duration_by_age(trips), avg_trip_duration=4)
+    return usage.duration_by_age(trips)
 
 
 @query
@@ -97,13 +97,13 @@ def monthly_trips(spark, folder):
 @query
 def pct_change(spark, folder):
     counts = usage.monthly_trips(enrichment.add_calendar(standins.trips(spark, folder)))
-    return rounded(periods.month_over_month(counts), percentage_change=6)
+    return periods.month_over_month(counts)
 
 
 @query
 def pct_change_of_previous(spark, folder):
     counts = usage.monthly_trips(enrichment.add_calendar(standins.trips(spark, folder)))
-    return rounded(periods.month_over_month(counts, denominator="previous"), percentage_change=6)
+    return periods.month_over_month(counts, denominator="previous")
 
 
 @query
@@ -125,25 +125,25 @@ def season_of_month(spark, folder):
 @query
 def fill0_by_measure(spark, folder):
     profile = weather_profiles.by_temperature(standins.line_trips(spark, folder))
-    return rounded(profile, average_duration=4)
+    return profile
 
 
 @query
 def two_measures(spark, folder):
     profile = weather_profiles.by_precipitation_and_humidity(standins.line_trips(spark, folder))
-    return rounded(profile, average_duration=4)
+    return profile
 
 
 @query
 def by_windspeed(spark, folder):
     profile = weather_profiles.by_wind_speed(standins.line_trips(spark, folder))
-    return rounded(profile, average_duration=4)
+    return profile
 
 
 @query
 def by_windspeed_known(spark, folder):
     profile = weather_profiles.by_wind_speed(standins.line_trips(spark, folder), missing="drop")
-    return rounded(profile, average_duration=4)
+    return profile
 
 
 # --- cleaning and derived columns ------------------------------------------------
@@ -482,7 +482,7 @@ def trips_csv(spark, folder):
         standins.table(spark, folder, "part").select(F.col("p_partkey").alias("bike_id"), "p_size"),
         "bike_id",
     )
-    seconds = F.col("trip_duration").cast("int").cast("string")
+    seconds = F.col("trip_duration").cast("string")
     raw = trips.select(
         F.when(F.col("p_size") == 7, "x").otherwise(seconds).alias("trip_duration"),
         "start_time",

@@ -37,7 +37,7 @@ def trips(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders")
     start, end = F.col("l_suppkey"), F.col("o_custkey") % 50
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
-        F.col("l_extendedprice").alias("trip_duration"),
+        F.floor("l_extendedprice").cast("int").alias("trip_duration"),
         F.col("o_orderdate").alias("start_time"),
         F.col("l_shipdate").alias("stop_time"),
         *_ends("start", start),
@@ -62,7 +62,7 @@ def line_trips(spark: SparkSession, folder: str) -> DataFrame:
     """A trip per order line, of its own columns only, with weather."""
     number = F.col("l_suppkey")
     return table(spark, folder, "lineitem").select(
-        F.col("l_extendedprice").alias("trip_duration"),
+        F.floor("l_extendedprice").cast("int").alias("trip_duration"),
         F.col("l_shipdate").alias("start_time"),
         *_ends("start", number),
         *_ends("end", number),
@@ -78,7 +78,7 @@ def clock_trips(spark: SparkSession, folder: str) -> DataFrame:
     """A trip per logged event, with true times of day."""
     rider = F.col("user_id")
     return table(spark, folder, "events").select(
-        F.col("value").alias("trip_duration"),
+        F.floor("value").cast("int").alias("trip_duration"),
         F.col("ts").alias("start_time"),
         F.col("ts").alias("stop_time"),
         *_ends("start", rider),

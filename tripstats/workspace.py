@@ -1,5 +1,6 @@
 """The folder shared by driver and executors for intermediate data."""
 
+import functools
 import tempfile
 import uuid
 
@@ -12,12 +13,16 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in spark.checkpoint.dir.  Only a local session
     may go without the setting; it gets a temporary folder, the same each time."""
     folder = spark.conf.get(_SETTING, None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {_SETTING} to a folder that all executors can reach")
-        folder = tempfile.mkdtemp(prefix="tripstats-")
-        spark.conf.set(_SETTING, folder)
-    return folder
+    if folder is not None:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"set {_SETTING} to a folder that all executors can reach")
+    return _local_folder()
+
+
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="tripstats-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
