@@ -19,7 +19,7 @@ from tripstats.plans import (
     weather_profiles,
 )
 from tripstats.streaming import station_status
-from tripstats.workspace import scratch_path
+from tripstats.workspace import checkpointed, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -265,12 +265,15 @@ def weather_join(spark, folder):
 
 @query
 def trip_enrichment(spark, folder):
-    """The whole pipeline: clean, derive, nearest site, weather of the hour."""
+    """The whole pipeline: clean, derive, nearest site, weather of the hour.
+
+    Stations with their site are stored before they are joined, as the jobs do.
+    """
     trips = enrichment.clean_trips(standins.clock_trips(spark, folder))
     stations = enrichment.stations_with_site(
         standins.rider_stations(spark, folder), standins.sites(spark, folder)
     )
-    enriched = enrichment.enrich_trips(trips, stations, standins.weather(spark, folder))
+    enriched = enrichment.enrich_trips(trips, checkpointed(stations), standins.weather(spark, folder))
     return enriched.select(
         "bike_id",
         "start_station_id",

@@ -244,7 +244,7 @@ def brute_force_nearest(points, sites):
 
 
 @pytest.mark.parametrize("seed, spread", [(1, 0.05), (2, 3.0), (3, 60.0), (4, 0.00002)])
-@pytest.mark.parametrize("tuning", [{}, {"inline_sites": 0}, {"inline_sites": 0, "broadcast_bytes": -1}])
+@pytest.mark.parametrize("tuning", [{}, {"few_sites": 0}, {"few_sites": 0, "broadcast_bytes": -1}])
 def test_nearest_site_equals_brute_force(spark, seed, spread, tuning):
     points, sites = scattered(seed, 60, spread), scattered(seed + 50, 200, spread)
     # Two sites at one spot, and a point right there.
@@ -256,7 +256,7 @@ def test_nearest_site_equals_brute_force(spark, seed, spread, tuning):
     assert len(found) == len({(r.id, r.weather_station_id) for r in found})
 
 
-@pytest.mark.parametrize("tuning", [{}, {"inline_sites": 0}])
+@pytest.mark.parametrize("tuning", [{}, {"few_sites": 0}])
 def test_nearest_site_ties(spark, rows, tuning):
     points = places(spark, [(1, 0.0, 0.0), (2, 0.0, 0.9), (3, None, 0.0)])
     sites = places(spark, [(7, 0.0, 1.0), (5, 0.0, -1.0), (6, 0.0, 1.0), (4, None, 0.0)])

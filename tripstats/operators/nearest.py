@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tripstats.functions.geo import cell_key, cell_numbers, haversine_km, unit_vector
 from tripstats.operators.lookup import BROADCAST_BYTES, SALTS, measured_bytes, salted_join
 
-INLINE_SITES = 256
+FEW_SITES = 64
 
 # Depths of the search, in halvings of the box around the unit sphere.  The first
 # has at most 512 cells; those of the last are about 12 m wide.
@@ -23,7 +23,7 @@ def nearest_site(
     ties: str = "all",
     out_id: str = "weather_station_id",
     out_distance: str = "distance_km",
-    inline_sites: int = INLINE_SITES,
+    few_sites: int = FEW_SITES,
     broadcast_bytes: int = BROADCAST_BYTES,
     salts: int = SALTS,
 ) -> DataFrame:
@@ -34,8 +34,8 @@ def nearest_site(
     ``ties="all"`` a point gets a row for every site at the least distance, with
     ``ties="first"`` only the smallest id of them.
 
-    Up to ``inline_sites`` sites are handed to the points as one array, without
-    any join.  More are searched through ever smaller cells (see ``_search``).
+    Each point is compared with all of up to ``few_sites`` sites.  More are searched
+    through ever smaller cells (see ``_search``).
     """
     if ties not in ("all", "first"):
         raise ValueError(f"ties must be 'all' or 'first', not {ties!r}")
@@ -45,8 +45,8 @@ def nearest_site(
         F.col("latitude").cast("double").alias("_lat"),
         F.col("longitude").cast("double").alias("_lng"),
     ).filter("_lat is not null and _lng is not null")
-    if places.limit(inline_sites + 1).count() <= inline_sites:
-        found = _scan_inline(located, places, ties)
+    if places.limit(few_sites + 1).count() <= few_sites:
+        found = _compare_all(located, places, key, ties)
     else:
         narrow = located.select(*key, "latitude", "longitude")
         nearest = _search(narrow, places, key, ties, broadcast_bytes, salts)
@@ -60,17 +60,14 @@ def _distance_to(lat: Column, lng: Column) -> Column:
     return haversine_km(F.col("latitude"), F.col("longitude"), lat, lng)
 
 
-def _scan_inline(points: DataFrame, places: DataFrame, ties: str) -> DataFrame:
+def _compare_all(points: DataFrame, places: DataFrame, key: tuple[str, ...], ties: str) -> DataFrame:
+    """Compare each point with every one of a few sites."""
     listed = places.agg(F.collect_list(F.struct("_id", "_lat", "_lng"))).scalar()
-    measured = F.transform(
-        "_sites",
-        lambda s: F.struct(_distance_to(s["_lat"], s["_lng"]).alias("_distance"), s["_id"]),
-    )
-    ranked = points.withColumn("_sites", listed).withColumn("_ranked", measured).withColumn("_best", F.array_min("_ranked"))
-    if ties == "first":
-        return ranked.filter("_best is not null").select("*", "_best.*")
-    best = F.filter("_ranked", lambda s: s["_distance"] == F.col("_best._distance"))
-    return ranked.withColumn("_site", F.explode(best)).select("*", "_site.*")
+    # Points are shuffled before they are multiplied; ranking needs no further shuffle.
+    arranged = points.repartition(*key).withColumn("_sites", listed)
+    pairs = arranged.select(*points.columns, F.inline("_sites"))
+    measured = pairs.withColumn("_distance", _distance_to(F.col("_lat"), F.col("_lng")))
+    return _nearest_only(measured, key, ties)
 
 
 def _search(
@@ -105,7 +102,7 @@ def _search(
     vectors = points.select("*", *_named("_p", F.col("latitude"), F.col("longitude")))
     # At most a few hundred cells, whatever the number of sites.
     coarse = [row[0] for row in spots.select(_cell_at(depths[0])).distinct().collect()]
-    state = vectors.withColumn("_cell", F.explode(F.lit(coarse).cast("array<long>")))
+    state = vectors.repartition(*key).withColumn("_cell", F.explode(F.lit(coarse).cast("array<long>")))
     state = _still_possible(state, depths[0], key)
     for depth, deeper in zip(depths, depths[1:]):
         inner = spots.select(
@@ -118,12 +115,19 @@ def _search(
     measured = join(state, inside, ["_cell"]).withColumn(
         "_distance", _distance_to(F.col("_lat"), F.col("_lng"))
     )
+    nearest = _nearest_only(measured, key, ties)
+    if ties == "first":
+        return nearest
+    return join(nearest.drop("_id"), places, ["_lat", "_lng"])
+
+
+def _nearest_only(measured: DataFrame, key: tuple[str, ...], ties: str) -> DataFrame:
     same_point = Window.partitionBy(*key)
     if ties == "first":
-        order = same_point.orderBy("_distance", "_id")
-        return measured.withColumn("_n", F.row_number().over(order)).filter("_n = 1")
-    nearest = measured.withColumn("_n", F.rank().over(same_point.orderBy("_distance")))
-    return join(nearest.filter("_n = 1").drop("_id"), places, ["_lat", "_lng"])
+        place = F.row_number().over(same_point.orderBy("_distance", "_id"))
+    else:
+        place = F.rank().over(same_point.orderBy("_distance"))
+    return measured.withColumn("_n", place).filter("_n = 1")
 
 
 def _still_possible(state: DataFrame, depth: int, key: tuple[str, ...]) -> DataFrame:
