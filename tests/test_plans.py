@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from conftest import executed_plan
 from pyspark.sql import functions as F
 
 from tripstats.plans import city_events, demand, enrichment, usage, weather_profiles
@@ -190,3 +191,24 @@ def test_training_rows(spark, make, rows):
     assert rows(with_weather, "start_hour", "temperature", "past_trips", "number_of_trips") == [
         (8, 20.0, 1, 1)
     ]
+
+
+def test_year_bound_skips_partitions_of_stored_trips(spark, make, tmp_path):
+    trips = enrichment.clean_trips(make(trip(), trip("2016-06-01 08:00:00")))
+    trips.write.partitionBy("start_year", "start_month").parquet(str(tmp_path / "t"))
+    plan = executed_plan(demand.training_rows(spark.read.parquet(str(tmp_path / "t"))))
+    assert "PartitionFilters: [isnotnull(start_year" in plan
+
+
+def test_trips_are_not_shuffled_to_be_enriched(spark, make):
+    trips = enrichment.clean_trips(make(trip()))
+    stations = spark.createDataFrame([(1, "w")], "id long, weather_station_id string")
+    weather = spark.createDataFrame(
+        [("w", "2019-06-01 08:00", 1.0, 1.0, 1, 1.0, 1.0)],
+        "id string, time string, temperature double, precipitation double, humidity int, "
+        "dewpoint double, windspeed double",
+    )
+    enriched = enrichment.enrich_trips(trips, stations, weather)
+    plan = executed_plan(enriched)
+    assert plan.count("BroadcastHashJoin") == 2 and "Exchange hashpartitioning" not in plan
+    assert enriched.count() == 1

@@ -172,10 +172,29 @@ SEASONS = {"Spring": (3, 5), "Summer": (6, 8), "Fall": (9, 11)}
 OTHER_SEASON = "Winter"
 
 # --- Fixed values: row keys of the stored tables -------------------------------
-TRIP_KEY = ("start_station_id", "bike_id", "start_time")
+# The most selective column of a key comes first: sorts by it compare less.
+TRIP_KEY = ("bike_id", "start_time", "start_station_id")
 STATION_KEY = ("id",)
 WEATHER_SITE_KEY = ("id",)
-WEATHER_HOUR_KEY = ("id", "time")
+WEATHER_HOUR_KEY = ("time", "id")
 EVENT_KEY = ("event_id", "start_date_time")
 PREDICTION_KEY = ("start_station_id", "start_date", "start_hour")
 STATION_STATUS_KEY = ("station_name",)
+
+# --- Fixed values: report tables and their row keys ----------------------------
+REPORT_KEYS = {
+    "total_trips": ("total_bikes",),
+    "distinct_bikes": ("number_of_bikes",),
+    "start_trip_top_20": ("start_station_name",),
+    "end_trip_top_20": ("end_station_name",),
+    "average_trip_user_type": ("user_type",),
+    "start_to_end_top_20": ("user_type", "route"),
+    "trips_age": ("age",),
+    "trip_duration_age": ("age",),
+    "grouped_count": ("start_year", "start_month"),
+    "percentage_change": ("year", "month"),
+    "grouped_count_season": ("start_year", "start_month", "start_hour"),
+    "avg_temp": ("temperature",),
+    "phmd": ("precipitation", "humidity"),
+    "windspeed": ("windspeed",),
+}

@@ -10,12 +10,13 @@ Order: weather-sites, weather-hours, stations, trips, enrich; then the rest.
 import argparse
 from collections.abc import Callable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tripstats import sinks, sources
 from tripstats.fixed_values import (
     EVENT_KEY,
     PREDICTION_KEY,
+    REPORT_KEYS,
     STATION_KEY,
     TRIP_KEY,
     WEATHER_HOUR_KEY,
@@ -37,21 +38,21 @@ from tripstats.streaming import station_status
 # Trips are stored by month, so that a filter on time skips whole folders.
 TRIP_PARTITIONS = ["start_year", "start_month"]
 
-# Report tables with the columns that identify a row.
-REPORTS: dict[str, tuple[Callable, list[str]]] = {
-    "total_trips": (usage.total_trips, ["total_bikes"]),
-    "distinct_bikes": (usage.distinct_bikes, ["number_of_bikes"]),
-    "start_trip_top_20": (usage.top_start_stations, ["start_station_name"]),
-    "end_trip_top_20": (usage.top_end_stations, ["end_station_name"]),
-    "average_trip_user_type": (usage.user_type_summary, ["user_type"]),
-    "start_to_end_top_20": (usage.top_routes, ["user_type", "route"]),
-    "trips_age": (usage.trips_by_age, ["age"]),
-    "trip_duration_age": (usage.duration_by_age, ["age"]),
-    "grouped_count": (usage.monthly_trips, ["start_year", "start_month"]),
-    "grouped_count_season": (usage.season_hour_trips, ["start_year", "start_month", "start_hour"]),
-    "avg_temp": (weather_profiles.by_temperature, ["temperature"]),
-    "phmd": (weather_profiles.by_precipitation_and_humidity, ["precipitation", "humidity"]),
-    "windspeed": (weather_profiles.by_wind_speed, ["windspeed"]),
+# The report behind each table; the monthly change follows from grouped_count.
+REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "total_trips": usage.total_trips,
+    "distinct_bikes": usage.distinct_bikes,
+    "start_trip_top_20": usage.top_start_stations,
+    "end_trip_top_20": usage.top_end_stations,
+    "average_trip_user_type": usage.user_type_summary,
+    "start_to_end_top_20": usage.top_routes,
+    "trips_age": usage.trips_by_age,
+    "trip_duration_age": usage.duration_by_age,
+    "grouped_count": usage.monthly_trips,
+    "grouped_count_season": usage.season_hour_trips,
+    "avg_temp": weather_profiles.by_temperature,
+    "phmd": weather_profiles.by_precipitation_and_humidity,
+    "windspeed": weather_profiles.by_wind_speed,
 }
 # Of stations that share a name, and routes that share a text, the busiest stays.
 _BY_TRIPS = {"start_trip_top_20", "end_trip_top_20", "start_to_end_top_20"}
@@ -90,12 +91,17 @@ def enrich(
 def reports(spark: SparkSession, trips: str, out: str) -> None:
     """All report tables; the monthly change is derived from the stored counts."""
     stored = sources.read_table(spark, trips)
-    for name, (report, keys) in REPORTS.items():
-        order = ["number_of_trips"] if name in _BY_TRIPS else None
-        # A count over no trips has a null key, which a keyed table cannot hold.
-        sinks.write_keyed(report(stored).dropna(subset=keys), f"{out}/{name}", keys, order)
-    change = month_over_month(sources.read_table(spark, f"{out}/grouped_count"))
-    sinks.write_keyed(change, f"{out}/percentage_change", ["year", "month"])
+    for name, report in REPORTS.items():
+        _write_report(report(stored), name, out)
+    counts = sources.read_table(spark, f"{out}/grouped_count")
+    _write_report(month_over_month(counts), "percentage_change", out)
+
+
+def _write_report(report: DataFrame, name: str, out: str) -> None:
+    keys = list(REPORT_KEYS[name])
+    order = ["number_of_trips"] if name in _BY_TRIPS else None
+    # A keyed table cannot hold a row without its key.
+    sinks.write_keyed(report.dropna(subset=keys), f"{out}/{name}", keys, order)
 
 
 def forecast(spark: SparkSession, trips: str, out: str, weather: bool = False) -> None:
