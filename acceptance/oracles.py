@@ -141,6 +141,13 @@ _HOURLY = f"""
            count(*) AS number_of_trips
     FROM clock_trips GROUP BY ALL"""
 
+_PAIRS = """
+    SELECT p.start_station_id, p.start_date, p.start_hour, p.start_month, p.weekday,
+           p.weekend, p.number_of_trips AS past_trips, c.number_of_trips
+    FROM hourly p JOIN hourly c
+      ON p.start_station_id = c.start_station_id AND p.start_date = c.start_date
+     AND p.start_hour = c.start_hour - 1"""
+
 _WEATHER_TRIPS = f"""
     SELECT t.*, w.* EXCLUDE (id, observed), w.id AS weather_station_id
     FROM clock_trips t JOIN weather w
@@ -311,12 +318,16 @@ ORACLES: dict[str, str] = {
     "event_places": "SELECT DISTINCT concat('Place ', user_id) AS event_location FROM events",
     "hourly_demand": f"{_with('clock_trips')} {_HOURLY}",
     "lag_demand": f"""
-        {_with("clock_trips", hourly=_HOURLY)}
-        SELECT p.start_station_id, p.start_date, p.start_hour, p.start_month, p.weekday,
-               p.weekend, p.number_of_trips AS past_trips, c.number_of_trips
-        FROM hourly p JOIN hourly c
-          ON p.start_station_id = c.start_station_id AND p.start_date = c.start_date
-         AND p.start_hour = c.start_hour - 1""",
+        {_with("clock_trips", hourly=_HOURLY, pairs=_PAIRS)}
+        SELECT * FROM pairs""",
+    "scored_rows": f"""
+        {_with("clock_trips", hourly=_HOURLY, pairs=_PAIRS, hashed='''
+            SELECT *, md5(concat(start_station_id, '|', start_date, '|', start_hour)) AS digest
+            FROM pairs''')}
+        SELECT hashed.* EXCLUDE (digest), model
+        FROM hashed CROSS JOIN (VALUES ('decision_tree'), ('gradient_boosted_trees'),
+                                       ('random_forest')) AS models (model)
+        WHERE cast(concat('0x', substr(digest, 1, 4)) AS int) >= 49152""",
     "lag_demand_weather": f"""
         {_with("clock_trips", "weather", joined=_WEATHER_TRIPS, hourly=f'''
             SELECT start_station_id, start_station_name, cast(start_time AS date) AS start_date,

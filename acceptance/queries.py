@@ -9,7 +9,7 @@ from acceptance import standins
 from tripstats import sinks, sources
 from tripstats.fixed_values import EVENT_NAMES, TRIP_NAMES
 from tripstats.functions import calendar, parsing
-from tripstats.operators import columns, keyed, lookup, nearest, periods, radius, split
+from tripstats.operators import columns, keyed, nearest, periods, radius, split
 from tripstats.plans import (
     city_events,
     demand,
@@ -69,8 +69,7 @@ def end_top20(spark, folder):
 
 @query
 def usertype_summary(spark, folder):
-    summary = usage.user_type_summary(standins.trips(spark, folder), USER_TYPES)
-    return summary
+    return usage.user_type_summary(standins.trips(spark, folder), USER_TYPES)
 
 
 @query
@@ -124,26 +123,22 @@ def season_of_month(spark, folder):
 
 @query
 def fill0_by_measure(spark, folder):
-    profile = weather_profiles.by_temperature(standins.line_trips(spark, folder))
-    return profile
+    return weather_profiles.by_temperature(standins.line_trips(spark, folder))
 
 
 @query
 def two_measures(spark, folder):
-    profile = weather_profiles.by_precipitation_and_humidity(standins.line_trips(spark, folder))
-    return profile
+    return weather_profiles.by_precipitation_and_humidity(standins.line_trips(spark, folder))
 
 
 @query
 def by_windspeed(spark, folder):
-    profile = weather_profiles.by_wind_speed(standins.line_trips(spark, folder))
-    return profile
+    return weather_profiles.by_wind_speed(standins.line_trips(spark, folder))
 
 
 @query
 def by_windspeed_known(spark, folder):
-    profile = weather_profiles.by_wind_speed(standins.line_trips(spark, folder), missing="drop")
-    return profile
+    return weather_profiles.by_wind_speed(standins.line_trips(spark, folder), missing="drop")
 
 
 # --- cleaning and derived columns ------------------------------------------------
@@ -412,7 +407,7 @@ def key_split(spark, folder):
     return sides.agg(F.count(F.lit(1)).alias("rows"))
 
 
-# --- models: no SQL twin ---------------------------------------------------------
+# --- models: no SQL twin, but for the rows that are scored -----------------------
 
 
 @query
@@ -421,14 +416,24 @@ def model_metrics(spark, folder):
     return forecasting.forecast_demand(rows).metrics
 
 
-@query
-def model_predictions(spark, folder):
+def _predictions(spark, folder):
     rows = demand.training_rows(_clock_trips(spark, folder))
     predictions = forecasting.forecast_demand(rows).predictions
     scored = [df.withColumn("model", F.lit(name)) for name, df in predictions.items()]
     return scored[0].unionByName(scored[1]).unionByName(scored[2])
 
 
+@query
+def model_predictions(spark, folder):
+    return _predictions(spark, folder)
+
+
+@query
+def scored_rows(spark, folder):
+    """Each model scores the rows of the second part, and those only."""
+    return _predictions(spark, folder).drop("prediction")
+
+
 @query
 def weather_model_metrics(spark, folder):
     rows = demand.training_rows(_weather_trips(spark, folder), with_weather=True)

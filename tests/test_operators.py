@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tripstats.functions.geo import haversine_km
 from tripstats.operators.columns import drop_incomplete, prefix_columns, zero_fill
 from tripstats.operators.keyed import has_duplicate_keys, latest_per_key
-from tripstats.operators.lookup import lookup_join, measured_bytes, salted_join
+from tripstats.operators.lookup import lookup_join, measure, salted_join
 from tripstats.operators.nearest import nearest_site
 from tripstats.operators.periods import lag_demand, month_over_month
 from tripstats.operators.radius import within_radius
@@ -79,14 +79,14 @@ def test_small_lookup_leaves_facts_where_they_are(spark):
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
 
-def test_measured_bytes_counts_text(spark):
+def test_measure_counts_text(spark):
     short = spark.createDataFrame([("a",)] * 10, "t string")
     long = spark.createDataFrame([("a" * 1000,), (None,)], "t string")
-    assert measured_bytes(short) == 10 * (16 + 8 + 1)
-    assert measured_bytes(long) == 2 * (16 + 8) + 1000
-    assert measured_bytes(short.limit(0)) == 0
+    assert measure(short) == (10, 10 * (16 + 8 + 1))
+    assert measure(long) == (2, 2 * (16 + 8) + 1000)
+    assert measure(short.limit(0)) == (0, 0)
     nested = spark.createDataFrame([([1, 2, 3],)], "a array<int>")
-    assert measured_bytes(nested) > 24
+    assert measure(nested).bytes > 24
 
 
 # --- keys, order, nulls ------------------------------------------------------------

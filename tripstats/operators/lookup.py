@@ -1,5 +1,7 @@
 """Join of a large table with a lookup table, safe against hot keys."""
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,23 +13,28 @@ _ROW_OVERHEAD = 16
 _FIELD_BYTES = 8
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of ``df`` in memory, measured by one distributed pass over it.
+class Size(NamedTuple):
+    rows: int
+    bytes: int
+
+
+def measure(df: DataFrame) -> Size:
+    """Size of ``df`` in memory, by one distributed pass over it.
 
     Fixed-width fields count eight bytes each, text and binary fields what they
     hold, nested fields their JSON length.
     """
-    held = [F.lit(_ROW_OVERHEAD + _FIELD_BYTES * len(df.columns))]
+    row_bytes = F.lit(_ROW_OVERHEAD + _FIELD_BYTES * len(df.columns)).cast("long")
     for field in df.schema:
+        held = None
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            held.append(F.coalesce(F.octet_length(field.name), F.lit(0)))
+            held = F.octet_length(field.name)
         elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            nested = F.to_json(F.struct(F.col(field.name)))
-            held.append(F.coalesce(F.octet_length(nested), F.lit(0)))
-    row_bytes = held[0].cast("long")
-    for part in held[1:]:
-        row_bytes = row_bytes + part
-    return df.agg(F.coalesce(F.sum(row_bytes), F.lit(0)).alias("n")).first()["n"]
+            held = F.octet_length(F.to_json(F.struct(F.col(field.name))))
+        if held is not None:
+            row_bytes = row_bytes + F.coalesce(held, F.lit(0))
+    counted = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes), F.lit(0)))
+    return Size(*counted.first())
 
 
 def salted_join(
@@ -62,6 +69,6 @@ def lookup_join(
     does not end in one task.  ``salt_by`` names the columns that tell the rows of
     one key apart; naming few keeps the scan narrow.
     """
-    if measured_bytes(lookup) <= broadcast_bytes:
+    if measure(lookup).bytes <= broadcast_bytes:
         return facts.join(F.broadcast(lookup), on)
     return salted_join(facts, lookup, on, salt_by or facts.columns, salts)

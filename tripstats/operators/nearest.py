@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripstats.functions.geo import cell_key, cell_numbers, haversine_km, unit_vector
-from tripstats.operators.lookup import BROADCAST_BYTES, SALTS, measured_bytes, salted_join
+from tripstats.operators.lookup import BROADCAST_BYTES, SALTS, measure, salted_join
 
 FEW_SITES = 64
 
@@ -45,11 +45,15 @@ def nearest_site(
         F.col("latitude").cast("double").alias("_lat"),
         F.col("longitude").cast("double").alias("_lng"),
     ).filter("_lat is not null and _lng is not null")
-    if places.limit(few_sites + 1).count() <= few_sites:
+    size = measure(places)
+    if size.rows <= few_sites:
         found = _compare_all(located, places, key, ties)
     else:
         narrow = located.select(*key, "latitude", "longitude")
-        nearest = _search(narrow, places, key, ties, broadcast_bytes, salts)
+        # No table joined in the search has more rows than there are sites, nor rows
+        # more than twice as wide.
+        small = 2 * size.bytes <= broadcast_bytes
+        nearest = _search(narrow, places, key, ties, small, salts)
         found = located.join(nearest.select(*key, "_id", "_distance"), list(key))
     return found.select(
         *points.columns, F.col("_id").alias(out_id), F.col("_distance").alias(out_distance)
@@ -75,7 +79,7 @@ def _search(
     places: DataFrame,
     key: tuple[str, ...],
     ties: str,
-    broadcast_bytes: int,
+    small: bool,
     salts: int,
 ) -> DataFrame:
     """Branch and bound over nested cubic cells.
@@ -89,9 +93,6 @@ def _search(
     # Sites at one spot compete as one and are told apart at the end.
     spots = places.groupBy("_lat", "_lng").agg(F.min("_id").alias("_id"))
     spots = spots.select("*", *_named("_s", F.col("_lat"), F.col("_lng")))
-    # No table joined below has more rows than there are sites, nor rows more than
-    # twice as wide.
-    small = 2 * measured_bytes(places) <= broadcast_bytes
 
     def join(many: DataFrame, few: DataFrame, on: list[str]) -> DataFrame:
         if small:
