@@ -33,13 +33,15 @@ def test_read_trips(spark, tmp_path):
 def test_read_events(spark, tmp_path):
     header = (
         "Event ID,Event Name,Start Date/Time,End Date/Time,Event Agency,Event Type,"
-        "Event Borough,Event Location,latitude,longitude"
+        "Event Location,event borough,Street Side,latitude,longitude"
     )
-    row = '7,Fair,2019-06-01,2019-06-02,Parks,Street,Bronx,"Main St, 1",40.5,-73.9'
+    row = '7,Fair,2019-06-01,2019-06-02,Parks,Street,"Main St, 1",Bronx,,40.5,-73.9'
     (tmp_path / "events.csv").write_text(f"{header}\n{row}\n")
-    text = sources.read_events(spark, str(tmp_path), located=True)
+    text = sources.read_events(spark, str(tmp_path))
     assert {t for _, t in text.dtypes} == {"string"}
-    assert text.first().event_location == "Main St, 1"
+    first = text.first()
+    assert (first.event_location, first.event_borough) == ("Main St, 1", "Bronx")
+    assert "Street Side" in text.columns
     guessed = sources.read_events(spark, str(tmp_path), infer=True)
     assert dict(guessed.dtypes)["event_id"] == "int"
     assert dict(guessed.dtypes)["latitude"] == "double"

@@ -136,17 +136,6 @@ WEATHER_TIME_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm")
 WEATHER_MEASURES = ("temperature", "precipitation", "humidity", "dewpoint", "windspeed")
 
 # --- Fixed values: public event file -------------------------------------------
-EVENT_FILE_SCHEMA = """
-    `Event ID` STRING,
-    `Event Name` STRING,
-    `Start Date/Time` STRING,
-    `End Date/Time` STRING,
-    `Event Agency` STRING,
-    `Event Type` STRING,
-    `Event Borough` STRING,
-    `Event Location` STRING
-"""
-
 EVENT_NAMES = {
     "Event ID": "event_id",
     "Event Name": "event_name",

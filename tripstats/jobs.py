@@ -130,7 +130,7 @@ def locate_events(spark: SparkSession, files: str, geocodes: str, out: str) -> N
 
 
 def load_events(spark: SparkSession, files: str, out: str) -> None:
-    events = city_events.event_table(sources.read_events(spark, files, located=True))
+    events = city_events.event_table(sources.read_events(spark, files))
     sinks.write_keyed(events, out, EVENT_KEY, order_by=["event_location"])
 
 
@@ -138,7 +138,7 @@ def events_near(
     spark: SparkSession, trips: str, events: str, out: str, single_file: bool = False
 ) -> None:
     near = city_events.events_near_busy_stations(
-        sources.read_trips(spark, trips), sources.read_events(spark, events, located=True)
+        sources.read_trips(spark, trips), sources.read_events(spark, events)
     )
     sinks.write_csv(near, out, single_file)
 

@@ -2,21 +2,15 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripstats.fixed_values import EVENT_FILE_SCHEMA, EVENT_NAMES
+from tripstats.fixed_values import EVENT_NAMES
 
 
-def read_events(
-    spark: SparkSession, path: str | list[str], located: bool = False, infer: bool = False
-) -> DataFrame:
+def read_events(spark: SparkSession, path: str | list[str], infer: bool = False) -> DataFrame:
     """Events from comma-separated files with a header.
 
-    All columns are text.  ``located`` files carry latitude and longitude too.
-    ``infer`` lets Spark guess the types and names instead, at the price of one
-    more pass over the files.
+    Columns go by the names in the header, known ones get their canonical name, and
+    all are text.  ``infer`` lets Spark guess their types instead, at the price of
+    one more pass over the files.
     """
-    if infer:
-        raw = spark.read.csv(path, header=True, inferSchema=True)
-    else:
-        schema = EVENT_FILE_SCHEMA + (", latitude STRING, longitude STRING" if located else "")
-        raw = spark.read.schema(schema).csv(path, header=True)
+    raw = spark.read.csv(path, header=True, inferSchema=infer)
     return raw.withColumnsRenamed(EVENT_NAMES)
