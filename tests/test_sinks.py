@@ -59,6 +59,8 @@ def test_versions(spark, rows, table):
     assert sorted(os.listdir(table)) == ["version=0000000003", "version=0000000004"]
     assert rows(read_table(spark, table)) == [(1, 4, "x")]
     assert rows(older) == [(1, 3, "x")]
+    with pytest.raises(ValueError):
+        keyed.drop_old_versions(spark, table, keep=0)
 
 
 def test_half_written_version_does_not_count(spark, rows, table):

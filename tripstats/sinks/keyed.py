@@ -72,6 +72,8 @@ def current_version(spark: SparkSession, path: str) -> str | None:
 
 def drop_old_versions(spark: SparkSession, path: str, keep: int = 3) -> None:
     """Delete all but the ``keep`` newest complete versions."""
+    if keep < 1:
+        raise ValueError("at least one version has to stay")
     for folder in _complete_versions(spark, path)[:-keep]:
         _delete(spark, folder)
 
