@@ -1,12 +1,68 @@
-"""Corpus pipeline: from raw documents to packed training sequences."""
+"""Corpus pipeline: from raw documents to packed training sequences.
 
-STAGES = []
+Every stage takes what its predecessor kept.  All but the last return the columns of documents;
+the last returns the pieces of the packed sequences.
+"""
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tripstats.llm import decontamination, near_duplicates, packing, quality_model, toxicity
+from tripstats.llm.common import stored, table
+
+LEAST_QUALITY = 0.3
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose expected severity stays below the limit."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.grade(docs, model).where(~F.col("toxic")).select(*docs.columns)
+
+
+def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose quality score reaches LEAST_QUALITY."""
+    model = quality_model.fit(docs, table(spark, sf_dir, "labels"))
+    scored = quality_model.score(docs, model, column="_score")
+    return scored.where(F.col("_score") >= LEAST_QUALITY).select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of near copies: five-word shingles, 0.8 or more."""
+    found = near_duplicates.near_duplicates(docs, near_duplicates.Settings(words=5, percent=80))
+    copies = found.where(~F.col("kept")).select("doc_id")
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    found = decontamination.leaks(docs, table(spark, sf_dir, "benchmark"))
+    return decontamination.clean(docs, found)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents left, packed into sequences."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("quality", drop_poor),
+    ("near_duplicates", drop_near_copies),
+    ("decontamination", drop_leaks),
+    ("packing", pack_sequences),
+]
+
+# Models, MinHash and packing have no SQL twin.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
 
 
-def pipeline(spark, sf_dir):
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(spark, sf_dir)

@@ -2,15 +2,20 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripstats.llm import (
     archive,
+    decontamination,
     language,
+    near_duplicates,
+    packing,
     quality_model,
     quality_rules,
     quotations,
+    token_files,
     toxicity,
 )
 from tripstats.llm.common import fold, table
@@ -28,6 +33,14 @@ def query(build):
     return build
 
 
+@query
+def op1_decontamination(spark, folder):
+    """Every document that holds a benchmark item, with the item and the share it holds."""
+    return decontamination.leaks(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+
+
 @query
 def op2_quality_rules(spark, folder):
     """Counts, ratios and the verdict of the threshold table for every document."""
@@ -69,6 +82,29 @@ def op4_quotation_linking(spark, folder):
     return quotations.link_quotes(table(spark, folder, "conversations"))
 
 
+@query
+def op5_token_files(spark, folder):
+    """Ids of every document written to files and read back."""
+    path = scratch_path(spark, "token-files")
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    token_files.write_files(table(spark, folder, "documents"), path, tokenizer)
+    return token_files.read_files(spark, path)
+
+
+@query
+def op6_packing(spark, folder):
+    """Every piece of every document with its sequence and offset."""
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(table(spark, folder, "documents"), tokenizer)
+
+
+@query
+def op7_near_duplicates(spark, folder):
+    """Every document with the component of its near copies."""
+    settings = near_duplicates.Settings(words=3, percent=85)
+    return near_duplicates.near_duplicates(table(spark, folder, "documents"), settings)
+
+
 @query
 def op8_archive(spark, folder):
     """Every page written to an archive and read back."""
