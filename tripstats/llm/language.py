@@ -6,6 +6,7 @@ belongs to the language whose dictionary gives the smallest encoding.  A narrow
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -117,7 +118,7 @@ class _Encoders:
 
     def extend(self, batch: pa.RecordBatch, text: str) -> pa.RecordBatch:
         sizes = np.array(
-            [self.sizes(plain) for plain in _plain(batch.column(text)).to_pylist()],
+            [self.sizes(_once(plain)) for plain in _plain(batch.column(text)).to_pylist()],
             dtype=np.int64,
         ).reshape(batch.num_rows, len(self.model.languages))
         columns = _decide(sizes, self.model)
@@ -138,6 +139,12 @@ def _plain(texts: pa.Array) -> pa.Array:
     return pc.utf8_trim_whitespace(pc.replace_substring_regex(low, r"[^\p{L}\p{M}]+", " "))
 
 
+def _once(plain: str) -> str:
+    """Runs of one word written once: repeats cost next to nothing with any dictionary, and what
+    is left of the sizes would be chance."""
+    return " ".join(word for word, _ in groupby(plain.split(" ")))
+
+
 def _decide(sizes: np.ndarray, model: Model) -> list[pa.Array]:
     n, languages = sizes.shape
     if not languages:

@@ -5,7 +5,7 @@ all thresholds: P(grade <= k) = logistic(threshold_k - weights . features).  The
 the expected grade.
 
 The labels only say toxic or not, so grades come from both: 0 for clean documents, and for
-toxic ones 1 to 3 by how large a share of their words is typical of toxic documents.
+toxic ones 1 to 3 by how many features they hold that tell toxic documents from clean ones.
 """
 
 from collections.abc import Iterator
@@ -23,15 +23,16 @@ from tripstats.llm.quality_model import labelled_sample
 BUCKETS = 1 << 20
 PREFIXES = range(4, 8)
 GRADES = 3
-# Only features of at least so many toxic documents of the sample that set toxic from clean
-# documents by so many standard deviations carry a weight.
-LEAST_DOCUMENTS = 4
+# A feature carries a weight if it is in so many toxic documents of the sample, in such a share of
+# them, and by so many standard deviations more often than chance would have it.
+LEAST_DOCUMENTS = 3
+LEAST_SHARE = 0.02
 LEAST_DEVIATIONS = 5.0
 STEPS = 400
 RATE = 0.05
-PENALTY = 1e-4
+PENALTY = 1e-6
 # Rejected from this expected grade on.
-LIMIT = 0.5
+LIMIT = 0.3
 
 # The model is fitted on a bounded sample of labelled documents: at most so many, of at most
 # so many bytes each.
@@ -67,7 +68,9 @@ def fit(
     toxic or without clean rows there is nothing to learn, and every text gets grade 0.
     """
     sample = labelled_sample(df, labels, text, doc_id, label, sample_documents, sample_bytes)
-    return _learn([row["text"] for row in sample], np.array([row["label"] for row in sample]), limit)
+    # Copies of one text would make its words look telling.
+    texts = {row["text"]: row["label"] for row in sample}
+    return _learn(list(texts), np.array(list(texts.values())), limit)
 
 
 def grade(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -155,23 +158,23 @@ def _learn(texts: list[str], labels: np.ndarray, limit: float) -> Model:
     share = in_all / n
     expected = share * toxic.sum()
     spread_ = np.sqrt(np.maximum(toxic.sum() * share * (1 - share), 1e-9))
-    telling = (np.abs(in_toxic - expected) >= LEAST_DEVIATIONS * spread_) & (in_all >= LEAST_DOCUMENTS)
+    least = max(LEAST_DOCUMENTS, LEAST_SHARE * toxic.sum())
+    telling = (in_toxic - expected >= LEAST_DEVIATIONS * spread_) & (in_toxic >= least)
     known = known[telling]
     kept = telling[place]
     rows, values = rows[kept], np.log1p(counts[kept])
     place = np.searchsorted(known, features[kept])
-    grades = _grades(texts, toxic, rows, counts[kept], in_toxic[telling] > expected[telling], place)
+    grades = _grades(toxic, rows, counts[kept])
     weights, thresholds = _ascend(rows, place, values, grades, n, len(known))
     used = weights != 0
     return Model(known[used], weights[used], thresholds, limit)
 
 
-def _grades(texts, toxic, rows, counts, typical, place) -> np.ndarray:
-    """0 for clean documents, 1 to GRADES for toxic ones by the share of typical features."""
-    words = np.maximum([len(text.split()) for text in texts], 1)
-    density = np.bincount(rows, counts * typical[place], minlength=len(texts)) / words
-    cuts = np.quantile(density[toxic], np.arange(1, GRADES) / GRADES)
-    return np.where(toxic, 1 + np.searchsorted(cuts, density, side="left"), 0)
+def _grades(toxic: np.ndarray, rows: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """0 for clean documents, 1 to GRADES for toxic ones by how many telling features they hold."""
+    held = np.bincount(rows, counts, minlength=len(toxic))
+    cuts = np.quantile(held[toxic], np.arange(1, GRADES) / GRADES)
+    return np.where(toxic, 1 + np.searchsorted(cuts, held, side="left"), 0)
 
 
 def _chances(at: np.ndarray, thresholds: np.ndarray) -> np.ndarray:
