@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tripstats.workspace import scratch_path
 
 # Text that one step of a Python task holds as words; a longer text is a step of its own.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -36,8 +36,10 @@ LIMIT = 0.3
 
 # The model is fitted on a bounded sample of labelled documents: at most so many, of at most
 # so many bytes each.
-SAMPLE_DOCUMENTS = 12_000
-SAMPLE_BYTES = 12_000
+SAMPLE_DOCUMENTS = 5_000
+SAMPLE_BYTES = 8_000
+# Documents of the sample whose words are held at a time.
+FIT_STEP = 200
 
 OUTPUT = "severity double, grade int, toxic boolean"
 
@@ -151,7 +153,12 @@ def _learn(texts: list[str], labels: np.ndarray, limit: float) -> Model:
     toxic = labels > 0 if len(labels) else np.zeros(0, dtype=bool)
     if not toxic.any() or toxic.all():
         return Model(np.zeros(0, np.int64), np.zeros(0), np.array([30.0]), limit)
-    rows, features, counts, n = _counts(pa.array(texts, pa.string()), None)
+    n = len(texts)
+    parts = []
+    for at in range(0, n, FIT_STEP):
+        rows, features, counts, _ = _counts(pa.array(texts[at : at + FIT_STEP], pa.string()), None)
+        parts.append((rows + at, features, counts))
+    rows, features, counts = (np.concatenate(column) for column in zip(*parts))
     known, place = np.unique(features, return_inverse=True)
     in_toxic = np.bincount(place, toxic[rows], minlength=len(known))
     in_all = np.bincount(place, minlength=len(known))
