@@ -32,7 +32,7 @@ STEPS = 400
 RATE = 0.05
 PENALTY = 1e-6
 # Rejected from this expected grade on.
-LIMIT = 0.3
+LIMIT = 0.4
 
 # The model is fitted on a bounded sample of labelled documents: at most so many, of at most
 # so many bytes each.
