@@ -68,7 +68,57 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM records
 """
 
+QUOTATIONS = r"""
+WITH RECURSIVE messages AS (
+  SELECT row_number() OVER () AS row_id, conv_id, turn, role, coalesce(text, '') AS text
+  FROM conversations
+), split AS (
+  SELECT row_id, conv_id, turn, unnest(parts) AS line, generate_subscripts(parts, 1) AS place
+  FROM (SELECT *, string_split_regex(text, '\r?\n') AS parts FROM messages)
+), lines AS (
+  SELECT *, length(regexp_replace(regexp_extract(line, '^(?:[ \t]*>)+'), '[^>]', '', 'g')) AS level,
+    regexp_replace(line, '^(?:[ \t]*>)+', '') AS body
+  FROM split
+), normed AS (
+  SELECT *, trim(regexp_replace(lower(body), '[^\p{L}\p{N}]+', ' ', 'g')) AS norm,
+    lag(level, 1, 0) OVER (PARTITION BY row_id ORDER BY place) AS level_before
+  FROM lines
+), quoted AS (
+  SELECT conv_id, turn, level, norm, count(*) AS n FROM normed
+  WHERE level > 0 AND norm <> '' GROUP BY ALL
+), origins AS (
+  SELECT conv_id, norm, min(turn) AS origin FROM normed
+  WHERE level = 0 AND norm <> '' GROUP BY ALL
+), votes AS (
+  SELECT conv_id, turn, origin, coalesce(sum(n) FILTER (level = 1), 0) AS direct, sum(n) AS n
+  FROM quoted JOIN origins USING (conv_id, norm) WHERE origin < turn GROUP BY ALL
+), answered AS (
+  SELECT conv_id, turn, max({'d': direct, 'n': n, 'o': origin}).o AS reply_to,
+    sum(n)::BIGINT AS n_linked
+  FROM votes GROUP BY ALL
+), chain AS (
+  SELECT conv_id, turn, reply_to AS thread, 1::BIGINT AS depth FROM answered
+  UNION ALL
+  SELECT chain.conv_id, chain.turn, answered.reply_to, chain.depth + 1
+  FROM chain JOIN answered ON chain.conv_id = answered.conv_id AND chain.thread = answered.turn
+), threads AS (
+  SELECT conv_id, turn, arg_max(thread, depth) AS thread, max(depth) AS depth FROM chain GROUP BY ALL
+), shown AS (
+  SELECT row_id,
+    trim(coalesce(string_agg(body, chr(10) ORDER BY place) FILTER (level = 0), '')) AS text,
+    count(*) FILTER (level > 0 AND level <> level_before) AS n_quotes, max(level)::INT AS max_level
+  FROM normed GROUP BY row_id
+)
+SELECT m.conv_id, m.turn, m.role, s.text, s.n_quotes, s.max_level, a.reply_to,
+  coalesce(a.n_linked, 0) AS n_linked, coalesce(t.thread, m.turn) AS thread,
+  coalesce(t.depth, 0) AS depth
+FROM messages m JOIN shown s USING (row_id)
+  LEFT JOIN answered a ON a.conv_id = m.conv_id AND a.turn = m.turn
+  LEFT JOIN threads t ON t.conv_id = m.conv_id AND t.turn = m.turn
+"""
+
 ORACLES: dict[str, str] = {
+    "op4_quotation_linking": QUOTATIONS,
     "op2_quality_rules": QUALITY_RULES,
     "op8_archive": ARCHIVE,
 }
