@@ -51,7 +51,7 @@ class TextEncoder:
         parts = pc.split_pattern(marked, _CUT)
         if pc.any(whole).as_py():
             # Such a text is one part.
-            single = pa.LargeListArray.from_arrays(np.arange(len(texts) + 1), texts)
+            single = pa.ListArray.from_arrays(np.arange(len(texts) + 1, dtype=np.int32), texts)
             parts = pc.if_else(whole, single, parts)
         lengths = pc.list_value_length(parts).to_numpy(zero_copy_only=False)
         coded = pc.list_flatten(parts).dictionary_encode()
