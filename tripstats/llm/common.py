@@ -62,7 +62,8 @@ class Words:
         lengths = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
         coded = split.flatten().dictionary_encode()
         ids = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        self.vocabulary: list[str] = coded.dictionary.to_pylist()
+        # Far faster than to_pylist.
+        self.vocabulary: list[str] = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         # White space at either end of a text leaves an empty word.
         filled = np.array([word != "" for word in self.vocabulary], dtype=bool)
         kept = filled[ids] if len(ids) else np.zeros(0, dtype=bool)
@@ -93,4 +94,6 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     if not len(lengths):
         return np.zeros(0, dtype=np.int64)
     ends = np.cumsum(lengths)
-    return np.arange(ends[-1]) + np.repeat(starts - (ends - lengths), lengths)
+    places = np.repeat(starts - (ends - lengths), lengths)
+    places += np.arange(ends[-1])
+    return places

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripstats.llm.common import chunks, stored
-from tripstats.llm.tokens import Cut, TextEncoder
+from tripstats.llm.tokens import Cut, shared_encoder
 
 CAPACITY = 4096
 END_ID = 1
@@ -83,7 +83,7 @@ def pieces(df, tokenizer, cut, doc_id, text, capacity, end_id, keep_ids) -> Data
     fields = PIECE_FIELDS + (", ids array<int>" if keep_ids else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(tokenizer, cut)
+        encoder = shared_encoder(tokenizer, cut)
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, dtype=np.int64)
         for batch in chunks(batches, "text"):

@@ -5,6 +5,9 @@ at such places, each distinct cut is encoded once by the tokenizers library, and
 are put together again: the same ids as of the whole text, for a fraction of the work.
 """
 
+import functools
+import os
+from array import array
 from enum import Enum
 
 import numpy as np
@@ -15,7 +18,9 @@ from tokenizers import Tokenizer
 from tripstats.llm.common import ragged
 
 # Distinct words that a task remembers; beyond, it starts anew.
-MOST_WORDS = 1_000_000
+MOST_WORDS = 600_000
+# Words given to the tokenizer at a time; its answers are far larger than the ids.
+ENCODE_WORDS = 2_000
 
 _CUT = "\x00"
 _SPACES = r"\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{1C}-\x{1F}"
@@ -32,10 +37,19 @@ class Cut(Enum):
     SPACE_DROPPED = "white space only separates words"
 
 
+@functools.lru_cache(maxsize=2)
+def shared_encoder(path: str, cut: Cut) -> "TextEncoder":
+    """The encoder of this process: a Python worker keeps the words it knows from task to
+    task."""
+    return TextEncoder(path, cut)
+
+
 class TextEncoder:
     """Ids by the tokenizer file at ``path``, as ``encode(text, add_special_tokens=False)``."""
 
     def __init__(self, path: str, cut: Cut):
+        # A task has one core; threads of its own would only get in the way of other tasks.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.cut = cut
         self._forget()
@@ -55,7 +69,8 @@ class TextEncoder:
             parts = pc.if_else(whole, single, parts)
         lengths = pc.list_value_length(parts).to_numpy(zero_copy_only=False)
         coded = pc.list_flatten(parts).dictionary_encode()
-        places = self._places(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)]
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        places = self._places(words)[coded.indices.to_numpy(zero_copy_only=False)]
         sizes = self.sizes[places]
         ids = self.ids[ragged(self.starts[places], sizes)]
         of_parts = np.concatenate([[0], np.cumsum(sizes)])
@@ -70,15 +85,23 @@ class TextEncoder:
         if len(self.known) + len(words) > MOST_WORDS:
             self._forget()
         known = self.known
-        new = [word for word in words if word not in known]
-        if new:
-            found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            found = [encoding.ids for encoding in found]
-            sizes = np.array([len(ids) for ids in found], dtype=np.int64)
-            flat = np.array([i for ids in found for i in ids], dtype=np.uint32)
+        places = np.array([known.get(word, -1) for word in words], dtype=np.int64)
+        unknown = np.flatnonzero(places < 0)
+        if len(unknown):
+            new = [words[i] for i in unknown]
+            places[unknown] = np.arange(len(known), len(known) + len(new))
+            sizes, flat = [], array("I")
+            for at in range(0, len(new), ENCODE_WORDS):
+                part = new[at : at + ENCODE_WORDS]
+                for encoding in self.tokenizer.encode_batch_fast(part, add_special_tokens=False):
+                    ids = encoding.ids
+                    sizes.append(len(ids))
+                    flat.extend(ids)
+            sizes = np.array(sizes, dtype=np.int64)
+            flat = np.frombuffer(flat, dtype=np.uint32)
             starts = len(self.ids) + np.cumsum(sizes) - sizes
             self.ids = np.concatenate([self.ids, flat])
             self.starts = np.concatenate([self.starts, starts])
             self.sizes = np.concatenate([self.sizes, sizes])
             known.update(zip(new, range(len(known), len(known) + len(new))))
-        return np.array([known[word] for word in words], dtype=np.int64)
+        return places
