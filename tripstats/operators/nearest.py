@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tripstats.functions.geo import cell_key, cell_numbers, haversine_km, unit_vector
 from tripstats.operators.lookup import BROADCAST_BYTES, SALTS, measure, salted_join
+from tripstats.workspace import checkpointed
 
 FEW_SITES = 64
 
@@ -13,12 +14,13 @@ FEW_SITES = 64
 _DEPTHS = (3, 6, 9, 12, 15, 18, 20)
 _FEW_CELLS = 64
 _FEW_SPOTS = 32
+# What is searched for: places, not points.
+_KEY = ("latitude", "longitude")
 
 
 def nearest_site(
     points: DataFrame,
     sites: DataFrame,
-    key: tuple[str, ...] = ("id",),
     site_id: str = "id",
     ties: str = "all",
     out_id: str = "weather_station_id",
@@ -30,12 +32,13 @@ def nearest_site(
     """Add to each point the id and distance of the nearest site.
 
     Both sides carry ``latitude`` and ``longitude`` in degrees; points or sites
-    without coordinates are left out.  ``key`` identifies a point.  With
-    ``ties="all"`` a point gets a row for every site at the least distance, with
-    ``ties="first"`` only the smallest id of them.
+    without coordinates are left out.  With ``ties="all"`` a point gets a row for every
+    site at the least distance, with ``ties="first"`` only the smallest id of them.
+    Repeated points, and points with the same or no id, all keep their rows.
 
-    Each point is compared with all of up to ``few_sites`` sites.  More are searched
-    through ever smaller cells (see ``_search``).
+    The search is for the distinct coordinates of the points, and its result is joined
+    back to them.  Coordinates are compared with all of up to ``few_sites`` sites.  More
+    are searched through ever smaller cells (see ``_search``); the result is the same.
     """
     if ties not in ("all", "first"):
         raise ValueError(f"ties must be 'all' or 'first', not {ties!r}")
@@ -45,16 +48,18 @@ def nearest_site(
         F.col("latitude").cast("double").alias("_lat"),
         F.col("longitude").cast("double").alias("_lng"),
     ).filter("_lat is not null and _lng is not null")
+    # Sites are read several times below, so they are stored once.
+    places = checkpointed(places)
     size = measure(places)
+    distinct = located.select(*_KEY).distinct()
     if size.rows <= few_sites:
-        found = _compare_all(located, places, key, ties)
+        nearest = _compare_all(distinct, places, ties)
     else:
-        narrow = located.select(*key, "latitude", "longitude")
         # No table joined in the search has more rows than there are sites, nor rows
         # more than twice as wide.
         small = 2 * size.bytes <= broadcast_bytes
-        nearest = _search(narrow, places, key, ties, small, salts)
-        found = located.join(nearest.select(*key, "_id", "_distance"), list(key))
+        nearest = _search(distinct, places, ties, small, salts)
+    found = located.join(nearest.select(*_KEY, "_id", "_distance"), list(_KEY))
     return found.select(
         *points.columns, F.col("_id").alias(out_id), F.col("_distance").alias(out_distance)
     )
@@ -64,20 +69,18 @@ def _distance_to(lat: Column, lng: Column) -> Column:
     return haversine_km(F.col("latitude"), F.col("longitude"), lat, lng)
 
 
-def _compare_all(points: DataFrame, places: DataFrame, key: tuple[str, ...], ties: str) -> DataFrame:
-    """Compare each point with every one of a few sites."""
+def _compare_all(points: DataFrame, places: DataFrame, ties: str) -> DataFrame:
+    """Compare each point with every one of a few sites.  The points are dealt by
+    their coordinates already, so ranking needs no further shuffle."""
     listed = places.agg(F.collect_list(F.struct("_id", "_lat", "_lng"))).scalar()
-    # Points are shuffled before they are multiplied; ranking needs no further shuffle.
-    arranged = points.repartition(*key).withColumn("_sites", listed)
-    pairs = arranged.select(*points.columns, F.inline("_sites"))
+    pairs = points.withColumn("_sites", listed).select(*_KEY, F.inline("_sites"))
     measured = pairs.withColumn("_distance", _distance_to(F.col("_lat"), F.col("_lng")))
-    return _nearest_only(measured, key, ties)
+    return _nearest_only(measured, ties)
 
 
 def _search(
     points: DataFrame,
     places: DataFrame,
-    key: tuple[str, ...],
     ties: str,
     small: bool,
     salts: int,
@@ -93,37 +96,39 @@ def _search(
     # Sites at one spot compete as one and are told apart at the end.
     spots = places.groupBy("_lat", "_lng").agg(F.min("_id").alias("_id"))
     spots = spots.select("*", *_named("_s", F.col("_lat"), F.col("_lng")))
+    cells = {f"_cell_{depth}": _cell_at(depth) for depth in _DEPTHS}
+    spots = checkpointed(spots.withColumns(cells))
 
     def join(many: DataFrame, few: DataFrame, on: list[str]) -> DataFrame:
         if small:
             return many.join(F.broadcast(few), on)
-        return salted_join(many, few, on, list(key), salts)
+        return salted_join(many, few, on, list(_KEY), salts)
 
     depths = _useful_depths(spots)
     vectors = points.select("*", *_named("_p", F.col("latitude"), F.col("longitude")))
     # At most a few hundred cells, whatever the number of sites.
-    coarse = [row[0] for row in spots.select(_cell_at(depths[0])).distinct().collect()]
-    state = vectors.repartition(*key).withColumn("_cell", F.explode(F.lit(coarse).cast("array<long>")))
-    state = _still_possible(state, depths[0], key)
+    coarse = [row[0] for row in spots.select(f"_cell_{depths[0]}").distinct().collect()]
+    state = vectors.withColumn("_cell", F.explode(F.lit(coarse).cast("array<long>")))
+    state = _still_possible(state, depths[0])
     for depth, deeper in zip(depths, depths[1:]):
         inner = spots.select(
-            _cell_at(depth).alias("_cell"), _cell_at(deeper).alias("_inner")
+            F.col(f"_cell_{depth}").alias("_cell"), F.col(f"_cell_{deeper}").alias("_inner")
         ).distinct()
         opened = join(state, inner, ["_cell"]).drop("_cell").withColumnRenamed("_inner", "_cell")
-        state = _still_possible(opened, deeper, key)
+        state = _still_possible(opened, deeper)
 
-    inside = spots.select("_id", "_lat", "_lng", _cell_at(depths[-1]).alias("_cell"))
+    inside = spots.select("_id", "_lat", "_lng", F.col(f"_cell_{depths[-1]}").alias("_cell"))
     measured = join(state, inside, ["_cell"]).withColumn(
         "_distance", _distance_to(F.col("_lat"), F.col("_lng"))
     )
-    nearest = _nearest_only(measured, key, ties)
+    nearest = _nearest_only(measured, ties)
     if ties == "first":
         return nearest
     return join(nearest.drop("_id"), places, ["_lat", "_lng"])
 
 
-def _nearest_only(measured: DataFrame, key: tuple[str, ...], ties: str) -> DataFrame:
-    same_point = Window.partitionBy(*key)
+def _nearest_only(measured: DataFrame, ties: str) -> DataFrame:
+    same_point = Window.partitionBy(*_KEY)
     if ties == "first":
         place = F.row_number().over(same_point.orderBy("_distance", "_id"))
     else:
@@ -131,10 +136,10 @@ def _nearest_only(measured: DataFrame, key: tuple[str, ...], ties: str) -> DataF
     return measured.withColumn("_n", place).filter("_n = 1")
 
 
-def _still_possible(state: DataFrame, depth: int, key: tuple[str, ...]) -> DataFrame:
+def _still_possible(state: DataFrame, depth: int) -> DataFrame:
     """Drop the cells that cannot hold the nearest site of their point."""
     near, far = _chord_sq_range(depth)
-    best = F.min("_far").over(Window.partitionBy(*key))
+    best = F.min("_far").over(Window.partitionBy(*_KEY))
     bounded = state.withColumns({"_near": near, "_far": far}).withColumn("_best", best)
     # The slack keeps sites whose rounded distances tie.
     possible = bounded.filter(F.col("_near") <= F.col("_best") * (1 + 1e-6) + 1e-18)
@@ -145,7 +150,7 @@ def _useful_depths(spots: DataFrame) -> tuple[int, ...]:
     """The depths from the last with few occupied cells to the first where no cell
     holds many spots.  A choice of speed only: any depths give the same result."""
     levels = F.array(
-        *(F.struct(F.lit(d).alias("depth"), _cell_at(d).alias("cell")) for d in _DEPTHS)
+        *(F.struct(F.lit(d).alias("depth"), F.col(f"_cell_{d}").alias("cell")) for d in _DEPTHS)
     )
     held = spots.select(F.inline(levels)).groupBy("depth", "cell").count()
     measured = held.groupBy("depth").agg(F.count("*").alias("cells"), F.max("count").alias("most"))
