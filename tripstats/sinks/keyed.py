@@ -1,23 +1,27 @@
 """Parquet tables with one row per key.
 
-A table is a folder of versions, ``version=0000000000`` and so on, each a whole
-Parquet data set.  A version counts once its write has left a success marker, and
-the greatest such version is the table.  Readers of an older one are not disturbed
-by a write.  One writer at a time.
+A table is a folder of versions, ``version=0000000000`` and so on.  A version is the
+files that its write added, and a manifest: the schema of the table and all folders
+that make it up, those of older versions among them.  The manifest is written last, as
+one small file, and the greatest version with a whole manifest is the table.  No
+write touches files of an older version, so readers keep the one they began with, and
+a write that stops half-way leaves the table as it was.  One writer at a time.
 """
 
 import functools
+import json
 import operator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripstats.operators.columns import prefix_columns
 from tripstats.operators.keyed import has_duplicate_keys, latest_per_key
+from tripstats.operators.lookup import BROADCAST_BYTES, measure
 
 _PREFIX = "version="
-_DONE = "_SUCCESS"
-_MERGED = "_merged"
+_MANIFEST = "_manifest.json"
 MAX_LISTED_PARTITIONS = 500
 
 
@@ -28,16 +32,19 @@ def write_keyed(
     order_by: list[str] | None = None,
     mode: str = "errorifexists",
     partition_by: list[str] | None = None,
+    unique: bool = False,
 ) -> None:
     """Store one row per key of ``df`` at ``path``.
 
     ``order_by`` decides which row of a key stays: the greatest.  Without it keys
-    have to be unique.  Mode "errorifexists" refuses a table that has data.  Mode
-    "upsert" merges with the stored rows; by ``order_by``, or else the new row wins.
-
-    An upsert writes a new version of the whole table, unless it is partitioned:
-    then only the partitions with new rows are rewritten, in place.  The key must
-    determine the partition.
+    have to be unique, which costs a pass to find out unless the caller vouches for it
+    by ``unique``.  A null in a key stops the write.  Mode "errorifexists" refuses a
+    table that has data.  Mode "upsert" merges with the stored rows; by ``order_by``, or
+    else the new row wins.
+
+    An upsert writes the whole table anew, unless it is partitioned: then only the
+    partitions with new rows are rewritten.  The key must determine the partition.
+    Columns keep their types, partition columns too.
     """
     spark, keys, partition_by = df.sparkSession, list(keys), list(partition_by or [])
     if mode not in ("errorifexists", "upsert"):
@@ -45,23 +52,25 @@ def write_keyed(
     stored = current_version(spark, path)
     if stored and mode == "errorifexists":
         raise FileExistsError(f"{path} holds data already")
+    df = df.withColumns({key: _known(key) for key in keys})
     if order_by is None:
-        if has_duplicate_keys(df, keys):
+        if not unique and has_duplicate_keys(df, keys):
             raise ValueError(f"several rows for one of {keys}: name the columns that order them")
         incoming = df
     else:
         incoming = latest_per_key(df, keys, order_by)
 
     if not stored:
-        _save(incoming, _version_path(path, 0), partition_by)
-    elif partition_by:
-        _finish_merge(spark, stored, partition_by)
-        old = _touched_partitions(spark.read.parquet(stored), incoming, partition_by)
-        _save(_merge(old, incoming, keys, order_by), f"{stored}/{_MERGED}", [])
-        _finish_merge(spark, stored, partition_by)
+        _save(incoming, path, 0, partition_by)
+        return
+    old = read_version(spark, stored)
+    if partition_by:
+        # Which partitions are touched does not depend on which row of a key stays.
+        touched = _touched_partitions(old, df, partition_by)
+        merged = _merge(touched, incoming, keys, order_by)
+        _save(merged, path, _number(stored) + 1, partition_by, _manifest(spark, stored)["folders"])
     else:
-        merged = _merge(spark.read.parquet(stored), incoming, keys, order_by)
-        _save(merged, _version_path(path, _number(stored) + 1), [])
+        _save(_merge(old, incoming, keys, order_by), path, _number(stored) + 1, [])
 
 
 def current_version(spark: SparkSession, path: str) -> str | None:
@@ -70,12 +79,44 @@ def current_version(spark: SparkSession, path: str) -> str | None:
     return versions[-1] if versions else None
 
 
+def read_version(spark: SparkSession, version: str, **options) -> DataFrame:
+    """The rows of one version."""
+    manifest = _manifest(spark, version)
+    schema = T.StructType.fromJson(manifest["schema"])
+    path = version.rsplit("/", 1)[0]
+    folders = [f"{path}/{folder}" for folder in manifest["folders"]]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.options(**options).schema(schema)
+    if not manifest["partitioned"]:
+        return reader.parquet(*folders)
+    # Partition values stand in the paths below the version, which is no column.
+    rows = reader.option("basePath", path).parquet(*folders)
+    return rows.select(*schema.names)
+
+
 def drop_old_versions(spark: SparkSession, path: str, keep: int = 3) -> None:
-    """Delete all but the ``keep`` newest complete versions."""
+    """Delete all but the ``keep`` newest complete versions, but for the folders that these
+    still use."""
     if keep < 1:
         raise ValueError("at least one version has to stay")
-    for folder in _complete_versions(spark, path)[:-keep]:
-        _delete(spark, folder)
+    versions = _complete_versions(spark, path)
+    used = {folder for version in versions[-keep:] for folder in _manifest(spark, version)["folders"]}
+    for version in versions[:-keep]:
+        name = version.rsplit("/", 1)[1]
+        # Without its manifest the version is gone for readers; its files follow.
+        own = [f for f in _manifest(spark, version)["folders"] if f.split("/")[0] == name]
+        if not any(folder.split("/")[0] == name for folder in used):
+            _delete(spark, version)
+            continue
+        for folder in own:
+            if folder not in used:
+                _delete(spark, f"{path}/{folder}")
+
+
+def _known(key: str) -> Column:
+    message = F.lit(f"a row without {key} cannot be stored by it")
+    return F.when(F.col(key).isNull(), F.raise_error(message)).otherwise(F.col(key))
 
 
 def _merge(old: DataFrame, new: DataFrame, keys: list[str], order_by) -> DataFrame:
@@ -84,12 +125,30 @@ def _merge(old: DataFrame, new: DataFrame, keys: list[str], order_by) -> DataFra
     return latest_per_key(old.unionByName(new), keys, order_by)
 
 
-def _save(df: DataFrame, folder: str, partition_by: list[str]) -> None:
+def _save(
+    df: DataFrame, path: str, number: int, partition_by: list[str], kept: list[str] | None = None
+) -> None:
+    """Write a version; of the folders ``kept`` of the one before, those stay for which it
+    has no partition of its own."""
+    spark, name = df.sparkSession, f"{_PREFIX}{number:010d}"
     writer = df
     if partition_by:
         # Adaptive execution splits the large partitions and joins the small ones.
         writer = df.hint("rebalance", *(F.col(c) for c in partition_by))
-    writer.write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
+    writer.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/{name}")
+    folders = [name]
+    if partition_by:
+        added = _partition_folders(spark, f"{path}/{name}", len(partition_by))
+        folders = [f"{name}/{partition}" for partition in added]
+        folders += [f for f in kept or [] if f.split("/", 1)[1] not in added]
+    # The columns in the order of reading: partition columns come last.
+    fields = sorted(df.schema.fields, key=lambda field: field.name in partition_by)
+    manifest = {
+        "schema": T.StructType(fields).jsonValue(),
+        "partitioned": bool(partition_by),
+        "folders": folders,
+    }
+    _write_text(spark, f"{path}/{name}/{_MANIFEST}", json.dumps(manifest))
 
 
 def _touched_partitions(old: DataFrame, new: DataFrame, partition_by: list[str]) -> DataFrame:
@@ -99,6 +158,8 @@ def _touched_partitions(old: DataFrame, new: DataFrame, partition_by: list[str])
     if len(listed) > MAX_LISTED_PARTITIONS:
         touched = prefix_columns(touched, "_new_")
         same = [F.col(c).eqNullSafe(F.col(f"_new_{c}")) for c in partition_by]
+        if measure(touched).bytes <= BROADCAST_BYTES:
+            touched = F.broadcast(touched)
         return old.join(touched, same, "left_semi")
     # Literals let the scan skip the other partitions.
     hits = [_all(F.col(c).eqNullSafe(row[c]) for c in partition_by) for row in listed]
@@ -109,33 +170,53 @@ def _all(conditions) -> Column:
     return functools.reduce(operator.and_, conditions)
 
 
-def _finish_merge(spark: SparkSession, stored: str, partition_by: list[str]) -> None:
-    """Put merged partitions in place.  They were written out completely first, so a
-    run that stops half-way is repeated from them by the next one."""
-    merged = f"{stored}/{_MERGED}"
-    if not _exists(spark, f"{merged}/{_DONE}"):
-        return
-    rows = spark.read.parquet(merged).hint("rebalance", *(F.col(c) for c in partition_by))
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*partition_by).parquet(stored)
-    _delete(spark, merged)
-
-
-def _version_path(path: str, number: int) -> str:
-    return f"{path}/{_PREFIX}{number:010d}"
-
-
 def _number(folder: str) -> int:
     return int(folder.rsplit(_PREFIX, 1)[1])
 
 
+# --- files, through the file system that Spark writes to -------------------------
+
+
 def _complete_versions(spark: SparkSession, path: str) -> list[str]:
     fs, root = _file_system(spark, path)
     if not fs.exists(root):
         return []
     names = (status.getPath().getName() for status in fs.listStatus(root))
     folders = sorted(f"{path}/{name}" for name in names if name.startswith(_PREFIX))
-    return [folder for folder in folders if _exists(spark, f"{folder}/{_DONE}")]
+    return [folder for folder in folders if _manifest(spark, folder) is not None]
+
+
+def _manifest(spark: SparkSession, version: str) -> dict | None:
+    """The manifest of a version; None if there is none or its write was cut short."""
+    fs, where = _file_system(spark, f"{version}/{_MANIFEST}")
+    if not fs.exists(where):
+        return None
+    stream = fs.open(where)
+    try:
+        content = bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+    try:
+        return json.loads(content)
+    except ValueError:
+        return None
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, where = _file_system(spark, path)
+    stream = fs.create(where, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def _partition_folders(spark: SparkSession, folder: str, depth: int) -> set[str]:
+    """Relative paths of the partition folders below ``folder``."""
+    fs, where = _file_system(spark, folder + "/*=*" * depth)
+    # Names stand as Spark wrote them, with its escapes.
+    names = (status.getPath().toString() for status in fs.globStatus(where) or [])
+    return {"/".join(name.split("/")[-depth:]) for name in names}
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -143,11 +224,6 @@ def _file_system(spark: SparkSession, path: str):
     return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), where
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, where = _file_system(spark, path)
-    return fs.exists(where)
-
-
 def _delete(spark: SparkSession, path: str) -> None:
     fs, where = _file_system(spark, path)
     fs.delete(where, True)

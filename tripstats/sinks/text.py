@@ -2,19 +2,13 @@
 
 from pyspark.sql import DataFrame
 
-SINGLE_FILE_ROWS = 1_000_000
 
-
-def write_csv(
-    df: DataFrame, path: str, single_file: bool = False, max_rows: int = SINGLE_FILE_ROWS
-) -> None:
+def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Write files with a header, replacing what is at ``path``.
 
-    ``single_file`` is for reports: it puts everything through one task, and is
-    refused for more than ``max_rows`` rows.
+    ``single_file`` is for reports of a size to be read by people: one task writes
+    everything, while those before it run side by side.
     """
     if single_file:
-        if df.limit(max_rows + 1).count() > max_rows:
-            raise ValueError(f"more than {max_rows} rows: write them as several files")
-        df = df.coalesce(1)
+        df = df.repartition(1)
     df.write.csv(path, header=True, mode="overwrite")

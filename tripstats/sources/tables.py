@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripstats.sinks.keyed import current_version
+from tripstats.sinks.keyed import current_version, read_version
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
@@ -14,4 +14,7 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", **options)
     if fmt != "parquet":
         reader = spark.read.format(fmt).options(**options)
         return reader.load(path) if path else reader.load()
-    return spark.read.options(**options).parquet(current_version(spark, path) or path)
+    version = current_version(spark, path)
+    if version:
+        return read_version(spark, version, **options)
+    return spark.read.options(**options).parquet(path)
