@@ -159,6 +159,31 @@ _DOCUMENTS = """
            max(ts) OVER (PARTITION BY event_id // 100) AS snapshot_time
     FROM events"""
 
+_WEATHER_HOURLY = f"""
+    SELECT start_station_id, start_station_name, cast(start_time AS date) AS start_date,
+           {_hour("start_time")} AS start_hour, {_month("start_time")} AS start_month,
+           {_weekday("start_time")} AS weekday, {_weekend("start_time")} AS weekend,
+           temperature, humidity, windspeed, count(*) AS number_of_trips
+    FROM joined GROUP BY ALL"""
+
+_WEATHER_PAIRS = """
+    SELECT p.start_station_id, p.start_date, p.start_hour, p.start_month, p.weekday,
+           p.weekend, p.temperature, p.humidity, p.windspeed,
+           p.number_of_trips AS past_trips, c.number_of_trips
+    FROM hourly p JOIN hourly c
+      ON p.start_station_id = c.start_station_id AND p.start_date = c.start_date
+     AND p.start_hour = c.start_hour - 1"""
+
+_MODELS = "(VALUES ('decision_tree'), ('gradient_boosted_trees'), ('random_forest')) AS models (model)"
+
+
+def _text(*numbers: str) -> str:
+    """Numbers as the JVM writes doubles of moderate size."""
+    return "concat_ws('|', " + ", ".join(f"cast(round(cast({n} AS double), 6) AS varchar)" for n in numbers) + ")"
+
+
+_PLAIN_FEATURES = ("start_station_id", "weekday", "weekend", "start_hour", "start_month", "past_trips")
+
 ORACLES: dict[str, str] = {
     "total_trips": "SELECT count(*) AS total_bikes FROM lineitem",
     "total_trips_of_year": """
@@ -312,7 +337,8 @@ ORACLES: dict[str, str] = {
         FROM pairs WHERE d < 4""",
     "event_lookup": f"""
         {_with("city_events", "rider_stations")}
-        SELECT DISTINCT e.*, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude
+        SELECT DISTINCT e.* REPLACE (cast(event_id AS int) AS event_id),
+               round(latitude, 6) AS latitude, round(longitude, 6) AS longitude
         FROM city_events e JOIN rider_stations ON event_location = concat('Place ', id)
         WHERE id % 10 <> 0""",
     "event_places": "SELECT DISTINCT concat('Place ', user_id) AS event_location FROM events",
@@ -415,4 +441,81 @@ ORACLES: dict[str, str] = {
                   PARTITION BY user_id ORDER BY snapshot_time DESC, position DESC) AS n
               FROM documents)
         WHERE n = 1""",
+    "nearest_site_repeated": f"""
+        {_with("rider_stations", "sites", pairs=f'''
+            SELECT a.id, b.id AS site,
+                   {_distance("a.latitude", "a.longitude", "b.latitude", "b.longitude")} AS d
+            FROM rider_stations a CROSS JOIN sites b''', ranked='''
+            SELECT *, rank() OVER (PARTITION BY id ORDER BY d) AS n FROM pairs''')}
+        SELECT CASE WHEN id % 5 <> 0 THEN id % 7 END AS id, way, site AS weather_station_id,
+               round(d, 6) AS distance_km
+        FROM ranked CROSS JOIN (VALUES ('few'), ('many')) AS ways (way) WHERE n = 1""",
+    "text_partitions": """
+        SELECT o_orderkey, lpad(cast(o_orderkey % 12 AS varchar), 2, '0') AS part,
+               CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice ELSE -1e0 END AS o_totalprice
+        FROM orders""",
+    "enriched_table": f"""
+        {_with("clock_trips", "weather", joined=_WEATHER_TRIPS)}
+        SELECT bike_id, start_station_id, temperature, humidity, windspeed
+        FROM joined JOIN customer ON c_custkey = start_station_id""",
+    "report_tables": f"""
+        {_with("clock_trips", "weather", joined=_WEATHER_TRIPS, kept='''
+            SELECT joined.* FROM joined JOIN customer ON c_custkey = start_station_id''', top='''
+            SELECT start_station_name AS key, count(*) AS trips FROM kept
+            GROUP BY start_station_name, start_station_latitude, start_station_longitude
+            ORDER BY count(*) DESC, start_station_name LIMIT 20''')}
+        SELECT 'total_trips' AS "table", 'all' AS key, count(*) AS trips FROM kept
+        UNION ALL SELECT 'start_trip_top_20', key, trips FROM top
+        UNION ALL SELECT 'grouped_count',
+            concat(year(start_time), '-', month(start_time)), count(*) FROM kept GROUP BY ALL
+        UNION ALL SELECT 'phmd', cast(humidity AS varchar), count(*) FROM kept GROUP BY ALL""",
+    "event_table_loaded": f"""
+        {_with("city_events", "rider_stations", ranked='''
+            SELECT *, row_number() OVER (PARTITION BY event_id, start_date_time
+                                         ORDER BY event_location DESC) AS n
+            FROM city_events JOIN rider_stations ON event_location = concat('Place ', id)''')}
+        SELECT cast(event_id AS int) AS event_id, start_date_time, event_location,
+               round(latitude, 6) AS latitude, round(longitude, 6) AS longitude
+        FROM ranked WHERE n = 1""",
+    "stations_table": f"""
+        {_with(documents=_DOCUMENTS)}
+        SELECT user_id AS id, concat('Station ', user_id) AS station_name,
+               event_id % 40 AS available_bikes
+        FROM (SELECT *, row_number() OVER (
+                  PARTITION BY user_id ORDER BY snapshot_time DESC, event_id % 40 DESC) AS n
+              FROM documents)
+        WHERE n = 1""",
+    "first_training_year": f"""
+        WITH hourly AS (
+            SELECT l_suppkey AS start_station_id, cast(l_shipdate AS date) AS start_date,
+                   cast(l_partkey % 24 AS int) AS start_hour, {_month("l_shipdate")} AS start_month,
+                   {_weekday("l_shipdate")} AS weekday, {_weekend("l_shipdate")} AS weekend,
+                   count(*) AS number_of_trips
+            FROM lineitem WHERE year(l_shipdate) >= 1998 GROUP BY ALL)
+        {_PAIRS}""",
+    "metric_values": f"""
+        {_with("clock_trips", hourly=_HOURLY, pairs=_PAIRS, found='''
+            SELECT avg(pow(past_trips - number_of_trips, 2)) AS mse,
+                   var_pop(number_of_trips) AS spread
+            FROM pairs''')}
+        SELECT 'as_before' AS model, 'r2' AS metric, round(1 - mse / spread, 6) AS value FROM found
+        UNION ALL SELECT 'as_before', 'rmse', round(sqrt(mse), 6) FROM found""",
+    "feature_vector": f"""
+        {_with("clock_trips", "weather", hourly_plain=_HOURLY, pairs_plain=_PAIRS.replace("hourly", "hourly_plain"),
+               joined=_WEATHER_TRIPS, hourly=_WEATHER_HOURLY, pairs=_WEATHER_PAIRS)}
+        SELECT 'plain' AS variant, start_station_id, start_date, start_hour,
+               {_text(*_PLAIN_FEATURES)} AS features FROM pairs_plain
+        UNION ALL SELECT 'weather', start_station_id, start_date, start_hour,
+               {_text(*_PLAIN_FEATURES, "temperature", "humidity", "windspeed")} FROM pairs""",
+    "weekday_tree": f"""
+        {_with("clock_trips", hourly=_HOURLY, pairs=_PAIRS)}
+        SELECT weekday, round(avg(number_of_trips), 6) AS prediction FROM pairs GROUP BY 1""",
+    "weather_scored_rows": f"""
+        {_with("clock_trips", "weather", joined=_WEATHER_TRIPS, hourly=_WEATHER_HOURLY,
+               pairs=_WEATHER_PAIRS, hashed='''
+            SELECT *, md5(concat(start_station_id, '|', start_date, '|', start_hour)) AS digest
+            FROM pairs''')}
+        SELECT hashed.* EXCLUDE (digest, temperature, humidity, windspeed), model
+        FROM hashed CROSS JOIN {_MODELS}
+        WHERE cast(concat('0x', substr(digest, 1, 4)) AS int) >= 49152""",
 }

@@ -418,8 +418,11 @@ def model_metrics(spark, folder):
 
 def _predictions(spark, folder):
     rows = demand.training_rows(_clock_trips(spark, folder))
-    predictions = forecasting.forecast_demand(rows).predictions
-    scored = [df.withColumn("model", F.lit(name)) for name, df in predictions.items()]
+    return _predictions_of(forecasting.forecast_demand(rows))
+
+
+def _predictions_of(forecast):
+    scored = [df.withColumn("model", F.lit(name)) for name, df in forecast.predictions.items()]
     return scored[0].unionByName(scored[1]).unionByName(scored[2])
 
 

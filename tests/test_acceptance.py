@@ -8,6 +8,7 @@ from conftest import executed_plan
 from acceptance import compare
 from acceptance.oracles import ORACLES
 from acceptance.queries import QUERIES
+from acceptance.stored import stations_table  # noqa: F401 - registers the stored queries
 
 FOLDER = "/root/testdata/sf0.001"
 MODELS = {"model_metrics", "model_predictions", "weather_model_metrics"}
@@ -39,7 +40,7 @@ def test_query_equals_sql(spark, tables, name):
     [
         ("distinct_bikes", "l_partkey"),
         ("by_windspeed", "l_extendedprice,l_tax"),
-        ("events_near_busy", "l_suppkey,l_shipdate"),
+        ("station_inflow", "ts,user_id"),
         ("hourly_demand", "ts,user_id"),
     ],
 )

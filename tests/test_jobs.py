@@ -104,10 +104,14 @@ def test_jobs(spark, rows, landed, tmp_path, capsys):
     job("locate-events", "--files", folder / "events.csv", "--geocodes", folder / "geocodes.csv",
         "--out", tmp_path / "located")
     job("load-events", "--files", tmp_path / "located", "--out", tmp_path / "events")
-    assert rows(table("events"), "event_id", "event_location", "latitude") == [("1", "Main St", "40.61")]
-    job("events-near", "--trips", folder / "trips.csv", "--events", tmp_path / "located",
-        "--out", tmp_path / "near", "--single-file")
+    assert rows(table("events"), "event_id", "event_location", "latitude") == [(1, "Main St", 40.61)]
+    near = ["--trips", tmp_path / "trips", "--events", tmp_path / "located", "--single-file"]
+    job("events-near", *near, "--out", tmp_path / "near")
     assert spark.read.csv(str(tmp_path / "near"), header=True).count() == 0
+    job("events-near", *near, "--out", tmp_path / "nearer", "--min-trips", 1, "--km", 500)
+    found = spark.read.csv(str(tmp_path / "nearer"), header=True)
+    hours = table("trips").select("end_station_id", "start_year", "day_of_year", "start_hour")
+    assert found.count() == hours.distinct().count() and rows(found.select("event_id").distinct()) == [("1",)]
 
 
 def test_follow_stations(spark, rows, tmp_path):

@@ -44,25 +44,26 @@ TRIP_NAMES = {
 
 # --- Fixed values: station snapshot document -----------------------------------
 STATION_SNAPSHOT_SCHEMA = """
+    executionTime STRING,
     stationBeanList ARRAY<STRUCT<
-        id: BIGINT,
-        stationName: STRING,
+        altitude: STRING,
         availableBikes: BIGINT,
         availableDocks: BIGINT,
-        totalDocks: BIGINT,
-        latitude: FLOAT,
-        longitude: FLOAT,
         city: STRING,
+        id: BIGINT,
         landMark: STRING,
+        lastCommunicationTime: STRING,
+        latitude: FLOAT,
         location: STRING,
+        longitude: FLOAT,
         postalCode: STRING,
         stAddress1: STRING,
         stAddress2: STRING,
-        altitude: STRING,
-        lastCommunicationTime: STRING,
-        statusValue: STRING,
+        stationName: STRING,
         statusKey: BIGINT,
-        testStation: BOOLEAN>>
+        statusValue: STRING,
+        testStation: BOOLEAN,
+        totalDocks: BIGINT>>
 """
 
 STATION_NAMES = {
@@ -132,6 +133,7 @@ WEATHER_HOURS_SCHEMA = """
         condition: INT>>
 """
 
+SNAPSHOT_TIME_FORMATS = ("yyyy-MM-dd hh:mm:ss a", "yyyy-MM-dd HH:mm:ss")
 WEATHER_TIME_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm")
 WEATHER_MEASURES = ("temperature", "precipitation", "humidity", "dewpoint", "windspeed")
 
@@ -161,11 +163,10 @@ SEASONS = {"Spring": (3, 5), "Summer": (6, 8), "Fall": (9, 11)}
 OTHER_SEASON = "Winter"
 
 # --- Fixed values: row keys of the stored tables -------------------------------
-# The most selective column of a key comes first: sorts by it compare less.
-TRIP_KEY = ("bike_id", "start_time", "start_station_id")
+TRIP_KEY = ("start_station_id", "bike_id", "start_time")
 STATION_KEY = ("id",)
 WEATHER_SITE_KEY = ("id",)
-WEATHER_HOUR_KEY = ("time", "id")
+WEATHER_HOUR_KEY = ("id", "time")
 EVENT_KEY = ("event_id", "start_date_time")
 PREDICTION_KEY = ("start_station_id", "start_date", "start_hour")
 STATION_STATUS_KEY = ("station_name",)

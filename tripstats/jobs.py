@@ -8,13 +8,18 @@ Order: weather-sites, weather-hours, stations, trips, enrich; then the rest.
 """
 
 import argparse
+import functools
+import logging
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tripstats import sinks, sources
 from tripstats.fixed_values import (
+    BUSY_TRIPS_PER_HOUR,
     EVENT_KEY,
+    EVENT_RADIUS_KM,
     PREDICTION_KEY,
     REPORT_KEYS,
     STATION_KEY,
@@ -23,6 +28,7 @@ from tripstats.fixed_values import (
     WEATHER_MEASURES,
     WEATHER_SITE_KEY,
 )
+from tripstats.operators.keyed import latest_per_key
 from tripstats.operators.periods import month_over_month
 from tripstats.plans import (
     city_events,
@@ -35,6 +41,8 @@ from tripstats.plans import (
 from tripstats.session import build_session
 from tripstats.streaming import station_status
 
+_log = logging.getLogger(__name__)
+
 # Trips are stored by month, so that a filter on time skips whole folders.
 TRIP_PARTITIONS = ["start_year", "start_month"]
 
@@ -42,10 +50,11 @@ TRIP_PARTITIONS = ["start_year", "start_month"]
 REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "total_trips": usage.total_trips,
     "distinct_bikes": usage.distinct_bikes,
-    "start_trip_top_20": usage.top_start_stations,
-    "end_trip_top_20": usage.top_end_stations,
+    # Of stations that share a name, and routes that share a text, the busiest stays.
+    "start_trip_top_20": functools.partial(usage.top_start_stations, by_name=True),
+    "end_trip_top_20": functools.partial(usage.top_end_stations, by_name=True),
     "average_trip_user_type": usage.user_type_summary,
-    "start_to_end_top_20": usage.top_routes,
+    "start_to_end_top_20": functools.partial(usage.top_routes, by_name=True),
     "trips_age": usage.trips_by_age,
     "trip_duration_age": usage.duration_by_age,
     "grouped_count": usage.monthly_trips,
@@ -54,8 +63,6 @@ REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "phmd": weather_profiles.by_precipitation_and_humidity,
     "windspeed": weather_profiles.by_wind_speed,
 }
-# Of stations that share a name, and routes that share a text, the busiest stays.
-_BY_TRIPS = {"start_trip_top_20", "end_trip_top_20", "start_to_end_top_20"}
 
 
 def weather_sites(spark: SparkSession, nearby: str, records: str, out: str) -> None:
@@ -68,11 +75,16 @@ def weather_hours(spark: SparkSession, documents: str, out: str) -> None:
     sinks.write_keyed(hours, out, WEATHER_HOUR_KEY, order_by=["time_local"])
 
 
-def stations(spark: SparkSession, snapshot: str, sites: str, out: str) -> None:
-    located = enrichment.stations_with_site(
-        sources.read_station_snapshot(spark, snapshot), sources.read_table(spark, sites)
-    )
-    sinks.write_keyed(located, out, STATION_KEY, order_by=["weather_station_id"])
+def stations(
+    spark: SparkSession, snapshot: str, sites: str, out: str, lines: bool = False
+) -> None:
+    """The latest record of each station, with the nearest site; of sites equally near the
+    least id."""
+    records = sources.read_station_snapshot(spark, snapshot, lines, time_col="_time")
+    known = records.dropna(subset=list(STATION_KEY))
+    latest = latest_per_key(known, list(STATION_KEY), ["_time"]).drop("_time")
+    located = enrichment.stations_with_site(latest, sources.read_table(spark, sites), ties="first")
+    sinks.write_keyed(located, out, STATION_KEY, unique=True)
 
 
 def trips(spark: SparkSession, files: str, out: str, mode: str = "errorifexists") -> None:
@@ -85,7 +97,8 @@ def enrich(
 ) -> None:
     tables = (sources.read_table(spark, path) for path in (trips, stations, weather))
     enriched = enrichment.enrich_trips(*tables, time_col=time)
-    sinks.write_keyed(enriched, out, TRIP_KEY, ["stop_time"], partition_by=TRIP_PARTITIONS)
+    # Trips are stored by their key, and neither stations nor hours repeat theirs.
+    sinks.write_keyed(enriched, out, TRIP_KEY, partition_by=TRIP_PARTITIONS, unique=True)
 
 
 def reports(spark: SparkSession, trips: str, out: str) -> None:
@@ -98,10 +111,15 @@ def reports(spark: SparkSession, trips: str, out: str) -> None:
 
 
 def _write_report(report: DataFrame, name: str, out: str) -> None:
+    """A keyed table cannot hold a row without its key; such rows are counted and told."""
     keys = list(REPORT_KEYS[name])
-    order = ["number_of_trips"] if name in _BY_TRIPS else None
-    # A keyed table cannot hold a row without its key.
-    sinks.write_keyed(report.dropna(subset=keys), f"{out}/{name}", keys, order)
+    missing = functools.reduce(lambda a, b: a | b, (F.col(key).isNull() for key in keys))
+    counted = Observation()
+    known = report.observe(counted, F.count_if(missing).alias("rows")).filter(~missing)
+    # A report has one row a group.
+    sinks.write_keyed(known, f"{out}/{name}", keys, unique=True)
+    if counted.get["rows"]:
+        _log.warning("%s: %s rows without %s are not stored", name, counted.get["rows"], keys)
 
 
 def forecast(spark: SparkSession, trips: str, out: str, weather: bool = False) -> None:
@@ -130,15 +148,29 @@ def locate_events(spark: SparkSession, files: str, geocodes: str, out: str) -> N
 
 
 def load_events(spark: SparkSession, files: str, out: str) -> None:
+    """Located events as a typed table; rows without a whole number as id, or without a
+    start, are counted and told."""
     events = city_events.event_table(sources.read_events(spark, files))
-    sinks.write_keyed(events, out, EVENT_KEY, order_by=["event_location"])
+    missing = functools.reduce(lambda a, b: a | b, (F.col(key).isNull() for key in EVENT_KEY))
+    counted = Observation()
+    known = events.observe(counted, F.count_if(missing).alias("rows")).filter(~missing)
+    sinks.write_keyed(known, out, EVENT_KEY, order_by=["event_location"])
+    if counted.get["rows"]:
+        _log.warning("%s events without %s are not stored", counted.get["rows"], EVENT_KEY)
 
 
 def events_near(
-    spark: SparkSession, trips: str, events: str, out: str, single_file: bool = False
+    spark: SparkSession,
+    trips: str,
+    events: str,
+    out: str,
+    single_file: bool = False,
+    min_trips: int = BUSY_TRIPS_PER_HOUR,
+    km: float = EVENT_RADIUS_KM,
 ) -> None:
+    """Events near busy stations, from the stored trips and files of located events."""
     near = city_events.events_near_busy_stations(
-        sources.read_trips(spark, trips), sources.read_events(spark, events)
+        sources.read_table(spark, trips), sources.read_events(spark, events), min_trips, km
     )
     sinks.write_csv(near, out, single_file)
 
@@ -174,7 +206,8 @@ def _parser() -> argparse.ArgumentParser:
 
     add("weather-sites", weather_sites, "nearby", "records", "out")
     add("weather-hours", weather_hours, "documents", "out")
-    add("stations", stations, "snapshot", "sites", "out")
+    options = add("stations", stations, "snapshot", "sites", "out")
+    options.add_argument("--lines", action="store_true")
     options = add("trips", trips, "files", "out")
     options.add_argument("--mode", choices=["errorifexists", "upsert"], default="errorifexists")
     options = add("enrich", enrich, "trips", "stations", "weather", "out")
@@ -187,6 +220,8 @@ def _parser() -> argparse.ArgumentParser:
     add("load-events", load_events, "files", "out")
     options = add("events-near", events_near, "trips", "events", "out")
     options.add_argument("--single-file", action="store_true")
+    options.add_argument("--min-trips", type=int, default=BUSY_TRIPS_PER_HOUR)
+    options.add_argument("--km", type=float, default=EVENT_RADIUS_KM)
     options = add("follow-stations", follow_stations, "table", "checkpoint")
     options.add_argument("--fmt", default="kafka")
     options.add_argument("--option", action="append", metavar="KEY=VALUE")

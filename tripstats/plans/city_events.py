@@ -7,6 +7,7 @@ from tripstats.fixed_values import BUSY_TRIPS_PER_HOUR, EVENT_NAMES, EVENT_RADIU
 from tripstats.functions.parsing import split_coordinates
 from tripstats.operators.lookup import BROADCAST_BYTES, SALTS, lookup_join
 from tripstats.operators.radius import within_radius
+from tripstats.workspace import checkpointed
 
 
 def event_locations(events: DataFrame) -> DataFrame:
@@ -32,17 +33,26 @@ def locate_events(
 ) -> DataFrame:
     """Events without repeated rows, with the coordinates of their location.
 
-    ``locations`` has ``event_location`` (one row each), ``latitude`` and
-    ``longitude``.  Events at unknown places are left out.
+    ``locations`` has ``event_location``, ``latitude`` and ``longitude``; of several rows
+    of one text the least place counts.  Events at unknown places are left out.
     """
     known = locations.select("event_location", "latitude", "longitude").dropna()
+    place = F.min(F.struct("latitude", "longitude")).alias("place")
+    known = known.groupBy("event_location").agg(place).select("event_location", "place.*")
     unique = events.dropDuplicates()
     return lookup_join(unique, known, ["event_location"], events.columns, broadcast_bytes, salts)
 
 
 def event_table(located_events: DataFrame) -> DataFrame:
-    """The stored form of located events: no repeated rows, fixed columns."""
-    return located_events.dropDuplicates().select(*EVENT_NAMES.values(), "latitude", "longitude")
+    """The stored form of located events: fixed columns, the id a whole number and the
+    coordinates numbers.  What is none becomes null."""
+    texts = [name for name in EVENT_NAMES.values() if name != "event_id"]
+    return located_events.select(
+        F.col("event_id").try_cast("int").alias("event_id"),
+        *texts,
+        F.col("latitude").try_cast("double").alias("latitude"),
+        F.col("longitude").try_cast("double").alias("longitude"),
+    )
 
 
 def busy_station_hours(trips: DataFrame, min_trips: int = BUSY_TRIPS_PER_HOUR) -> DataFrame:
@@ -70,21 +80,26 @@ def events_near_busy_stations(
 ) -> DataFrame:
     """Busy station-hours with each event less than ``km`` away, on any date.
 
-    Repeated events are removed before the join.  Station-hours are unique as it is,
-    so the far larger result needs no second look for repeated rows.
+    Distances are those of distinct places, so a station with many busy hours is measured
+    once.  Repeated events are removed before the join; station-hours are unique as it
+    is, so the far larger result needs no second look for repeated rows.
     """
-    busy = busy_station_hours(trips, min_trips)
+    # Read twice below, and far fewer than the trips.
+    busy = checkpointed(busy_station_hours(trips, min_trips))
     places = events.select(
         "event_id",
         "event_name",
         F.col("latitude").try_cast("double").alias("latitude"),
         F.col("longitude").try_cast("double").alias("longitude"),
     ).distinct()
-    return within_radius(
-        busy,
-        places,
+    ends = ["end_station_latitude", "end_station_longitude"]
+    near = within_radius(
+        busy.select(*ends).distinct(),
+        places.select("latitude", "longitude").distinct(),
         km,
-        left_point=("end_station_latitude", "end_station_longitude"),
-        salt_by=["end_station_id", "date", "hour"],
+        left_point=tuple(ends),
+        salt_by=ends,
         **tuning,
     )
+    found = near.join(places, ["latitude", "longitude"])
+    return busy.join(found, ends)

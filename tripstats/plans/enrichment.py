@@ -7,6 +7,7 @@ from tripstats.fixed_values import REFERENCE_YEAR, TRIP_KEY, WEATHER_MEASURES
 from tripstats.functions.calendar import weekday_flag, weekend_flag
 from tripstats.functions.parsing import parse_time
 from tripstats.operators.columns import drop_incomplete
+from tripstats.operators.keyed import latest_per_key
 from tripstats.operators.lookup import BROADCAST_BYTES, SALTS, lookup_join
 from tripstats.operators.nearest import nearest_site
 
@@ -64,7 +65,8 @@ def attach_weather(
     """Trips with the weather of their site and start hour; others are left out.
 
     ``time_col`` names the observation time to use: "time", or "time_local" where
-    the trips are in local time and the other is not.
+    the trips are in local time and the other is not.  Of several observations of a
+    site in one hour the latest counts, so no trip is multiplied.
     """
     at = parse_time(F.col(time_col))
     hours = weather.select(
@@ -73,9 +75,11 @@ def attach_weather(
         F.dayofyear(at).alias("day_of_year"),
         F.hour(at).alias("start_hour"),
         *measures,
+        at.alias("_at"),
     ).dropna(subset=["weather_station_id", "start_year"])
     on = ["weather_station_id", "start_year", "day_of_year", "start_hour"]
-    return lookup_join(trips, hours, on, _SALT_BY, broadcast_bytes, salts)
+    latest = latest_per_key(hours, on, ["_at"]).drop("_at")
+    return lookup_join(trips, latest, on, _SALT_BY, broadcast_bytes, salts)
 
 
 def enrich_trips(

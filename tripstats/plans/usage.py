@@ -16,6 +16,7 @@ from tripstats.fixed_values import (
     USER_TYPES,
 )
 from tripstats.functions.calendar import hour_label, season
+from tripstats.operators.keyed import latest_per_key
 from tripstats.operators.topk import top_k
 
 
@@ -38,20 +39,23 @@ def distinct_bikes(trips: DataFrame) -> DataFrame:
     return trips.agg(F.countDistinct("bike_id").alias("number_of_bikes"))
 
 
-def _top_stations(trips: DataFrame, end: str, k: int) -> DataFrame:
+def _top_stations(trips: DataFrame, end: str, k: int, by_name: bool) -> DataFrame:
     place = [f"{end}_station_name", f"{end}_station_latitude", f"{end}_station_longitude"]
     counted = trips.groupBy(*place).agg(_trips("number_of_trips"))
+    if by_name:
+        counted = latest_per_key(counted, place[:1], ["number_of_trips"])
     return top_k(counted, "number_of_trips", place, k)
 
 
-def top_start_stations(trips: DataFrame, k: int = TOP_K) -> DataFrame:
-    """Stations where most trips start."""
-    return _top_stations(trips, "start", k)
+def top_start_stations(trips: DataFrame, k: int = TOP_K, by_name: bool = False) -> DataFrame:
+    """Stations where most trips start.  A station that moved counts at each of its places,
+    with ``by_name`` only the busiest place of a name does."""
+    return _top_stations(trips, "start", k, by_name)
 
 
-def top_end_stations(trips: DataFrame, k: int = TOP_K) -> DataFrame:
-    """Stations where most trips end."""
-    return _top_stations(trips, "end", k)
+def top_end_stations(trips: DataFrame, k: int = TOP_K, by_name: bool = False) -> DataFrame:
+    """Stations where most trips end; ``by_name`` as for the start."""
+    return _top_stations(trips, "end", k, by_name)
 
 
 def user_type_summary(trips: DataFrame, user_types: tuple[str, ...] = USER_TYPES) -> DataFrame:
@@ -62,15 +66,19 @@ def user_type_summary(trips: DataFrame, user_types: tuple[str, ...] = USER_TYPES
     )
 
 
-def top_routes(trips: DataFrame, k: int = TOP_K) -> DataFrame:
-    """Most ridden pairs of start and end station, by user type."""
+def top_routes(trips: DataFrame, k: int = TOP_K, by_name: bool = False) -> DataFrame:
+    """Most ridden pairs of start and end station, by user type.  Two pairs can share a route
+    text; with ``by_name`` only the one ridden more counts."""
     ends = ["start_station_name", "end_station_name"]
     counted = trips.groupBy("user_type", *ends).agg(
         _trips("number_of_trips"), _mean_duration("average_duration")
     )
-    best = top_k(counted, "number_of_trips", [*ends, "user_type"], k)
     route = F.concat("start_station_name", F.lit(" to "), "end_station_name")
-    return best.select("user_type", route.alias("route"), "number_of_trips", "average_duration")
+    counted = counted.withColumn("route", route)
+    if by_name:
+        counted = latest_per_key(counted, ["user_type", "route"], ["number_of_trips"])
+    best = top_k(counted, "number_of_trips", [*ends, "user_type"], k)
+    return best.select("user_type", "route", "number_of_trips", "average_duration")
 
 
 def trips_by_age(trips: DataFrame) -> DataFrame:

@@ -4,19 +4,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripstats.fixed_values import STATION_NAMES, STATION_SNAPSHOT_SCHEMA
+from tripstats.functions.parsing import parse_snapshot_time
 
 
 def read_station_snapshot(
-    spark: SparkSession, path: str | list[str], lines: bool = False
+    spark: SparkSession,
+    path: str | list[str],
+    lines: bool = False,
+    time_col: str | None = None,
 ) -> DataFrame:
     """One row per station record of landed snapshot documents.
 
     A file holds one document, or with ``lines`` one document per line, which lets
-    Spark split large files.
+    Spark split large files.  ``time_col`` names a further column for the time of the
+    document; null where it has none.
     """
     documents = spark.read.schema(STATION_SNAPSHOT_SCHEMA).json(path, multiLine=not lines)
-    records = documents.select(F.explode("stationBeanList").alias("station"))
-    return records.select("station.*").withColumnsRenamed(STATION_NAMES)
+    time = parse_snapshot_time(F.col("executionTime")).alias(time_col or "_time")
+    records = documents.select(F.explode("stationBeanList").alias("station"), time)
+    columns = ["station.*", time_col] if time_col else ["station.*"]
+    return records.select(*columns).withColumnsRenamed(STATION_NAMES)
 
 
 def read_snapshot_stream(

@@ -1,14 +1,18 @@
 """Live table of station status."""
 
-from pyspark.sql import DataFrame, SparkSession
+import logging
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tripstats.fixed_values import STATION_STATUS_KEY
-from tripstats.functions.parsing import parse_station_document
+from tripstats.functions.parsing import parse_snapshot_time, parse_station_document
 from tripstats.sinks.keyed import drop_old_versions, write_keyed
 from tripstats.sources.tables import read_table
 
+_log = logging.getLogger(__name__)
+
 # Order of status rows: by document, then by place within it.
 ARRIVAL_ORDER = ("arrived_at", "sequence", "position")
 STATUS_COLUMNS = (
@@ -31,7 +35,7 @@ def station_status(messages: DataFrame) -> DataFrame:
     parsed = messages.select(document, "arrived_at", "sequence")
     records = parsed.select(
         F.posexplode("document.stationBeanList").alias("position", "station"),
-        F.try_to_timestamp("document.executionTime").alias("snapshot_time"),
+        parse_snapshot_time(F.col("document.executionTime")).alias("snapshot_time"),
         "arrived_at",
         "sequence",
     )
@@ -59,13 +63,18 @@ def start_station_status(
 
     A micro-batch is cut down to one row per station before it is merged.  Merging
     goes by ``order_by``, so a batch that is played again after a failure changes
-    nothing.  ``trigger`` is passed on, e.g. ``{"availableNow": True}``.
+    nothing.  ``trigger`` is passed on, e.g. ``{"availableNow": True}``.  Records without
+    the key of the table cannot be stored; each batch logs how many it had.
     """
     keys = list(STATION_STATUS_KEY)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        named = batch.filter(F.col(keys[0]).isNotNull())
+        counted = Observation()
+        nameless = F.count_if(F.col(keys[0]).isNull()).alias("nameless")
+        named = batch.observe(counted, nameless).filter(F.col(keys[0]).isNotNull())
         write_keyed(named, table, keys, list(order_by), mode="upsert")
+        if counted.get["nameless"]:
+            _log.warning("batch %s: %s records without %s", batch_id, counted.get["nameless"], keys[0])
         drop_old_versions(batch.sparkSession, table, keep_versions)
 
     writer = stream.writeStream.outputMode("update").foreachBatch(merge)

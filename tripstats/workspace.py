@@ -1,6 +1,8 @@
 """The folder shared by driver and executors for intermediate data."""
 
+import atexit
 import functools
+import shutil
 import tempfile
 import uuid
 
@@ -22,7 +24,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 @functools.cache
 def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="tripstats-")
+    folder = tempfile.mkdtemp(prefix="tripstats-")
+    # Its own folder, and of no use to anyone later.
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
