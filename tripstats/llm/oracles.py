@@ -117,7 +117,41 @@ FROM messages m JOIN shown s USING (row_id)
   LEFT JOIN threads t ON t.conv_id = m.conv_id AND t.turn = m.turn
 """
 
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(
+      CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+      ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END
+    ) AS shingle
+  FROM texts
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM shared JOIN sizes sx ON sx.doc_id = x JOIN sizes sy ON sy.doc_id = y
+  WHERE 100 * c >= 85 * (sx.n + sy.n - c)
+), both_ways AS (
+  SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reached AS (
+  SELECT doc_id, doc_id AS root FROM documents
+  UNION
+  SELECT y, root FROM reached JOIN both_ways ON doc_id = x
+), components AS (
+  SELECT doc_id, min(root) AS component_id FROM reached GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM components LEFT JOIN sizes USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
+    "op7_near_duplicates": NEAR_DUPLICATES,
     "op4_quotation_linking": QUOTATIONS,
     "op2_quality_rules": QUALITY_RULES,
     "op8_archive": ARCHIVE,
