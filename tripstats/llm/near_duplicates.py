@@ -86,7 +86,7 @@ def near_duplicates(
     members = stored(
         full.select("doc_id", "digest").join(classes, "digest").select("doc_id", "rep"), "members"
     )
-    reps = members.where("doc_id = rep").select("rep").distinct()
+    reps = members.where("doc_id = rep").select("rep")
     spots = full.select("doc_id", F.posexplode("bands").alias("band", "value"))
     spots = spots.select(
         F.col("doc_id").alias("rep"), F.xxhash64("band", "value").alias("bucket")
@@ -100,11 +100,16 @@ def near_duplicates(
     sets = stored(_sets(rows.join(wanted, "doc_id", "left_semi"), settings), "sets")
     links = stored(_confirmed(likely, sets, settings), "links")
     first = stored(components(links), "components")
-    more = _links_between(stars, first, sets, settings)
-    merged = stored(components(links.unionByName(more)), "components")
+    more = stored(_links_between(stars, first, sets, settings), "more-links")
+    # These only join components of the first links.
+    joined = stored(components(more), "components").toDF("component", "joined")
+    joined = joined.withColumnRenamed("component", "first_component")
     # A class takes the component of its smallest id.
-    grouped = members.join(merged.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "doc_id", F.coalesce("component", "rep").alias("component_id")
+    grouped = members.join(first.toDF("rep", "component"), "rep", "left").select(
+        "doc_id", F.coalesce("component", "rep").alias("first_component")
+    )
+    grouped = grouped.join(joined, "first_component", "left").select(
+        "doc_id", F.coalesce("joined", "first_component").alias("component_id")
     )
     sizes = sketches.groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"))
     least = grouped.groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
@@ -273,7 +278,7 @@ def _links(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 def _links_between(
     stars: DataFrame, first: DataFrame, sets: DataFrame, settings: Settings
 ) -> DataFrame:
-    """Links between different components of one bucket, enough to join them."""
+    """Pairs of components with a link between members of one bucket, enough to join them."""
     known = first.select(F.col("id").alias("rep"), "component")
     of_member = stars.join(known, "rep", "left").select(
         "bucket", "rep", "hub", F.coalesce("component", "rep").alias("component")
@@ -316,7 +321,7 @@ def _links_between(
     percent = settings.percent
 
     def search(block_pair: pd.DataFrame) -> pd.DataFrame:
-        return _search(block_pair, percent)
+        return _search(block_pair, percent)  # pairs of components
 
     return full.groupBy("grp", "low", "high").applyInPandas(search, "a long, b long")
 
@@ -326,10 +331,9 @@ def _search(members: pd.DataFrame, percent: int) -> pd.DataFrame:
 
     A member is compared with all others through the lists of members that hold each shingle.
     """
-    ids = members["rep"].to_numpy()
     sets = [np.frombuffer(content, np.uint64) for content in members["content"]]
     sizes = np.array([len(s) for s in sets])
-    _, component = np.unique(members["component"].to_numpy(), return_inverse=True)
+    names, component = np.unique(members["component"].to_numpy(), return_inverse=True)
     found: list[tuple[int, int]] = []
     values, place = np.unique(np.concatenate(sets), return_inverse=True)
     owners = np.repeat(np.arange(len(sets)), sizes)
@@ -348,6 +352,6 @@ def _search(members: pd.DataFrame, percent: int) -> pd.DataFrame:
         linked = 100 * shared >= percent * (sizes[i] + sizes - shared)
         for j in np.flatnonzero(linked & (component != component[i])):
             if component[j] != component[i]:
-                found.append((int(ids[i]), int(ids[j])))
+                found.append((int(names[component[i]]), int(names[component[j]])))
                 component[component == component[j]] = component[i]
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
