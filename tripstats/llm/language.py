@@ -136,7 +136,8 @@ class _Encoders:
 def _plain(texts: pa.Array) -> pa.Array:
     """Lower-case letters with single spaces; empty if there is no letter."""
     low = pc.utf8_lower(pc.fill_null(texts, ""))
-    return pc.utf8_trim_whitespace(pc.replace_substring_regex(low, r"[^\p{L}\p{M}]+", " "))
+    plain = pc.utf8_trim_whitespace(pc.replace_substring_regex(low, r"[^\p{L}\p{M}]+", " "))
+    return pc.if_else(pc.match_substring_regex(low, r"\p{L}"), plain, "")
 
 
 def _once(plain: str) -> str:

@@ -79,7 +79,9 @@ def labelled_sample(df, labels, text, doc_id, label, most, sample_bytes) -> list
     place = F.xxhash64(F.col("id").cast("string"))
     chosen = ids.orderBy(place, "id").limit(most).join(marks, "id")
     found = rows.where(fit_for).join(F.broadcast(chosen), "id")
-    return sorted(found.collect(), key=lambda row: (row["id"], row["text"]))
+    # One text an id, however many rows repeat it.
+    found = found.groupBy("id", "label").agg(F.max("text").alias("text"))
+    return sorted(found.collect(), key=lambda row: row["id"])
 
 
 def score(df: DataFrame, model: Model, text: str = "text", column: str = "score") -> DataFrame:
