@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tripstats.workspace import scratch_path
 
 # Text that one step of a Python task holds as words; a longer text is a step of its own.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -32,8 +32,10 @@ def fold(doc_id: str, folds: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string")) % folds
 
 
-def chunks(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that each holds about CHUNK_BYTES of text, or one row.
+def chunks(
+    batches: Iterator[pa.RecordBatch], text: str, most_bytes: int = CHUNK_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that each holds about ``most_bytes`` of text, or one row.
 
     The pieces are copies: some functions on strings misread arrays that begin inside
     the buffers of another.
@@ -46,10 +48,12 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBa
         start = 0
         while start < batch.num_rows:
             before = ends[start - 1] if start else 0
-            stop = int(np.searchsorted(ends, before + CHUNK_BYTES, side="right"))
+            stop = int(np.searchsorted(ends, before + most_bytes, side="right"))
             stop = max(stop, start + 1)
             yield batch.take(pa.array(np.arange(start, stop)))
             start = stop
+        # Workers live on; what Arrow holds back would add up in them.
+        pa.default_memory_pool().release_unused()
 
 
 class Words:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripstats.llm.common import chunks, stored
-from tripstats.llm.tokens import Cut, shared_encoder
+from tripstats.llm.tokens import TEXT_BYTES, Cut, shared_encoder
 
 CAPACITY = 4096
 END_ID = 1
@@ -86,7 +86,7 @@ def pieces(df, tokenizer, cut, doc_id, text, capacity, end_id, keep_ids) -> Data
         encoder = shared_encoder(tokenizer, cut)
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, dtype=np.int64)
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", TEXT_BYTES):
             ids, starts = encoder.encode(batch.column("text"))
             yield _cut(batch, ids, starts, capacity, end_id, part, seen, keep_ids)
 

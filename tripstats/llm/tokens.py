@@ -19,6 +19,8 @@ from tripstats.llm.common import ragged
 
 # Distinct words that a task remembers; beyond, it starts anew.
 MOST_WORDS = 600_000
+# Text cut at a time: the more, the fewer words are met again.
+TEXT_BYTES = 4 << 20
 # Words given to the tokenizer at a time; its answers are far larger than the ids.
 ENCODE_WORDS = 2_000
 
