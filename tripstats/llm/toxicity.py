@@ -36,7 +36,7 @@ LIMIT = 0.4
 
 # The model is fitted on a bounded sample of labelled documents: at most so many, of at most
 # so many bytes each.
-SAMPLE_DOCUMENTS = 5_000
+SAMPLE_DOCUMENTS = 4_000
 SAMPLE_BYTES = 8_000
 # Documents of the sample whose words are held at a time.
 FIT_STEP = 200
@@ -158,6 +158,7 @@ def _learn(texts: list[str], labels: np.ndarray, limit: float) -> Model:
     for at in range(0, n, FIT_STEP):
         rows, features, counts, _ = _counts(pa.array(texts[at : at + FIT_STEP], pa.string()), None)
         parts.append((rows + at, features, counts))
+        pa.default_memory_pool().release_unused()
     rows, features, counts = (np.concatenate(column) for column in zip(*parts))
     known, place = np.unique(features, return_inverse=True)
     in_toxic = np.bincount(place, toxic[rows], minlength=len(known))
