@@ -2,6 +2,7 @@
 
 import hashlib
 import os
+import random
 
 import pytest
 from pyspark.errors import PySparkException
@@ -120,6 +121,81 @@ def test_long_chain_of_answers(spark):
     assert [r.depth for r in found] == list(range(300)) and {r.thread for r in found} == {0}
 
 
+def test_the_message_quoted_most_is_answered(spark):
+    rows = [
+        (1, 0, "a", "Hello there.\nFine."),
+        (1, 4, "b", "Hello there.\nFine.\nNew point"),
+        (1, 5, "a", "> Hello there.\n> Fine.\n> New point\nYes"),
+        (1, 6, "b", "> Hello there.\n> Other\n> Fine.\nNo"),
+    ]
+    found = {r.turn: r for r in linked(spark, rows)}
+    assert (found[5].reply_to, found[5].n_linked, found[5].thread) == (4, 3, 4)
+    # Both hold two lines; the latest wins.
+    assert (found[6].reply_to, found[6].n_linked) == (4, 2)
+
+
+def test_quotes_with_other_line_breaks(spark):
+    rows = [
+        (1, 0, "a", "The plan is to leave at nine. Bring water and\nbread, and a warm coat."),
+        (1, 1, "b", "> bring water and bread,\n> and a warm\n> coat.\nSure"),
+        (1, 2, "c", "> Bring water\nToo heavy"),
+        (2, 0, "a", "明日は雨です。傘を\n持って行きます。"),
+        (2, 1, "b", "> 傘を持って行きます。\nはい"),
+        (3, 0, "a", "It is fine."),
+        (3, 1, "a", "fine"),
+        (3, 2, "b", "fine with me too"),
+        (3, 3, "b", "> fine\nGood"),
+    ]
+    found = {(r.conv_id, r.turn): (r.reply_to, r.n_linked) for r in linked(spark, rows)}
+    assert found[1, 1] == (0, 3) and found[1, 2] == (0, 1)
+    assert found[2, 1] == (0, 1)
+    assert found[3, 3] == (1, 1)
+
+
+def test_answers_equal_brute_force(spark, monkeypatch):
+    rng = random.Random(4)
+    lines = ["hi all", "best", "see", "note one", "note two", "so be it", "last thing"]
+    rows = []
+    for conv in range(3):
+        for turn in range(40):
+            own = rng.choices(lines, weights=[9, 9, 5, 2, 2, 1, 1], k=rng.randrange(1, 5))
+            quoted = rng.choices(lines, weights=[9, 9, 5, 2, 2, 1, 1], k=rng.randrange(0, 5))
+            marks = [rng.choice(["> ", "> ", ">> "]) + x for x in quoted]
+            rows.append((conv, turn, "a", "\n".join(marks + own)))
+    expected = {}
+    for conv, turn, _, text in rows:
+        runs, votes, n_linked = [], {}, 0
+        for line in text.split("\n"):
+            marks = len(line) - len(line.lstrip(">"))
+            if marks and runs and runs[-1][0] == marks:
+                runs[-1][1].append(line[marks:].strip())
+            else:
+                runs.append((marks, [line[marks:].strip()]))
+        before = [
+            (t, [x for x in said.split("\n") if x[0] != ">"]) for c, t, _, said in rows if c == conv and t < turn
+        ]
+
+        def holders(part):
+            n = len(part)
+            whole = {t for t, own in before if any(own[i : i + n] == part for i in range(len(own)))}
+            text = f" {' '.join(part)} "
+            return whole or {t for t, own in before if text in f" {' '.join(own)} "}
+
+        for level, part in runs:
+            if level:
+                for unit in [part] if holders(part) else [[x] for x in part]:
+                    n_linked += len(unit) if holders(unit) else 0
+                    for t in holders(unit):
+                        direct, n = votes.get(t, (0, 0))
+                        votes[t] = (direct + len(unit) * (level == 1), n + len(unit))
+        best = max(((*v, t) for t, v in votes.items()), default=(0, 0, None))[2]
+        expected[conv, turn] = (best, n_linked)
+    assert any(reply is not None for reply, _ in expected.values())
+    for limit in (0, 3, 64):
+        monkeypatch.setattr(quotations, "HOT_HOLDERS", limit)
+        assert {(r.conv_id, r.turn): (r.reply_to, r.n_linked) for r in linked(spark, rows)} == expected
+
+
 def test_no_messages(spark):
     assert linked(spark, []) == []
 
