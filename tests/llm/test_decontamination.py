@@ -47,6 +47,20 @@ def test_case_punctuation_and_insertions(spark):
     assert set(found) == {(1, 1), (2, 1)} and found[2, 1].n_matched == 24
 
 
+def test_long_passages_of_longer_items(spark):
+    rng = random.Random(5)
+    item, other = text(rng, 59), text(rng, 500)
+    documents = [
+        (1, " ".join(text(rng, 40) + item[20:49] + text(rng, 40))),
+        (2, " ".join(text(rng, 40) + other[100:300] + text(rng, 40))),
+        (3, " ".join(text(rng, 40) + other[:13] + text(rng, 40))),
+        (4, " ".join(text(rng, 40) + other[:12] + text(rng, 40) + other[50:60])),
+    ]
+    found = leaks(spark, documents, [(1, " ".join(item)), (2, " ".join(other))])
+    assert {key: r.n_matched for key, r in found.items()} == {(1, 1): 29, (2, 2): 200, (3, 2): 13}
+    assert found[1, 1].share < 0.5 and found[2, 2].share == 0.4
+
+
 def test_short_items(spark):
     items = [(1, "a b c d e"), (2, "x y"), (3, ""), (4, None), (5, "p q r s t u v")]
     documents = [(1, "z a b c d e z"), (2, "x y"), (3, "p q r s t u v"), (4, "a b c d"), (5, None), (6, "")]

@@ -26,6 +26,8 @@ LEAST_SCORE = 5.0
 MISMATCH_WEIGHT = 1.0
 # A document leaks an item if such stretches hold this share of the item's tokens.
 LEAST_SHARE = 0.5
+# Or if one stretch alone matches so many tokens, however long the item is.
+LEAST_STRETCH = 13
 
 # Bits of the filter that spares most seeds the join.
 FILTER_BITS = 1 << 27
@@ -41,10 +43,11 @@ def leaks(
     item_id: str = "item_id",
     item_text: str = "text",
     least_share: float = LEAST_SHARE,
+    least_stretch: int = LEAST_STRETCH,
 ) -> DataFrame:
-    """One row for each document and benchmark item that it holds: doc_id, item_id,
-    n_item_tokens, n_matched (item tokens found in stretches of the document), share,
-    first_token and last_token (of the document).
+    """One row for each document and benchmark item that it holds, by share or by one long
+    stretch: doc_id, item_id, n_item_tokens, n_matched (item tokens found in stretches of the
+    document), share, first_token and last_token (of the document).
 
     A token is a word without case, punctuation and symbols.  Null and empty texts have none
     and leak nothing; rows without an id are left out.  Of rows with one id the longest text
@@ -67,9 +70,11 @@ def leaks(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_matched"),
         F.min("first").alias("first_token"),
         F.max("last").alias("last_token"),
+        F.max("longest").alias("longest"),
     )
     share = F.col("n_matched") / F.col("n_item_tokens")
-    return totals.withColumn("share", share).where(F.col("share") >= least_share).select(
+    leaked = (F.col("share") >= least_share) | (F.col("longest") >= least_stretch)
+    return totals.withColumn("share", share).where(leaked).select(
         F.col("id").alias("doc_id"),
         F.col("item").alias("item_id"),
         "n_item_tokens",
@@ -231,26 +236,27 @@ def _compare(diagonals: DataFrame, documents: DataFrame, items: DataFrame) -> Da
             for row in batch.to_pylist():
                 item = np.frombuffer(row["item_tokens"], np.uint64)
                 document = np.frombuffer(row["tokens"], np.uint64)
-                places = _good_places(document, item, row["diagonal"])
+                places, longest = _good_places(document, item, row["diagonal"])
                 if len(places):
                     at = places + row["diagonal"]
-                    rows.append((row["id"], row["item"], len(item), places, int(at[0]), int(at[-1])))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64()]
+                    rows.append((row["id"], row["item"], len(item), places, int(at[0]), int(at[-1]), longest))
+            kinds = [pa.int64()] * 3 + [pa.list_(pa.int64())] + [pa.int64()] * 3
             columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "item", "n", "places", "first", "last"])
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "item", "n", "places", "first", "last", "longest"])
 
-    fields = "id long, item long, n long, places array<long>, first long, last long"
+    fields = "id long, item long, n long, places array<long>, first long, last long, longest long"
     return wide.select("id", "item", "diagonal", "item_tokens", "tokens").mapInArrow(run, fields)
 
 
-def _good_places(document: np.ndarray, item: np.ndarray, diagonal: int) -> np.ndarray:
-    """Item places matched within the stretches of the diagonal that score enough."""
+def _good_places(document: np.ndarray, item: np.ndarray, diagonal: int) -> tuple[np.ndarray, int]:
+    """Item places matched within the stretches of the diagonal that score enough, and how
+    many of them the longest stretch has."""
     start, stop = max(0, -diagonal), min(len(item), len(document) - diagonal)
     equal = item[start:stop] == document[start + diagonal : stop + diagonal]
     if equal.all():
         good = len(equal) >= min(LEAST_SCORE, len(item))
-        return np.arange(start, stop) if good else np.zeros(0, dtype=np.int64)
-    places, score, best, first, last = [], 0.0, 0.0, start, start
+        return (np.arange(start, stop), len(equal)) if good else (np.zeros(0, dtype=np.int64), 0)
+    places, score, best, first, last, longest = [], 0.0, 0.0, start, start, 0
     for at in range(start, stop):
         if score <= 0:
             score, best, first, last = 0.0, 0.0, at, at
@@ -259,5 +265,7 @@ def _good_places(document: np.ndarray, item: np.ndarray, diagonal: int) -> np.nd
             best, last = score, at + 1
         ends = score <= 0 or at + 1 == stop
         if ends and best >= LEAST_SCORE:
-            places.extend(x for x in range(first, last) if equal[x - start])
-    return np.array(places, dtype=np.int64)
+            matched = [x for x in range(first, last) if equal[x - start]]
+            places.extend(matched)
+            longest = max(longest, len(matched))
+    return np.array(places, dtype=np.int64), longest
