@@ -67,6 +67,34 @@ def test_short_items(spark):
     assert set(leaks(spark, documents, items)) == {(1, 1), (3, 5)}
 
 
+def test_short_items_with_substitutions(spark):
+    items = [f"item{n} " + " ".join(f"i{n}t{k}" for k in range(1, n)) for n in range(7, 16)]
+    documents, expected = [], set()
+    for number, item in enumerate(items):
+        for step in range(1, len(item.split()) - 1):
+            words = item.split()
+            words[step] = "changed"
+            if len(words) > 12:
+                words[(step + 5) % len(words)] = "other"
+            documents.append((len(documents), " ".join(["before"] + words + ["after"])))
+            runs, tokens = [], item.split()
+            equal = [a == b for a, b in zip(words, tokens)]
+            for i in range(len(equal)):
+                for j in range(i + 1, len(equal) + 1):
+                    runs.append(sum(1 if x else -1 for x in equal[i:j]))
+            if max(runs) >= 5:
+                expected.add((len(documents) - 1, number))
+    assert set(leaks(spark, documents, list(enumerate(items)))) == expected
+    assert len(expected) > 60
+
+
+def test_items_without_spaces(spark):
+    items = [(1, "東京は日本の首都です。"), (2, "東京"), (3, "ภาษาไทยเขียนติดกัน")]
+    documents = [(1, "質問:東京は日本の、首都です"), (2, "東京"), (3, "京都は古い都です"), (4, "x ภาษาไทยเขียนติดกัน y")]
+    found = leaks(spark, documents, items)
+    assert set(found) == {(1, 1), (4, 3)} and found[1, 1].share == 1.0
+
+
 def test_repeated_rows_and_missing_ids(spark):
     rng = random.Random(3)
     item = " ".join(text(rng, 20))

@@ -12,13 +12,18 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripstats.llm.common import Words, chunks, mixed, stored
+from tripstats.llm.common import Words, chunks, mixed, ragged, stored
 
 # The masks; 1 is read, 0 is skipped.
 MASKS = ("111111", "11101011", "1101100111", "110100110101")
+# More masks for items of fewer tokens than this.  With those above they meet every overlap of such an
+# item that the comparison of a diagonal accepts (all patterns of substitutions were tried).
+SHORT_ITEM_TOKENS = 16
+LIGHT_MASKS = ("1010011", "10111", "100100011", "11101")
 # Shorter items say nothing about where a text comes from, and match nothing.
 LEAST_ITEM_TOKENS = 5
 # A stretch of a diagonal counts if its matches exceed its mismatches, weighted, by so much.
@@ -32,7 +37,11 @@ LEAST_STRETCH = 13
 # Bits of the filter that spares most seeds the join.
 FILTER_BITS = 1 << 27
 
+_ALL_MASKS = MASKS + LIGHT_MASKS
+
 _NO_TOKEN = regex.compile(r"[^\p{L}\p{N}]+")
+# Scripts without spaces.
+_UNSPACED = regex.compile(r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])")
 
 
 def leaks(
@@ -49,15 +58,17 @@ def leaks(
     stretch: doc_id, item_id, n_item_tokens, n_matched (item tokens found in stretches of the
     document), share, first_token and last_token (of the document).
 
-    A token is a word without case, punctuation and symbols.  Null and empty texts have none
+    A token is a word without case, punctuation and symbols, or a character of a script
+    without spaces.  Null and empty texts have none
     and leak nothing; rows without an id are left out.  Of rows with one id the longest text
     counts as the document or item.  Other columns are not read.
     """
     items = _texts(benchmark, item_id, item_text)
     seeds = stored(_seeds(items), "seeds")
     lengths = [row["n"] for row in seeds.where("mask < 0").select(F.expr("-mask").alias("n")).distinct().collect()]
+    light = not seeds.where(F.col("mask") >= len(MASKS)).isEmpty()
     known = _filter_words(seeds)
-    hit = stored(_hits(_texts(documents, doc_id, text), sorted(lengths), known), "hits")
+    hit = stored(_hits(_texts(documents, doc_id, text), sorted(lengths), known, light), "hits")
     found = hit.select("id", F.explode("hits").alias("hit")).select("id", "hit.*")
     diagonals = found.join(seeds.withColumnRenamed("id", "item").withColumnRenamed("place", "at"), ["mask", "seed"])
     diagonals = stored(
@@ -106,21 +117,33 @@ class _Tokens:
 
     def __init__(self, texts: pa.Array):
         words = Words(pc.utf8_lower(texts))
-        words.vocabulary = [_NO_TOKEN.sub("", word) for word in words.vocabulary]
-        filled = np.array([word != "" for word in words.vocabulary], dtype=bool)
-        of_words = words.hashes() if words.vocabulary else np.zeros(0, dtype=np.uint64)
-        kept = filled[words.ids] if len(words.ids) else np.zeros(0, dtype=bool)
-        self.hashes = of_words[words.ids[kept]]
-        self.starts = np.concatenate([[0], np.cumsum(kept)])[words.starts]
+        pieces = [_pieces(word) for word in words.vocabulary]
+        counts = np.array([len(own) for own in pieces], dtype=np.int64)
+        flat = [xxhash.xxh3_64_intdigest(piece.encode()) for own in pieces for piece in own]
+        of_pieces = np.array(flat, dtype=np.uint64)
+        lengths = counts[words.ids] if len(words.ids) else np.zeros(0, dtype=np.int64)
+        begins = np.cumsum(counts) - counts
+        places = ragged(begins[words.ids], lengths) if len(words.ids) else lengths
+        self.hashes = of_pieces[places]
+        self.starts = np.concatenate([[0], np.cumsum(lengths)])[words.starts]
 
     def of(self, i: int) -> np.ndarray:
         return self.hashes[self.starts[i] : self.starts[i + 1]]
 
 
+def _pieces(word: str) -> list[str]:
+    """The tokens of a word between spaces: one, but for characters of scripts without spaces."""
+    if word.isascii():
+        own = [_NO_TOKEN.sub("", word)]
+    else:
+        own = [_NO_TOKEN.sub("", part) for part in _UNSPACED.split(word)]
+    return [piece for piece in own if piece]
+
+
 def _masked(tokens: _Tokens, mask: int, extra: str | None = None):
     """The seeds of one mask at every place where it fits into a text: (place in
     the batch, seed)."""
-    pattern = extra or MASKS[mask]
+    pattern = extra or _ALL_MASKS[mask]
     n = len(tokens.hashes)
     ends = np.repeat(tokens.starts[1:], np.diff(tokens.starts))
     places = np.flatnonzero(np.arange(n) + len(pattern) <= ends)
@@ -145,13 +168,16 @@ def _seeds(items: DataFrame) -> DataFrame:
             lengths = np.diff(tokens.starts)
             owners = np.repeat(np.arange(len(lengths)), lengths)
             short = (lengths < shortest) & (lengths >= LEAST_ITEM_TOKENS)
-            plans = [(mask, None) for mask in range(len(MASKS))]
+            plans = [(mask, None) for mask in range(len(_ALL_MASKS))]
             plans += [(-int(n), "1" * int(n)) for n in np.unique(lengths[short])]
             for mask, extra in plans:
                 places, seeds = _masked(tokens, mask, extra)
                 if mask < 0:
                     whole = lengths[owners[places]] == -mask
                     places, seeds = places[whole], seeds[whole]
+                elif mask >= len(MASKS):
+                    few = lengths[owners[places]] < SHORT_ITEM_TOKENS
+                    places, seeds = places[few], seeds[few]
                 of = owners[places]
                 columns = [
                     pa.array(np.full(len(places), mask, dtype=np.int32)),
@@ -175,9 +201,10 @@ def _filter_words(seeds: DataFrame) -> np.ndarray:
     return known.view(np.uint64)
 
 
-def _hits(documents: DataFrame, lengths: list[int], known: np.ndarray) -> DataFrame:
+def _hits(documents: DataFrame, lengths: list[int], known: np.ndarray, light: bool) -> DataFrame:
     """Documents with a seed that may be the benchmark's: id, tokens and hits (mask, place, seed)."""
-    plans = [(mask, None) for mask in range(len(MASKS))] + [(-n, "1" * n) for n in lengths]
+    plans = [(mask, None) for mask in range(len(_ALL_MASKS if light else MASKS))]
+    plans += [(-n, "1" * n) for n in lengths]
     kind = pa.list_(pa.struct([("mask", pa.int32()), ("place", pa.int64()), ("seed", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
