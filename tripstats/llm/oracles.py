@@ -150,9 +150,116 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = comp
 FROM components LEFT JOIN sizes USING (doc_id)
 """
 
+HARD_NEGATIVES = """
+WITH vectors AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+    list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, p.other_id AS positive_id,
+  (row_number() OVER (PARTITION BY p.anchor_id, p.other_id ORDER BY n.score DESC, n.other_id))::INT AS rank,
+  n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+  AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+QUALIFY rank <= 5
+"""
+
+SUBSTRINGS = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row_id, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), starts AS (
+  SELECT row_id, unnest(range(1, len(w) - 33)) AS place, w FROM texts WHERE len(w) >= 35
+), windows AS (
+  SELECT row_id, place, md5_number(array_to_string(w[place : place + 34], ' ')) AS win FROM starts
+), twins AS (
+  SELECT row_id, place FROM windows QUALIFY count(*) OVER (PARTITION BY win) > 1
+), covered AS (
+  SELECT row_id, list(DISTINCT place + step) AS gone
+  FROM twins, range(0, 35) AS steps(step) GROUP BY row_id
+), words AS (
+  SELECT row_id, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM texts
+), marked AS (
+  SELECT row_id, word, words.place, c.place IS NOT NULL AS gone
+  FROM words LEFT JOIN (SELECT row_id, unnest(gone) AS place FROM covered) c USING (row_id, place)
+), joined AS (
+  SELECT row_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed,
+    string_agg(word, ' ' ORDER BY place) FILTER (NOT gone) AS kept
+  FROM marked GROUP BY row_id
+)
+SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts LEFT JOIN joined USING (row_id)
+"""
+
+# The checksum is that of zlib; its table of 256 steps is built by rule.
+SPELLING = r"""
+WITH RECURSIVE steps AS (
+  SELECT list(step ORDER BY i) AS table_ FROM (
+    SELECT i, list_reduce([i] || range(8), lambda c, k:
+      CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS step
+    FROM range(256) AS r(i))
+), runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id,
+    translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents
+), counted AS (
+  SELECT id, run, count(*) AS n, hex(encode(id || ':' || run)) AS digits
+  FROM runs WHERE length(run) >= 5 GROUP BY id, run
+), hashed AS (
+  SELECT run, n, xor(list_reduce([4294967295] || list_transform(range(1, length(digits), 2), lambda i:
+      16 * (instr('0123456789ABCDEF', digits[i]) - 1) + instr('0123456789ABCDEF', digits[i + 1]) - 1),
+    lambda c, b: xor(c >> 8, table_[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM counted, steps
+), words AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2)
+    ELSE run END AS word, sum(n)::BIGINT AS n
+  FROM hashed GROUP BY 1
+  HAVING length(word) >= 5 AND sum(n) >= 3
+), cut AS (
+  SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)
+), near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n
+  FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT c.word, w.word, w.n FROM cut c JOIN words w ON c.rest = w.word
+  UNION SELECT w.word, c.word, c.n FROM cut c JOIN words w ON c.rest = w.word
+), best AS (
+  SELECT word, other, other_n FROM near
+  QUALIFY row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) = 1
+), formed AS (
+  SELECT words.word, n, CASE WHEN other_n >= 2 * n THEN other END AS form,
+    CASE WHEN other_n >= 2 * n THEN other_n END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), followed AS (
+  SELECT word, word AS root, form AS next FROM formed
+  UNION ALL
+  SELECT followed.word, formed.word, formed.form
+  FROM followed JOIN formed ON followed.next = formed.word
+)
+SELECT word, form, root, n, coalesce(n_near, 0)::BIGINT AS n_near, form_n
+FROM formed JOIN followed USING (word)
+  LEFT JOIN (SELECT word, count(*) AS n_near FROM near GROUP BY word) USING (word)
+WHERE next IS NULL
+"""
+
 ORACLES: dict[str, str] = {
     "op7_near_duplicates": NEAR_DUPLICATES,
     "op4_quotation_linking": QUOTATIONS,
     "op2_quality_rules": QUALITY_RULES,
     "op8_archive": ARCHIVE,
+    "op11_hard_negatives": HARD_NEGATIVES,
+    "op12_substring_dedup": SUBSTRINGS,
+    "op13_spelling_variants": SPELLING,
 }

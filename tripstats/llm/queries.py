@@ -11,10 +11,13 @@ from tripstats.llm import (
     decontamination,
     language,
     near_duplicates,
+    negatives,
     packing,
     quality_model,
     quality_rules,
     quotations,
+    spelling,
+    substrings,
     token_files,
     toxicity,
 )
@@ -142,3 +145,27 @@ def op10_language_compression(spark, folder):
     return predicted.select(
         "doc_id", held_out.alias("held_out"), "lang_pred", "score", "margin", "rejected"
     )
+
+
+@query
+def op11_hard_negatives(spark, folder):
+    """The hardest negatives of the positives of every hundredth vector."""
+    vectors = table(spark, folder, "embeddings")
+    changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(
+        vectors.withColumn("label", changed), is_anchor=F.col("vec_id") % 100 == 0
+    )
+
+
+@query
+def op12_substring_dedup(spark, folder):
+    """Every document without the passages of 35 words that start anywhere else."""
+    cut = substrings.remove_repeats(table(spark, folder, "documents"), length=35)
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op13_spelling_variants(spark, folder):
+    """Every word with its form and root."""
+    found = spelling.variants(table(spark, folder, "documents"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
