@@ -519,3 +519,78 @@ ORACLES: dict[str, str] = {
         FROM hashed CROSS JOIN {_MODELS}
         WHERE cast(concat('0x', substr(digest, 1, 4)) AS int) >= 49152""",
 }
+
+ORACLES["station_stream_batches"] = ORACLES["station_stream"]
+
+# (table, its rows, key, measures)
+_REPORTS = [
+    ("total_trips", "SELECT count(*) AS total_bikes FROM kept", [], ["total_bikes"]),
+    ("distinct_bikes", "SELECT count(DISTINCT bike_id) AS number_of_bikes FROM kept", [], ["number_of_bikes"]),
+    *(
+        (f"{end}_trip_top_20", f"""
+            SELECT {end}_station_name AS place, max(n) AS number_of_trips FROM (
+                SELECT {end}_station_name, count(*) AS n FROM kept
+                GROUP BY {end}_station_name, {end}_station_latitude, {end}_station_longitude)
+            GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20""", ["place"], ["number_of_trips"])
+        for end in ("start", "end")
+    ),
+    ("average_trip_user_type", """
+        SELECT user_type, count(*) AS number_of_trips, avg(trip_duration) AS average_duration
+        FROM kept WHERE user_type IN ('Subscriber', 'Customer') GROUP BY 1""",
+     ["user_type"], ["number_of_trips", "average_duration"]),
+    ("start_to_end_top_20", """
+        SELECT user_type, concat(start_station_name, ' to ', end_station_name) AS route,
+               count(*) AS number_of_trips, avg(trip_duration) AS average_duration
+        FROM kept GROUP BY user_type, start_station_name, end_station_name
+        ORDER BY number_of_trips DESC, start_station_name, end_station_name, user_type LIMIT 20""",
+     ["user_type", "route"], ["number_of_trips", "average_duration"]),
+    ("trips_age", """
+        SELECT age, count(*) AS total_count, count(*) FILTER (gender = 1) AS males,
+               count(*) FILTER (gender = 2) AS females, count(*) FILTER (gender = 0) AS unknown
+        FROM kept GROUP BY age""", ["age"], ["total_count", "males", "females", "unknown"]),
+    ("trip_duration_age", "SELECT age, avg(trip_duration) AS avg_trip_duration FROM kept GROUP BY age",
+     ["age"], ["avg_trip_duration"]),
+    ("grouped_count", 'SELECT y, m, count(*) AS "count" FROM kept GROUP BY y, m', ["y", "m"], ["count"]),
+    ("percentage_change", """
+        SELECT c.y, c.m, (c.n - p.n) / cast(c.n AS double) * 100 AS percentage_change
+        FROM months c JOIN months p ON c.y = p.y AND c.m = p.m + 1""", ["y", "m"], ["percentage_change"]),
+    ("grouped_count_season", f"""
+        SELECT y, m, CASE WHEN h = 0 THEN '12AM' WHEN h < 12 THEN concat(h, 'AM') WHEN h = 12 THEN '12PM'
+                     ELSE concat(h - 12, 'PM') END AS hour, {_season("m")} AS season, count(*) AS "count"
+        FROM kept GROUP BY y, m, h""", ["y", "m", "hour", "season"], ["count"]),
+    *(
+        (table, f"""
+            SELECT {columns}, count(*) AS number_of_trips, avg(trip_duration) AS average_duration
+            FROM kept GROUP BY {columns}""", [], [*shown, "number_of_trips", "average_duration"])
+        for table, columns, shown in (
+            ("avg_temp", "temperature", ["temperature"]),
+            ("phmd", "precipitation, humidity", ["precipitation"]),
+            ("windspeed", "windspeed", ["windspeed"]),
+        )
+    ),
+]
+
+
+def _measures(table: str, rows: str, key: list[str], measures: list[str]) -> str:
+    text = f"concat_ws('|', {', '.join(key)})" if key else "''"
+    return " UNION ALL ".join(
+        f"""SELECT '{table}' AS "table", {text} AS key, '{m}' AS measure,
+                   round(cast("{m}" AS double), 6) AS value FROM ({rows})"""
+        for m in measures
+    )
+
+
+ORACLES["report_tables_in_full"] = f"""
+    {_with("clock_trips", "weather", joined=_WEATHER_TRIPS, kept='''
+        SELECT joined.*, event_type AS user_type, event_id % 3 AS gender, year(start_time) AS y,
+               month(start_time) AS m, hour(start_time) AS h
+        FROM joined JOIN customer ON c_custkey = start_station_id JOIN events ON event_id = bike_id''',
+        months="SELECT y, m, count(*) AS n FROM kept GROUP BY y, m")}
+    {" UNION ALL ".join(_measures(*report) for report in _REPORTS)}"""
+
+ORACLES["bikes_after_upsert"] = f"""
+    {_with("line_trips", known='''
+        SELECT bike_id, cast(year(start_time) AS int) AS start_year, cast(month(start_time) AS int) AS start_month
+        FROM line_trips''')}
+    SELECT start_year, start_month, count(DISTINCT bike_id) AS number_of_bikes FROM known GROUP BY ALL
+    UNION ALL SELECT NULL, NULL, count(DISTINCT bike_id) FROM known"""

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acceptance import standins
-from tripstats import sinks, sources
+from tripstats import jobs, sinks, sources
 from tripstats.fixed_values import EVENT_NAMES, TRIP_NAMES
 from tripstats.functions import calendar, parsing
 from tripstats.operators import columns, keyed, nearest, periods, radius, split
@@ -652,3 +652,21 @@ def station_stream(spark, folder):
     return station_status.read_station_status(spark, table).select(
         "id", "station_name", "available_bikes", "available_docks"
     )
+
+
+@query
+def station_stream_batches(spark, folder):
+    """The status documents as files, of which each micro-batch takes two, by the job that
+    follows them until it has caught up."""
+    landed = scratch_path(spark, "status-documents")
+    documents = standins.station_documents(spark, folder)
+    documents.repartition(6, "document").select("value").write.text(landed)
+    table, checkpoint = (scratch_path(spark, name) for name in ("station-status", "stream-checkpoint"))
+    jobs.follow_stations(
+        spark, table, checkpoint, fmt="text",
+        option=[f"path={landed}", "wholetext=false", "pathGlobFilter=part-*"],
+        per_batch=2, caught_up=True, order_by=["snapshot_time", "position"],
+    )
+    return station_status.read_station_status(spark, table).select(
+        "id", "station_name", "available_bikes", "available_docks"
+    )

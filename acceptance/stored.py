@@ -1,8 +1,11 @@
 """Queries through the jobs and the stored tables, and checks of the models by SQL."""
 
+import functools
+
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acceptance import standins
@@ -10,7 +13,7 @@ from acceptance.queries import _clock_trips, _predictions_of, _weather_trips, qu
 from tripstats import jobs, sinks, sources
 from tripstats.fixed_values import EVENT_NAMES, TRIP_KEY
 from tripstats.operators import nearest
-from tripstats.plans import demand, enrichment, forecasting
+from tripstats.plans import bikes, demand, enrichment, forecasting
 from tripstats.workspace import scratch_path
 
 
@@ -169,3 +172,61 @@ def weather_scored_rows(spark, folder):
     """As scored_rows, of the models that know the weather."""
     rows = demand.training_rows(_weather_trips(spark, folder), with_weather=True)
     return _predictions_of(forecasting.forecast_demand(rows, with_weather=True)).drop("prediction")
+
+
+@query
+def report_tables_in_full(spark, folder):
+    """Every table of the report job as (table, key, measure, value)."""
+    out = scratch_path(spark, "reports")
+    jobs.reports(spark, _enriched(spark, folder), out)
+
+    def rows(table, key):
+        stored = sources.read_table(spark, f"{out}/{table}")
+        measures = [c for c, kind in stored.dtypes if c not in key and kind in ("bigint", "double")]
+        named = [F.struct(F.lit(c).alias("measure"), F.round(F.col(c).cast("double"), 6).alias("value")) for c in measures]
+        texts = [F.coalesce(F.col(c).cast("string"), F.lit("?")) for c in key]
+        return stored.select(
+            F.lit(table).alias("table"), F.concat_ws("|", *texts).alias("key"), F.explode(F.array(*named)).alias("m")
+        ).select("table", "key", "m.*")
+
+    keys = {
+        "total_trips": [],
+        "distinct_bikes": [],
+        "start_trip_top_20": ["start_station_name"],
+        "end_trip_top_20": ["end_station_name"],
+        "average_trip_user_type": ["user_type"],
+        "start_to_end_top_20": ["user_type", "route"],
+        "trips_age": ["age"],
+        "trip_duration_age": ["age"],
+        "grouped_count": ["start_year", "start_month"],
+        "percentage_change": ["year", "month"],
+        "grouped_count_season": ["start_year", "start_month", "start_hour", "season"],
+        "avg_temp": [],
+        "phmd": [],
+        "windspeed": [],
+    }
+    found = functools.reduce(DataFrame.unionByName, (rows(table, key) for table, key in keys.items()))
+    # Places and weather values of two engines may differ in the last digit.
+    return found.where(~F.col("measure").rlike("latitude|longitude"))
+
+
+@query
+def bikes_after_upsert(spark, folder):
+    """Distinct bikes by month and in all, where trips of some months came later and only these
+    months were counted anew."""
+    trips = standins.line_trips(spark, folder).select(
+        # Ids below zero, and in several buckets.
+        (F.col("bike_id") * 997 - 50_000).alias("bike_id"),
+        F.year("start_time").alias("start_year"),
+        F.month("start_time").alias("start_month"),
+    )
+    out = scratch_path(spark, "bikes")
+    late = F.col("start_year") >= 1996
+    first = trips.where(~late | (F.col("bike_id") % 2 == 0))
+    sinks.write_keyed(bikes.monthly_bikes(first), out, bikes.BIKES_KEY, partition_by=list(bikes.MONTH), unique=True)
+    months = [tuple(row) for row in trips.where(late).select(*bikes.MONTH).distinct().collect()]
+    again = bikes.monthly_bikes(bikes.of_months(trips, months))
+    sinks.write_keyed(again, out, bikes.BIKES_KEY, None, "replace", list(bikes.MONTH), True)
+    monthly = sources.read_table(spark, out)
+    by_month = bikes.count_bikes(monthly, *bikes.MONTH)
+    return by_month.unionByName(bikes.count_bikes(monthly), allowMissingColumns=True)

@@ -3,6 +3,7 @@ import os
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from tripstats.sinks import write_csv, write_keyed
 from tripstats.sinks import keyed
@@ -26,7 +27,7 @@ def test_one_row_per_key(spark, rows, table):
 def test_repeated_keys_need_an_order(spark, table):
     with pytest.raises(ValueError, match="order"):
         write_keyed(frame(spark, [(1, 1, "a"), (1, 2, "b")]), table, ["k"])
-    assert keyed.current_version(spark, table) is None
+    assert keyed.stored_rows(spark, table) is None
 
 
 def test_stored_data_is_not_written_over(spark, rows, table):
@@ -53,47 +54,50 @@ def test_upsert_without_order_takes_the_new_row(spark, rows, table):
     assert rows(read_table(spark, table)) == [(1, 4, "new"), (2, 1, "b")]
 
 
-def test_versions(spark, rows, table):
-    for t in range(5):
+def test_spark_reads_the_partitions_only(spark, rows, table):
+    for t in range(3):
         write_keyed(frame(spark, [(1, t, "x")]), table, ["k"], ["t"], mode="upsert")
-    older = spark.read.parquet(f"{table}/version=0000000003")
-    keyed.drop_old_versions(spark, table, keep=2)
-    assert sorted(os.listdir(table)) == ["version=0000000003", "version=0000000004"]
-    assert rows(read_table(spark, table)) == [(1, 4, "x")]
-    assert rows(older) == [(1, 3, "x")]
-    with pytest.raises(ValueError):
-        keyed.drop_old_versions(spark, table, keep=0)
+    assert rows(spark.read.parquet(table), "k", "t") == [(1, 2)]
+    assert {f for f in os.listdir(table) if "=" in f} == {"_table=0"}
 
 
-def test_half_written_version_does_not_count(spark, rows, table):
+def test_write_that_fails_changes_nothing(spark, rows, table):
     write_keyed(frame(spark, [(1, 1, "a")]), table, ["k"])
-    frame(spark, [(1, 9, "half")]).write.parquet(f"{table}/version=0000000001")
-    (folder,) = [f for f in os.listdir(table) if f.endswith("1")]
-    with open(f"{table}/{folder}/_manifest.json", "w") as manifest:
-        manifest.write('{"schema": ')
-    assert rows(read_table(spark, table)) == [(1, 1, "a")]
+    broken = frame(spark, [(i, 9, "x") for i in range(200)]).repartition(8).withColumn(
+        "v", F.when(F.col("k") == 150, F.raise_error(F.lit("lost"))).otherwise(F.col("v"))
+    )
+    for mode, order in (("upsert", ["t"]), ("upsert", None)):
+        with pytest.raises(PySparkException, match="lost"):
+            write_keyed(broken, table, ["k"], order, mode, unique=True)
+        assert rows(read_table(spark, table)) == [(1, 1, "a")]
     write_keyed(frame(spark, [(2, 1, "b")]), table, ["k"], mode="upsert")
     assert rows(read_table(spark, table)) == [(1, 1, "a"), (2, 1, "b")]
 
 
+def test_first_write_that_fails_can_be_made_again(spark, rows, table):
+    broken = frame(spark, [(1, 1, "a")]).withColumn("v", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(PySparkException, match="lost"):
+        write_keyed(broken, table, ["k"], ["t"])
+    assert rows(read_table(spark, table)) == []
+    write_keyed(frame(spark, [(1, 1, "a")]), table, ["k"], ["t"])
+    assert rows(read_table(spark, table)) == [(1, 1, "a")]
+
+
 PARTED = "k int, month int, t int"
 
 
+def files_of(table, month):
+    return sorted(f for f in os.listdir(f"{table}/month={month}") if f.endswith(".parquet"))
+
+
 def test_partitioned_upsert_rewrites_touched_partitions_only(spark, rows, table):
     write_keyed(frame(spark, [(1, 1, 1), (2, 1, 1), (3, 2, 1)], PARTED), table, ["k"], ["t"], partition_by=["month"])
-    older = read_table(spark, table)
+    before = {month: files_of(table, month) for month in (1, 2)}
     change = frame(spark, [(1, 1, 2), (2, 1, 0), (9, 3, 1)], PARTED)
     write_keyed(change, table, ["k"], ["t"], "upsert", ["month"])
     stored = read_table(spark, table)
     assert rows(stored, "k", "month", "t") == [(1, 1, 2), (2, 1, 1), (3, 2, 1), (9, 3, 1)]
-    added = f"{table}/version=0000000001"
-    assert {f for f in os.listdir(added) if "=" in f} == {"month=1", "month=3"}
-    # Who began to read before goes on with what the table was.
-    assert rows(older, "k", "month", "t") == [(1, 1, 1), (2, 1, 1), (3, 2, 1)]
-    keyed.drop_old_versions(spark, table, keep=1)
-    assert rows(read_table(spark, table), "k", "t") == [(1, 2), (2, 1), (3, 1), (9, 1)]
-    assert os.listdir(f"{table}/version=0000000000/month=2")
-    assert not os.path.exists(f"{table}/version=0000000000/month=1")
+    assert files_of(table, 1) != before[1] and files_of(table, 2) == before[2] and files_of(table, 3)
 
 
 def test_partitioned_upsert_past_the_listing_limit(spark, rows, table, monkeypatch):
@@ -112,12 +116,15 @@ def test_partitioned_upsert_with_null_partition(spark, rows, table, limit, monke
     assert rows(read_table(spark, table), "k", "t") == [(1, 2), (2, 1)]
 
 
-def test_interrupted_partitioned_upsert_changes_nothing(spark, rows, table):
+def test_partitioned_upsert_that_fails_changes_nothing(spark, rows, table):
     write_keyed(frame(spark, [(1, 1, 1), (3, 2, 1)], PARTED), table, ["k"], ["t"], partition_by=["month"])
-    frame(spark, [(1, 1, 7)], PARTED).write.partitionBy("month").parquet(f"{table}/version=0000000001")
+    change = frame(spark, [(1, 1, 7), (3, 2, 5), (8, 2, 8)], PARTED)
+    late = F.when(F.col("k") == 8, F.raise_error(F.lit("lost"))).otherwise(F.col("t")).cast("int")
+    with pytest.raises(PySparkException, match="lost"):
+        write_keyed(change.withColumn("t", late), table, ["k"], ["t"], "upsert", ["month"])
     assert rows(read_table(spark, table), "k", "month", "t") == [(1, 1, 1), (3, 2, 1)]
-    write_keyed(frame(spark, [(3, 2, 5)], PARTED), table, ["k"], ["t"], "upsert", ["month"])
-    assert rows(read_table(spark, table), "k", "month", "t") == [(1, 1, 1), (3, 2, 5)]
+    write_keyed(change, table, ["k"], ["t"], "upsert", ["month"])
+    assert rows(read_table(spark, table), "k", "month", "t") == [(1, 1, 7), (3, 2, 5), (8, 2, 8)]
 
 
 @pytest.mark.parametrize("kind, values", [
@@ -139,8 +146,7 @@ def test_null_keys_are_refused(spark, table):
     for order in (None, ["t"]):
         with pytest.raises(PySparkException, match="a row without k"):
             write_keyed(frame(spark, [(1, 1, "a"), (None, 1, "b")]), table, ["k"], order)
-    with pytest.raises(Exception):
-        read_table(spark, table).count()
+    assert read_table(spark, table).count() == 0
 
 
 def test_write_csv(spark, tmp_path):

@@ -68,8 +68,6 @@ def test_latest_status_of_each_station(spark, rows, landed, tmp_path):
     assert query.lastProgress is None or query.exception() is None
     status = read_station_status(spark, str(tmp_path / "table"))
     assert rows(status, "station_name", "available_bikes") == LATEST
-    versions = [v for v in os.listdir(tmp_path / "table") if v.startswith("version")]
-    assert len(versions) == 3
 
 
 def test_stream_equals_batch(spark, rows, landed, tmp_path):
@@ -132,3 +130,68 @@ def test_runs_for_a_bounded_time(spark, landed, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert read_station_status(spark, str(tmp_path / "t")).count() == 5
+
+
+def batches(query):
+    return [p for p in query.recentProgress if p.numInputRows]
+
+
+def test_state_keeps_one_record_a_station(spark, landed, tmp_path):
+    folder, land = landed
+    query = run(spark, folder, tmp_path)
+    assert "StateStoreSave" in query._jsq.explainInternal(False)
+    # Only the stations of a batch's documents are handed on: 5, 5, 3, none, none.
+    states = [p.stateOperators[0] for p in batches(query)]
+    assert [s.numRowsUpdated for s in states] == [5, 5, 3, 0, 0]
+    assert [s.numRowsTotal for s in states] == [5] * 5
+    land("one.json", document("2019-01-01 00:04:00", 70, stations=1), 7)
+    (last,) = batches(run(spark, folder, tmp_path))
+    assert (last.stateOperators[0].numRowsUpdated, last.stateOperators[0].numRowsTotal) == (1, 5)
+
+
+def test_late_documents_change_neither_state_nor_table(spark, rows, landed, tmp_path):
+    folder, land = landed
+    order = ("snapshot_time", "position")
+    run(spark, folder, tmp_path, order_by=order)
+    for age, name in enumerate(("late", "later")):
+        land(f"{name}.json", document("2018-12-31 23:59:00", 500), 8 + age)
+        run(spark, folder, tmp_path, order_by=order)
+        status = read_station_status(spark, str(tmp_path / "table"))
+        assert rows(status, "station_name", "available_bikes") == LATEST
+    # The state still knows the latest: a record between the two is late as well.
+    land("between.json", document("2019-01-01 00:00:30", 600), 20)
+    run(spark, folder, tmp_path, order_by=order)
+    status = read_station_status(spark, str(tmp_path / "table"))
+    assert rows(status, "station_name", "available_bikes") == LATEST
+
+
+def test_records_without_a_key_are_told(spark, rows, landed, tmp_path, caplog):
+    folder, land = landed
+    land("nameless.json", document("2019-01-01 00:05:00", 1).replace('"S1"', "null").replace('"S2"', "null"), 9)
+    with caplog.at_level("WARNING"):
+        run(spark, folder, tmp_path)
+    assert [r.getMessage() for r in caplog.records if "without" in r.getMessage()] == [
+        "batch 5: 2 records without station_name"
+    ]
+
+
+@pytest.mark.parametrize("per_batch, count", [(None, 1), (2, 3), (1, 5)])
+def test_batches_are_bounded(spark, rows, landed, tmp_path, per_batch, count):
+    folder, _ = landed
+    messages = sources.read_snapshot_stream(spark, "text", {"path": str(folder)}, per_batch)
+    query = start_station_status(
+        station_status(messages), str(tmp_path / "t"), str(tmp_path / "c"), trigger={"availableNow": True}
+    )
+    query.awaitTermination(120)
+    sizes = [p.numInputRows for p in batches(query)]
+    assert len(sizes) == count and sum(sizes) == 5 and max(sizes) <= (per_batch or 5)
+    assert rows(read_station_status(spark, str(tmp_path / "t")), "station_name", "available_bikes") == LATEST
+
+
+def test_options_that_bound_a_batch():
+    from tripstats.sources.stations import _admission
+
+    assert _admission("kafka", 1000, 64) == {"maxOffsetsPerTrigger": "1000", "minPartitions": "64"}
+    assert _admission("kafka", None, None) == _admission("text", None, 8) == {}
+    with pytest.raises(ValueError, match="per_batch"):
+        _admission("text", 0, None)

@@ -35,36 +35,19 @@ from tripstats.plans import (
     demand,
     enrichment,
     forecasting,
-    usage,
-    weather_profiles,
+    report_cells,
 )
+from tripstats.plans import bikes as bike_counts
+from tripstats.plans.bikes import BIKES_KEY, MONTH
 from tripstats.session import build_session
 from tripstats.streaming import station_status
+from tripstats.workspace import scratch_path
 
 _log = logging.getLogger(__name__)
 
 # Trips are stored by month, so that a filter on time skips whole folders.
 TRIP_PARTITIONS = ["start_year", "start_month"]
 
-# The report behind each table; the monthly change follows from grouped_count.
-REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "total_trips": usage.total_trips,
-    "distinct_bikes": usage.distinct_bikes,
-    # Of stations that share a name, and routes that share a text, the busiest stays.
-    "start_trip_top_20": functools.partial(usage.top_start_stations, by_name=True),
-    "end_trip_top_20": functools.partial(usage.top_end_stations, by_name=True),
-    "average_trip_user_type": usage.user_type_summary,
-    "start_to_end_top_20": functools.partial(usage.top_routes, by_name=True),
-    "trips_age": usage.trips_by_age,
-    "trip_duration_age": usage.duration_by_age,
-    "grouped_count": usage.monthly_trips,
-    "grouped_count_season": usage.season_hour_trips,
-    "avg_temp": weather_profiles.by_temperature,
-    "phmd": weather_profiles.by_precipitation_and_humidity,
-    "windspeed": weather_profiles.by_wind_speed,
-}
-
-
 def weather_sites(spark: SparkSession, nearby: str, records: str, out: str) -> None:
     sites = sources.read_weather_sites(spark, records, sources.read_nearby_sites(spark, nearby))
     sinks.write_keyed(sites, out, WEATHER_SITE_KEY, order_by=["name"])
@@ -102,14 +85,32 @@ def enrich(
 
 
 def reports(spark: SparkSession, trips: str, out: str) -> None:
-    """All report tables; the monthly change is derived from the stored counts."""
-    stored = sources.read_table(spark, trips)
-    for name, report in REPORTS.items():
-        _write_report(report(stored), name, out)
+    """All report tables.  The trips are read once, into the cells of all reports, which are stored by
+    kind for the time of the job; the monthly change is derived from the stored counts."""
+    cells = report_cells.trip_cells(sources.read_table(spark, trips))
+    path = scratch_path(spark, "report-cells")
+    cells.write.partitionBy("cell").parquet(path)
+    stored = spark.read.schema(cells.schema).parquet(path)
+    for name, report in report_cells.reports(stored).items():
+        _write_report(report, name, out)
     counts = sources.read_table(spark, f"{out}/grouped_count")
     _write_report(month_over_month(counts), "percentage_change", out)
 
 
+def bikes(spark: SparkSession, trips: str, out: str, changed: str | None = None) -> None:
+    """The bikes of each month as bitmaps; with ``changed``, files of trips that were merged into
+    the stored trips since, only of the months that these have trips of."""
+    rides = sources.read_table(spark, trips)
+    if changed is None:
+        sinks.write_keyed(bike_counts.monthly_bikes(rides), out, BIKES_KEY, None, "errorifexists", MONTH, True)
+        return
+    news = enrichment.clean_trips(sources.read_trips(spark, changed))
+    # A few hundred at most: months, not trips.
+    months = [tuple(row) for row in news.select(*MONTH).distinct().collect()]
+    counted = bike_counts.monthly_bikes(bike_counts.of_months(rides, months))
+    sinks.write_keyed(counted, out, BIKES_KEY, None, "replace", MONTH, True)
+
+
 def _write_report(report: DataFrame, name: str, out: str) -> None:
     """A keyed table cannot hold a row without its key; such rows are counted and told."""
     keys = list(REPORT_KEYS[name])
@@ -182,12 +183,21 @@ def follow_stations(
     fmt: str = "kafka",
     option: list[str] | None = None,
     seconds: float | None = None,
+    per_batch: int | None = None,
+    least_tasks: int | None = None,
+    caught_up: bool = False,
+    order_by: list[str] | None = None,
 ) -> None:
-    """Keep the station status table up to date, for a time or until stopped."""
+    """Keep the station status table up to date, for a time, until stopped, or with ``caught_up``
+    until all that has arrived by now is in.  The latest record goes by ``order_by``, or by arrival."""
     options = dict(pair.split("=", 1) for pair in option or [])
-    messages = sources.read_snapshot_stream(spark, fmt, options)
+    messages = sources.read_snapshot_stream(spark, fmt, options, per_batch, least_tasks)
     run = station_status.start_station_status(
-        station_status.station_status(messages), table, checkpoint
+        station_status.station_status(messages),
+        table,
+        checkpoint,
+        order_by=tuple(order_by or station_status.ARRIVAL_ORDER),
+        trigger={"availableNow": True} if caught_up else None,
     )
     run.awaitTermination(seconds)
     run.stop()
@@ -213,6 +223,8 @@ def _parser() -> argparse.ArgumentParser:
     options = add("enrich", enrich, "trips", "stations", "weather", "out")
     options.add_argument("--time", choices=["time", "time_local"], default="time")
     add("reports", reports, "trips", "out")
+    options = add("bikes", bikes, "trips", "out")
+    options.add_argument("--changed", metavar="FILES")
     options = add("forecast", forecast, "trips", "out")
     options.add_argument("--weather", action="store_true")
     add("event-places", event_places, "files", "out")
@@ -226,6 +238,10 @@ def _parser() -> argparse.ArgumentParser:
     options.add_argument("--fmt", default="kafka")
     options.add_argument("--option", action="append", metavar="KEY=VALUE")
     options.add_argument("--seconds", type=float)
+    options.add_argument("--per-batch", type=int, metavar="FILES_OR_MESSAGES")
+    options.add_argument("--least-tasks", type=int)
+    options.add_argument("--caught-up", action="store_true")
+    options.add_argument("--order-by", action="append", metavar="COLUMN")
     return parser
 
 

@@ -40,8 +40,17 @@ def distinct_bikes(trips: DataFrame) -> DataFrame:
 
 
 def _top_stations(trips: DataFrame, end: str, k: int, by_name: bool) -> DataFrame:
-    place = [f"{end}_station_name", f"{end}_station_latitude", f"{end}_station_longitude"]
-    counted = trips.groupBy(*place).agg(_trips("number_of_trips"))
+    counted = trips.groupBy(*_place(end)).agg(_trips("number_of_trips"))
+    return busiest_stations(counted, end, k, by_name)
+
+
+def _place(end: str) -> list[str]:
+    return [f"{end}_station_name", f"{end}_station_latitude", f"{end}_station_longitude"]
+
+
+def busiest_stations(counted: DataFrame, end: str, k: int = TOP_K, by_name: bool = False) -> DataFrame:
+    """The top of places with their ``number_of_trips``."""
+    place = _place(end)
     if by_name:
         counted = latest_per_key(counted, place[:1], ["number_of_trips"])
     return top_k(counted, "number_of_trips", place, k)
@@ -73,6 +82,12 @@ def top_routes(trips: DataFrame, k: int = TOP_K, by_name: bool = False) -> DataF
     counted = trips.groupBy("user_type", *ends).agg(
         _trips("number_of_trips"), _mean_duration("average_duration")
     )
+    return busiest_routes(counted, k, by_name)
+
+
+def busiest_routes(counted: DataFrame, k: int = TOP_K, by_name: bool = False) -> DataFrame:
+    """The top of station pairs by user type, with ``number_of_trips`` and ``average_duration``."""
+    ends = ["start_station_name", "end_station_name"]
     route = F.concat("start_station_name", F.lit(" to "), "end_station_name")
     counted = counted.withColumn("route", route)
     if by_name:
@@ -106,7 +121,11 @@ def monthly_trips(trips: DataFrame) -> DataFrame:
 def season_hour_trips(trips: DataFrame) -> DataFrame:
     """Trips per year, month and hour, with the season and a 12-hour clock label in
     place of the hour."""
-    counted = trips.groupBy("start_year", "start_month", "start_hour").count()
+    return with_season(trips.groupBy("start_year", "start_month", "start_hour").count())
+
+
+def with_season(counted: DataFrame) -> DataFrame:
+    """Counts by year, month and hour as ``season_hour_trips`` shows them."""
     return counted.select(
         "start_year",
         "start_month",

@@ -1,17 +1,19 @@
 """Parquet tables with one row per key.
 
-A table is a folder of versions, ``version=0000000000`` and so on.  A version is the
-files that its write added, and a manifest: the schema of the table and all folders
-that make it up, those of older versions among them.  The manifest is written last, as
-one small file, and the greatest version with a whole manifest is the table.  No
-write touches files of an older version, so readers keep the one they began with, and
-a write that stops half-way leaves the table as it was.  One writer at a time.
+A table is a folder of partitions, written by Spark's dynamic partition overwrite: a write
+replaces the partitions that it has rows for, when all its files are there, and leaves
+the others alone.  A write that fails before that changes nothing.  A table without
+partition columns of its own is one partition, so that storing it anew goes the same way.
+
+Folder names hold partition values as text, so the table's types are kept by an empty
+table beside the partitions, which readers of the folder skip.  One writer at a time,
+and no readers while a write replaces what they read.
 """
 
 import functools
-import json
 import operator
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,8 +22,9 @@ from tripstats.operators.columns import prefix_columns
 from tripstats.operators.keyed import has_duplicate_keys, latest_per_key
 from tripstats.operators.lookup import BROADCAST_BYTES, measure
 
-_PREFIX = "version="
-_MANIFEST = "_manifest.json"
+# Spark's listing skips names that begin with an underscore, unless they are partitions.
+_SCHEMA = "_schema"
+_WHOLE = "_table"
 MAX_LISTED_PARTITIONS = 500
 
 
@@ -40,17 +43,19 @@ def write_keyed(
     have to be unique, which costs a pass to find out unless the caller vouches for it
     by ``unique``.  A null in a key stops the write.  Mode "errorifexists" refuses a
     table that has data.  Mode "upsert" merges with the stored rows; by ``order_by``, or
-    else the new row wins.
+    else the new row wins.  Mode "replace" replaces all rows of the partitions that ``df`` has rows for.
 
     An upsert writes the whole table anew, unless it is partitioned: then only the
-    partitions with new rows are rewritten.  The key must determine the partition.
+    partitions with new rows are rewritten.  The key must determine the partition, and
+    a table is partitioned the same way by all its writes.
     Columns keep their types, partition columns too.
     """
     spark, keys, partition_by = df.sparkSession, list(keys), list(partition_by or [])
-    if mode not in ("errorifexists", "upsert"):
+    if mode not in ("errorifexists", "upsert", "replace"):
         raise ValueError(f"unknown mode {mode!r}")
-    stored = current_version(spark, path)
-    if stored and mode == "errorifexists":
+    old = stored_rows(spark, path)
+    filled = old is not None and not old.isEmpty()
+    if filled and mode == "errorifexists":
         raise FileExistsError(f"{path} holds data already")
     df = df.withColumns({key: _known(key) for key in keys})
     if order_by is None:
@@ -59,59 +64,27 @@ def write_keyed(
         incoming = df
     else:
         incoming = latest_per_key(df, keys, order_by)
-
-    if not stored:
-        _save(incoming, path, 0, partition_by)
-        return
-    old = read_version(spark, stored)
-    if partition_by:
+    if filled and mode == "upsert":
         # Which partitions are touched does not depend on which row of a key stays.
-        touched = _touched_partitions(old, df, partition_by)
-        merged = _merge(touched, incoming, keys, order_by)
-        _save(merged, path, _number(stored) + 1, partition_by, _manifest(spark, stored)["folders"])
-    else:
-        _save(_merge(old, incoming, keys, order_by), path, _number(stored) + 1, [])
-
-
-def current_version(spark: SparkSession, path: str) -> str | None:
-    """Folder of the newest complete version of the table at ``path``."""
-    versions = _complete_versions(spark, path)
-    return versions[-1] if versions else None
-
-
-def read_version(spark: SparkSession, version: str, **options) -> DataFrame:
-    """The rows of one version."""
-    manifest = _manifest(spark, version)
-    schema = T.StructType.fromJson(manifest["schema"])
-    path = version.rsplit("/", 1)[0]
-    folders = [f"{path}/{folder}" for folder in manifest["folders"]]
-    if not folders:
-        return spark.createDataFrame([], schema)
-    reader = spark.read.options(**options).schema(schema)
-    if not manifest["partitioned"]:
-        return reader.parquet(*folders)
-    # Partition values stand in the paths below the version, which is no column.
-    rows = reader.option("basePath", path).parquet(*folders)
-    return rows.select(*schema.names)
-
-
-def drop_old_versions(spark: SparkSession, path: str, keep: int = 3) -> None:
-    """Delete all but the ``keep`` newest complete versions, but for the folders that these
-    still use."""
-    if keep < 1:
-        raise ValueError("at least one version has to stay")
-    versions = _complete_versions(spark, path)
-    used = {folder for version in versions[-keep:] for folder in _manifest(spark, version)["folders"]}
-    for version in versions[:-keep]:
-        name = version.rsplit("/", 1)[1]
-        # Without its manifest the version is gone for readers; its files follow.
-        own = [f for f in _manifest(spark, version)["folders"] if f.split("/")[0] == name]
-        if not any(folder.split("/")[0] == name for folder in used):
-            _delete(spark, version)
-            continue
-        for folder in own:
-            if folder not in used:
-                _delete(spark, f"{path}/{folder}")
+        touched = _touched_partitions(old, df, partition_by) if partition_by else old
+        incoming = _merge(touched, incoming, keys, order_by)
+    if not filled:
+        # The columns in the order of reading: partition columns come last.
+        fields = sorted(df.schema.fields, key=lambda field: field.name in partition_by)
+        types = spark.createDataFrame([], T.StructType(fields))
+        types.write.mode("overwrite").parquet(f"{path}/{_SCHEMA}")
+    _save(incoming, path, partition_by)
+
+
+def stored_rows(spark: SparkSession, path: str, **options) -> DataFrame | None:
+    """The rows of the table that ``write_keyed`` keeps at ``path``; None if there is none."""
+    try:
+        schema = spark.read.parquet(f"{path}/{_SCHEMA}").schema
+    except AnalysisException as problem:
+        if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    return spark.read.options(**options).schema(schema).parquet(path).select(*schema.names)
 
 
 def _known(key: str) -> Column:
@@ -125,30 +98,14 @@ def _merge(old: DataFrame, new: DataFrame, keys: list[str], order_by) -> DataFra
     return latest_per_key(old.unionByName(new), keys, order_by)
 
 
-def _save(
-    df: DataFrame, path: str, number: int, partition_by: list[str], kept: list[str] | None = None
-) -> None:
-    """Write a version; of the folders ``kept`` of the one before, those stay for which it
-    has no partition of its own."""
-    spark, name = df.sparkSession, f"{_PREFIX}{number:010d}"
-    writer = df
+def _save(df: DataFrame, path: str, partition_by: list[str]) -> None:
     if partition_by:
         # Adaptive execution splits the large partitions and joins the small ones.
-        writer = df.hint("rebalance", *(F.col(c) for c in partition_by))
-    writer.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/{name}")
-    folders = [name]
-    if partition_by:
-        added = _partition_folders(spark, f"{path}/{name}", len(partition_by))
-        folders = [f"{name}/{partition}" for partition in added]
-        folders += [f for f in kept or [] if f.split("/", 1)[1] not in added]
-    # The columns in the order of reading: partition columns come last.
-    fields = sorted(df.schema.fields, key=lambda field: field.name in partition_by)
-    manifest = {
-        "schema": T.StructType(fields).jsonValue(),
-        "partitioned": bool(partition_by),
-        "folders": folders,
-    }
-    _write_text(spark, f"{path}/{name}/{_MANIFEST}", json.dumps(manifest))
+        df = df.hint("rebalance", *(F.col(c) for c in partition_by))
+    else:
+        df, partition_by = df.withColumn(_WHOLE, F.lit(0)), [_WHOLE]
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by).parquet(path)
 
 
 def _touched_partitions(old: DataFrame, new: DataFrame, partition_by: list[str]) -> DataFrame:
@@ -168,62 +125,3 @@ def _touched_partitions(old: DataFrame, new: DataFrame, partition_by: list[str])
 
 def _all(conditions) -> Column:
     return functools.reduce(operator.and_, conditions)
-
-
-def _number(folder: str) -> int:
-    return int(folder.rsplit(_PREFIX, 1)[1])
-
-
-# --- files, through the file system that Spark writes to -------------------------
-
-
-def _complete_versions(spark: SparkSession, path: str) -> list[str]:
-    fs, root = _file_system(spark, path)
-    if not fs.exists(root):
-        return []
-    names = (status.getPath().getName() for status in fs.listStatus(root))
-    folders = sorted(f"{path}/{name}" for name in names if name.startswith(_PREFIX))
-    return [folder for folder in folders if _manifest(spark, folder) is not None]
-
-
-def _manifest(spark: SparkSession, version: str) -> dict | None:
-    """The manifest of a version; None if there is none or its write was cut short."""
-    fs, where = _file_system(spark, f"{version}/{_MANIFEST}")
-    if not fs.exists(where):
-        return None
-    stream = fs.open(where)
-    try:
-        content = bytes(stream.readAllBytes()).decode()
-    finally:
-        stream.close()
-    try:
-        return json.loads(content)
-    except ValueError:
-        return None
-
-
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, where = _file_system(spark, path)
-    stream = fs.create(where, True)
-    try:
-        stream.write(bytearray(text.encode()))
-    finally:
-        stream.close()
-
-
-def _partition_folders(spark: SparkSession, folder: str, depth: int) -> set[str]:
-    """Relative paths of the partition folders below ``folder``."""
-    fs, where = _file_system(spark, folder + "/*=*" * depth)
-    # Names stand as Spark wrote them, with its escapes.
-    names = (status.getPath().toString() for status in fs.globStatus(where) or [])
-    return {"/".join(name.split("/")[-depth:]) for name in names}
-
-
-def _file_system(spark: SparkSession, path: str):
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), where
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    fs, where = _file_system(spark, path)
-    fs.delete(where, True)

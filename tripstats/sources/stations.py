@@ -27,7 +27,11 @@ def read_station_snapshot(
 
 
 def read_snapshot_stream(
-    spark: SparkSession, fmt: str = "kafka", options: dict | None = None
+    spark: SparkSession,
+    fmt: str = "kafka",
+    options: dict | None = None,
+    per_batch: int | None = None,
+    least_tasks: int | None = None,
 ) -> DataFrame:
     """Stream of snapshot documents: ``value`` text, ``arrived_at`` and ``sequence``,
     which order the documents.
@@ -35,8 +39,13 @@ def read_snapshot_stream(
     ``fmt`` is "kafka" (needs the connector on the class path) or "text", which
     takes the files of the folder in option "path"; whole, or with option "wholetext"
     set to "false" line by line.
+
+    ``per_batch`` is the most that a micro-batch takes in, files or messages: a stream that has fallen
+    behind, or starts with a full topic, catches up in batches of that size instead of
+    one that holds everything.  ``least_tasks`` spreads the messages of a batch over more tasks than
+    the topic has partitions; files are spread as they are.
     """
-    options = options or {}
+    options = {**(options or {}), **_admission(fmt, per_batch, least_tasks)}
     if fmt == "kafka":
         messages = spark.readStream.format("kafka").options(**options).load()
         return messages.select(
@@ -50,3 +59,14 @@ def read_snapshot_stream(
         F.col("_metadata.file_modification_time").alias("arrived_at"),
         F.col("_metadata.file_path").alias("sequence"),
     )
+
+
+def _admission(fmt: str, per_batch: int | None, least_tasks: int | None) -> dict[str, str]:
+    """The options of the source that bound a micro-batch."""
+    for name, value in (("per_batch", per_batch), ("least_tasks", least_tasks)):
+        if value is not None and value < 1:
+            raise ValueError(f"{name} must be 1 or more, not {value}")
+    chosen = {"maxOffsetsPerTrigger" if fmt == "kafka" else "maxFilesPerTrigger": per_batch}
+    if fmt == "kafka":
+        chosen["minPartitions"] = least_tasks
+    return {name: str(value) for name, value in chosen.items() if value is not None}

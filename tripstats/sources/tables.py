@@ -2,11 +2,11 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripstats.sinks.keyed import current_version, read_version
+from tripstats.sinks.keyed import stored_rows
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
-    """A stored table; of a table written by ``write_keyed``, its current version.
+    """A stored table; one written by ``write_keyed`` with the types it was written with.
 
     Any format with a reader on the class path will do, for instance that of a
     database connector, with its own options.
@@ -14,7 +14,5 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", **options)
     if fmt != "parquet":
         reader = spark.read.format(fmt).options(**options)
         return reader.load(path) if path else reader.load()
-    version = current_version(spark, path)
-    if version:
-        return read_version(spark, version, **options)
-    return spark.read.options(**options).parquet(path)
+    rows = stored_rows(spark, path, **options)
+    return rows if rows is not None else spark.read.options(**options).parquet(path)

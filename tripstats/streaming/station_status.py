@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tripstats.fixed_values import STATION_STATUS_KEY
 from tripstats.functions.parsing import parse_snapshot_time, parse_station_document
-from tripstats.sinks.keyed import drop_old_versions, write_keyed
+from tripstats.sinks.keyed import write_keyed
 from tripstats.sources.tables import read_table
 
 _log = logging.getLogger(__name__)
@@ -51,33 +51,50 @@ def station_status(messages: DataFrame) -> DataFrame:
     )
 
 
+def latest_status(records: DataFrame, order_by: tuple[str, ...] = ARRIVAL_ORDER) -> DataFrame:
+    """The latest record of each station, batch or stream, and ``records``: how many of the station
+    were seen.
+
+    On a stream Spark's state store holds one record a station, and in update mode a batch gives
+    the stations that it had records of; late and replayed records leave them as
+    they are.  Of records equally late the greatest in the other columns counts.
+    """
+    keys = list(STATION_STATUS_KEY)
+    order = [c for c in order_by if c not in keys]
+    rest = [c for c in records.columns if c not in keys and c not in order]
+    latest = records.groupBy(*keys).agg(
+        F.max(F.struct(*order, *rest)).alias("latest"), F.count(F.lit(1)).alias("records")
+    )
+    return latest.select(*keys, "latest.*", "records")
+
+
 def start_station_status(
     stream: DataFrame,
     table: str,
     checkpoint: str,
     order_by: tuple[str, ...] = ARRIVAL_ORDER,
     trigger: dict | None = None,
-    keep_versions: int = 3,
 ) -> StreamingQuery:
     """Keep the latest row of each station of ``stream`` in the table at ``table``.
 
-    A micro-batch is cut down to one row per station before it is merged.  Merging
-    goes by ``order_by``, so a batch that is played again after a failure changes
-    nothing.  ``trigger`` is passed on, e.g. ``{"availableNow": True}``.  Records without
-    the key of the table cannot be stored; each batch logs how many it had.
+    The stream's state keeps the latest record of each station, so a micro-batch hands on
+    one row for each station that it had records of.  These are merged into the table by
+    ``order_by``, so a batch that is played again, or a stream begun anew,
+    changes nothing.  ``trigger`` is passed on, e.g. ``{"availableNow": True}``.  Records without
+    the key of the table cannot be stored; each batch that has some logs how many there were so far.
     """
     keys = list(STATION_STATUS_KEY)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         counted = Observation()
-        nameless = F.count_if(F.col(keys[0]).isNull()).alias("nameless")
-        named = batch.observe(counted, nameless).filter(F.col(keys[0]).isNotNull())
+        unnamed = F.col(keys[0]).isNull()
+        nameless = F.sum(F.when(unnamed, F.col("records"))).alias("nameless")
+        named = batch.observe(counted, nameless).filter(~unnamed).drop("records")
         write_keyed(named, table, keys, list(order_by), mode="upsert")
         if counted.get["nameless"]:
             _log.warning("batch %s: %s records without %s", batch_id, counted.get["nameless"], keys[0])
-        drop_old_versions(batch.sparkSession, table, keep_versions)
 
-    writer = stream.writeStream.outputMode("update").foreachBatch(merge)
+    writer = latest_status(stream, order_by).writeStream.outputMode("update").foreachBatch(merge)
     writer = writer.option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": "0 seconds"})).start()
 
