@@ -13,6 +13,8 @@ from tripstats.llm.common import stored, table
 
 LEAST_QUALITY = 0.3
 
+_ROW = "_row_number"
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose expected severity stays below the limit."""
@@ -28,16 +30,29 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near copies: five-word shingles, 0.8 or more."""
-    found = near_duplicates.near_duplicates(docs, near_duplicates.Settings(words=5, percent=80))
-    copies = found.where(~F.col("kept")).select("doc_id")
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each group of near copies: five-word shingles, 0.8 or more.
+
+    Every row is decided by its own text, also if its id is null or repeated: of rows that
+    repeat one stays, and texts without words have no copies.
+    """
+    rows = _numbered(docs)
+    found = near_duplicates.near_duplicates(
+        rows, near_duplicates.Settings(words=5, percent=80), doc_id=_ROW
+    )
+    copies = found.where(~F.col("kept")).select(F.col("doc_id").alias(_ROW))
+    return rows.join(copies, _ROW, "left_anti").select(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    found = decontamination.leaks(docs, table(spark, sf_dir, "benchmark"))
-    return decontamination.clean(docs, found)
+    """Documents that hold no benchmark item.  Every row is decided by its own text."""
+    rows = _numbered(docs)
+    found = decontamination.leaks(rows, table(spark, sf_dir, "benchmark"), doc_id=_ROW)
+    return decontamination.clean(rows, found, doc_id=_ROW).select(*docs.columns)
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The rows with a number of their own, stored, so that it stays theirs."""
+    return stored(docs.withColumn(_ROW, F.monotonically_increasing_id()), "rows")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
