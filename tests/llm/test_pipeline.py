@@ -65,5 +65,31 @@ def test_empty_documents_pass_through(spark):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert 4 <= len(corpus_pipeline.STAGES) <= 5 and corpus_pipeline.ORACLE_SQL is None
+
+
+def documents(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def test_null_and_repeated_ids_are_decided_row_by_row(spark):
+    texts = {name: " ".join(f"{name}{i}" for i in range(60)) for name in "ABCDE"}
+    rows = [(1, texts["A"]), (1, texts["A"]), (None, texts["B"]), (None, texts["B"]), (5, texts["C"]),
+            (6, texts["C"] + " tail"), (6, texts["D"]), (7, texts["E"]), (None, texts["A"]), (8, None), (9, "")]
+    docs = documents(spark, [(i, t, "en", "s", 1) for i, t in rows])
+    got = corpus_pipeline.drop_near_copies(spark, docs, FOLDER)
+    assert got.columns == docs.columns
+    kept = sorted((row.text or "").removesuffix(" tail") for row in got.collect())
+    assert kept == ["", "", *sorted(texts.values())]
+
+
+def test_leaks_are_decided_row_by_row(spark, tmp_path):
+    item = " ".join(f"item{i}" for i in range(20))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = " ".join(f"clean{i}" for i in range(200))
+    rows = [(None, f"a {item} b"), (7, f"x {item}"), (7, clean), (7, clean), (None, clean), (8, item), (9, None)]
+    docs = documents(spark, [(i, t, None, None, None) for i, t in rows])
+    got = corpus_pipeline.drop_leaks(spark, docs, str(tmp_path))
+    assert sorted((row.doc_id, row.text) for row in got.where("doc_id is not null").collect() if row.text) == [(7, clean)] * 2
+    assert got.count() == 4

@@ -1,5 +1,6 @@
 """Tables, stored steps and Arrow batches shared by the operators."""
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +15,9 @@ from tripstats.workspace import scratch_path
 # Text that one step of a Python task holds as words; a longer text is a step of its own.
 CHUNK_BYTES = 1 << 20
 
+# glibc keeps freed memory; other C libraries have no such call.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -52,8 +56,15 @@ def chunks(
             stop = max(stop, start + 1)
             yield batch.take(pa.array(np.arange(start, stop)))
             start = stop
-        # Workers live on; what Arrow holds back would add up in them.
-        pa.default_memory_pool().release_unused()
+        # Workers live on; what was freed but not given back would add up in them.
+        release_memory()
+
+
+def release_memory() -> None:
+    """Give freed memory of this process back to the system."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
 
 
 class Words:
