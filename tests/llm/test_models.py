@@ -123,3 +123,62 @@ def test_word_features_know_ngrams():
     first, second, empty = (set(ids[a:b]) for a, b in zip(starts, starts[1:]))
     assert (len(first), len(second), len(empty)) == (4, 5, 1)
     assert len(first & second) == 2  # abc and bc>
+
+
+def letters(rng, alphabet, n):
+    return " ".join("".join(rng.choice(list(alphabet), rng.integers(2, 9))) for _ in range(n))
+
+
+def test_sizes_are_those_of_plain_zstandard(spark):
+    import zstandard
+
+    rng = np.random.default_rng(3)
+    alphabets = {"aa": "aeioustr", "bb": "bcdfghkl", "cc": "éèàmnopq"}
+    rows = [(letters(rng, alphabets[lang], 60), lang) for lang in alphabets for _ in range(30)]
+    model = language.fit(spark.createDataFrame(rows * 2, "text string, lang string"), sample_documents=20)
+    assert model.languages == ("aa", "bb", "cc")
+    texts = [letters(rng, "".join(rng.choice(list(alphabets.values()), 2)), n) for n in (1, 3, 50, 400, 3000) for _ in range(6)]
+    got = language.predict(spark.createDataFrame([(t,) for t in texts], "text string"), model).collect()
+    settings = zstandard.ZstdCompressionParameters.from_level(
+        3, window_log=20, min_match=4, write_content_size=False, write_checksum=False, write_dict_id=False)
+    for row in got:
+        words = row.text.split(" ")
+        content = " ".join(w for i, w in enumerate(words) if not i or w != words[i - 1]).encode()
+        sizes = []
+        for dictionary in model.dictionaries:
+            raw = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            coder = zstandard.ZstdCompressor(dict_data=raw, compression_params=settings)
+            sizes.append(sum(len(coder.compress(content[i : i + 1024])) for i in range(0, len(content), 1024)))
+        best, second = sorted(sizes)[:2]
+        assert row.lang_pred == model.languages[sizes.index(best)]
+        assert row.margin == pytest.approx(1 - best / second)
+        assert row.rejected == (row.margin < language.NARROW_MARGIN)
+
+
+@needs_tables
+def test_long_texts_are_judged_like_short_ones(spark):
+    documents = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    model = language.fit(documents)
+    own = [r.text for r in documents.where("lang = 'en' and n_chars > 2000").orderBy("doc_id").limit(60).collect()]
+    many = " ".join(own)
+    whole = (many * (8_000_000 // len(many) + 1))[:8_000_000]
+    rows = [(whole[:n],) for n in (590, 610, 100_000, 1_000_000, 8_000_000)]
+    got = language.predict(spark.createDataFrame(rows, "text string"), model).collect()
+    margins = [row.margin for row in got]
+    assert all(row.lang_pred == "en" and not row.rejected for row in got)
+    # No step at any length, and no margin that fades.
+    assert abs(margins[0] - margins[1]) < 0.03
+    assert max(margins[2:]) - min(margins[2:]) < 0.02 and min(margins) > 0.08
+
+
+def test_copies_and_headers_do_not_fill_the_sample(spark):
+    rng = np.random.default_rng(5)
+    header = "boilerplate header " * 100
+    rows = [(header + letters(rng, "aeioustr", 300), "aa") for _ in range(40)]
+    rows += [(letters(rng, "aeioustr", 200), "aa")] * 500 + [(None, "aa"), (" ", "aa"), ("x", None)]
+    model = language.fit(spark.createDataFrame(rows, "text string, lang string"), sample_documents=30)
+    (dictionary,) = model.dictionaries
+    assert len(dictionary.splitlines()) == 30 and len(set(dictionary.splitlines())) >= 25
+    assert dictionary.count(b"boilerplate") < 30 * 1500 / 19 / 2
+    with pytest.raises(ValueError, match="more than 1"):
+        language.fit(spark.createDataFrame([("x", "aa"), ("y", "bb")], "text string, lang string"), most_languages=1)

@@ -1,7 +1,8 @@
 """Language identification by compression.
 
-Each language has a dictionary of raw text.  A text is encoded with each dictionary, and
-belongs to the language whose dictionary gives the smallest encoding.  A narrow margin rejects.
+Each language has a dictionary of raw text.  A text is encoded with each dictionary in blocks, each of
+which sees the dictionary alone, and belongs to the language whose dictionary gives the smallest encoding in all.
+So a text's own words never take the place of the dictionary, however long it is.  A narrow margin rejects.
 """
 
 from collections.abc import Iterator
@@ -19,15 +20,16 @@ from tripstats.llm.common import chunks
 
 UNKNOWN = "und"
 
-# The dictionaries are fitted on a bounded sample: so many documents of each language, and
-# an excerpt of so many characters of each.
+# The dictionaries are fitted on a bounded sample: so many distinct texts of each language, and
+# an excerpt of so many characters of each, from anywhere in it.
 SAMPLE_DOCUMENTS = 120
 EXCERPT_CHARACTERS = 1500
 # More languages than this are refused rather than gathered.
 MOST_LANGUAGES = 200
 
-# Longer texts are encoded in the fast way; short ones need every match.
-SHORT_BYTES = 600
+# A text is encoded in blocks of so many bytes, at one level.
+BLOCK_BYTES = 1024
+LEVEL, MIN_MATCH, WINDOW_LOG = 3, 4, 20
 # Rejected: the best encoding is not smaller than the second by this share.
 NARROW_MARGIN = 0.02
 
@@ -45,33 +47,34 @@ def fit(
     df: DataFrame,
     text: str = "text",
     lang: str = "lang",
-    doc_id: str = "doc_id",
     sample_documents: int = SAMPLE_DOCUMENTS,
     excerpt: int = EXCERPT_CHARACTERS,
     narrow_margin: float = NARROW_MARGIN,
+    most_languages: int = MOST_LANGUAGES,
 ) -> Model:
     """Dictionaries from the rows of ``df`` whose language is known.
 
-    The sample goes by a hash of the id, so it does not depend on partitions.  Rows without
-    text or language are left out; with none left there are no languages, and every text
-    is unknown.
+    The sample goes by a hash of the text, so it depends neither on partitions nor on ids, and
+    a text with many copies is in it once.  An excerpt begins at a place that the same hash
+    gives.  Rows without text or language are left out; with none left there are no
+    languages, and every text is unknown.
     """
-    rows = df.select(
-        F.col(lang).alias("lang"),
-        F.xxhash64(F.col(doc_id).cast("string")).alias("place"),
-        F.col(doc_id).cast("string").alias("id"),
-        F.substring(text, 1, excerpt).alias("text"),
-    ).where("lang is not null and trim(text) != ''")
+    rows = df.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    rows = rows.where("lang is not null and trim(text) != ''").withColumn("place", F.xxhash64("text"))
     # The rank is filtered within each task first: a language with most rows sends few.
-    first = Window.partitionBy("lang").orderBy("place", "id", "text")
-    sample = rows.withColumn("rank", F.row_number().over(first)).where(
-        F.col("rank") <= sample_documents
-    )
+    first = Window.partitionBy("lang").orderBy("place")
+    chosen = rows.select("lang", "place").distinct().withColumn("rank", F.row_number().over(first))
+    chosen = chosen.where(F.col("rank") <= sample_documents)
+    start = F.pmod("place", F.greatest(F.length("text") - excerpt + 1, F.lit(1))).cast("int") + 1
+    # So many rows a language, whatever the size of the corpus.
+    sample = rows.join(F.broadcast(chosen), ["lang", "place"]).select(
+        "lang", "place", F.substring("text", start, F.lit(excerpt)).alias("text")
+    ).dropDuplicates(["lang", "place"])
     found: dict[str, list[str]] = {}
-    for row in sample.orderBy("lang", "rank").toLocalIterator():
+    for row in sample.orderBy("lang", "place").toLocalIterator():
         found.setdefault(row["lang"], []).append(row["text"])
-        if len(found) > MOST_LANGUAGES:
-            raise ValueError(f"more than {MOST_LANGUAGES} languages")
+        if len(found) > most_languages:
+            raise ValueError(f"more than {most_languages} languages")
     languages = tuple(sorted(found))
     joined = (_plain(pa.array(found[x], pa.string())) for x in languages)
     dictionaries = tuple("\n".join(texts.to_pylist()).encode() for texts in joined)
@@ -84,7 +87,8 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     ``margin`` is the share by which the second smallest encoding is larger, ``score`` the
     weight of the best among all, if each byte of encoding halves it.  Null texts, texts
     without a letter and all texts of a model without languages are ``und`` with score 0,
-    rejected.  Equal sizes go to the first language by name.  Columns of these names are
+    rejected.  Equal sizes go to the first language by name.  Long texts are judged like short ones:
+    sizes add up block by block, and the margin stays that of the blocks.  Columns of these names are
     replaced; others pass through.
     """
     kept = df.drop(*(field.split()[0] for field in OUTPUT.split(", ")))
@@ -102,19 +106,15 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
 class _Encoders:
     def __init__(self, model: Model):
         self.model = model
-        self.short, self.fast = [], []
+        settings = zstandard.ZstdCompressionParameters.from_level(
+            LEVEL, window_log=WINDOW_LOG, min_match=MIN_MATCH,
+            write_content_size=False, write_checksum=False, write_dict_id=False,
+        )
+        self.encoders = []
         for content in model.dictionaries:
-            for encoders, settings in (
-                (self.short, zstandard.ZstdCompressionParameters.from_level(
-                    19, window_log=20, min_match=3, write_content_size=False, write_checksum=False,
-                    write_dict_id=False)),
-                (self.fast, zstandard.ZstdCompressionParameters.from_level(
-                    3, window_log=20, min_match=4, write_content_size=False, write_checksum=False,
-                    write_dict_id=False)),
-            ):
-                raw = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-                raw.precompute_compress(compression_params=settings)
-                encoders.append(zstandard.ZstdCompressor(dict_data=raw, compression_params=settings))
+            raw = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            raw.precompute_compress(compression_params=settings)
+            self.encoders.append(zstandard.ZstdCompressor(dict_data=raw, compression_params=settings))
 
     def extend(self, batch: pa.RecordBatch, text: str) -> pa.RecordBatch:
         sizes = np.array(
@@ -127,10 +127,8 @@ class _Encoders:
 
     def sizes(self, plain: str) -> list[int]:
         content = plain.encode()
-        if not content:
-            return [0] * len(self.model.languages)
-        encoders = self.short if len(content) <= SHORT_BYTES else self.fast
-        return [len(encoder.compress(content)) for encoder in encoders]
+        blocks = [content[at : at + BLOCK_BYTES] for at in range(0, len(content), BLOCK_BYTES)]
+        return [sum(len(encoder.compress(block)) for block in blocks) for encoder in self.encoders]
 
 
 def _plain(texts: pa.Array) -> pa.Array:
