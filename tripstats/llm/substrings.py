@@ -22,7 +22,10 @@ from tripstats.llm.common import Words, chunks, mixed, spread, stored
 LENGTH = 35
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_SEEDS = "doc_id string, text_hash long, at int, low int, high int, anchor long, context long"
+# ``place``: the anchor's word, and behind it in 16 bits each the least and greatest number of words
+# that a window of this anchor begins before it.
+_SEEDS = "text_hash long, place long, anchor long, context long"
+_AT, _LOW, _MASK = 32, 16, 0xFFFF
 _CONTEXTS = "anchor long, context long, left binary, right binary"
 _STEP = """anchor long, context long, covered boolean, known boolean, path long,
   n_left int, n_right int, low int, high int, left binary, right binary"""
@@ -37,67 +40,60 @@ def remove_repeats(
 
     A passage of ``length`` words is repeated if it starts anywhere else, in the same or in another
     row; all are removed, the first as well.  Words are separated by ASCII white space and compared
-    as they are.  Null texts have no words; rows that repeat are repeats of each other, also
-    without an id; an empty table gives no rows.  Other columns are not read.
+    as they are.  Null texts have no words; rows that repeat are repeats of each other, whatever their
+    ids; an empty table gives no rows.  Other columns are not read.
     """
-    rows = _rows(df, doc_id, text)
-    spans = repeats(df, length, doc_id, text)
-    by_row = spans.groupBy("doc_id", "text_hash").agg(
+    spans = repeats(df, length, text).groupBy("text_hash").agg(
         F.collect_list(F.struct("start", "stop")).alias("spans")
-    ).withColumnsRenamed({"doc_id": "span_id", "text_hash": "span_hash"})
-    same = F.col("doc_id").eqNullSafe(F.col("span_id")) & (F.col("text_hash") == F.col("span_hash"))
-    joined = rows.join(by_row, same, "left").select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        "text",
-        F.col("spans.start").alias("starts"),
-        F.col("spans.stop").alias("stops"),
+    )
+    rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    joined = rows.withColumn("text_hash", F.xxhash64("text")).join(spans, "text_hash", "left").select(
+        "doc_id", "text", F.col("spans.start").alias("starts"), F.col("spans.stop").alias("stops")
     )
     return joined.mapInArrow(_cut, _CUT)
 
 
-def repeats(
-    df: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """doc_id, text_hash, start, stop: repeated passages as half-open ranges of words.  They cover exactly
-    the repeated windows; passages of a row may overlap.  The id comes as text, with the
-    hash of the row's text, so that rows that share an id are told apart."""
-    rows = _rows(df, doc_id, text).where("text is not null")
-    seeds = stored(rows.mapInArrow(lambda b: _seeds(b, length), _SEEDS), "seeds")
-    # Ids and places only serve to find one holder of each context.
-    holder = F.struct("doc_id", "text_hash", "at", "low", "high")
+def repeats(df: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
+    """text_hash, start, stop: repeated passages as half-open ranges of words.  They cover exactly the repeated
+    windows; passages of a text may overlap.  What repeats in a row depends on its text
+    alone, so rows are named by the hash (xxhash64) of it, and equal texts share theirs."""
+    if not 1 <= length <= _MASK:
+        raise ValueError(f"length must be from 1 to {_MASK}, not {length}")
+    texts = df.select(F.col(text).alias("text")).where("text is not null")
+    texts = texts.withColumn("text_hash", F.xxhash64("text"))
+    seeds = stored(texts.mapInArrow(lambda b: _seeds(b, length), _SEEDS), "seeds")
+    # Most anchors occur once and go here.
+    repeated = seeds.groupBy("anchor").agg(
+        F.count(F.lit(1)).alias("n"), F.min("context").alias("least"), F.max("context").alias("most")
+    ).where("n > 1").select("anchor", (F.col("least") < F.col("most")).alias("differs"))
+    again = stored(seeds.join(repeated, "anchor"), "repeated-seeds")
+    reach = F.col("place").bitwiseAND(F.lit((1 << _AT) - 1))
     contexts = stored(
-        seeds.groupBy("anchor", "context").agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min(holder).alias("holder"),
-        ).select("anchor", "context", (F.col("n") > 1).alias("known"), "holder.*"),
+        again.groupBy("anchor", "context", "differs").agg(
+            (F.count(F.lit(1)) > 1).alias("known"),
+            F.min("text_hash").alias("holder"),
+            F.min(reach).alias("reach"),
+        ).select(
+            "anchor", "context", "differs", "known", "holder",
+            F.shiftright("reach", _LOW).cast("int").alias("low"),
+            F.col("reach").bitwiseAND(F.lit(_MASK)).cast("int").alias("high"),
+        ),
         "contexts",
     )
-    shared = contexts.groupBy("anchor").agg(
-        F.count(F.lit(1)).alias("n"), F.min("known").alias("all_known")
-    ).where("n > 1 and not all_known").select("anchor")
-    several = stored(contexts.join(shared, "anchor"), "several")
-    found = _extended(_with_words(several, rows, length), length)
+    differing = contexts.where("differs")
+    open_anchors = differing.where("not known").select("anchor").distinct()
+    differing = stored(differing.join(open_anchors, "anchor", "left_semi"), "differing")
+    found = _extended(_with_words(differing, texts, length), length)
     whole = contexts.where("known").select("anchor", "context", "low", "high")
-    decided = whole.unionByName(found.distinct())
-    places = seeds.select("anchor", "context", "doc_id", "text_hash", "at").join(
-        decided, ["anchor", "context"]
+    places = again.select("anchor", "context", "text_hash", "place").join(
+        whole.unionByName(found.distinct()), ["anchor", "context"]
     )
+    at = F.shiftright("place", _AT).cast("int")
     return places.select(
-        "doc_id",
-        "text_hash",
-        (F.col("at") - F.col("high")).alias("start"),
-        (F.col("at") - F.col("low") + length).alias("stop"),
+        "text_hash", (at - F.col("high")).alias("start"), (at - F.col("low") + length).alias("stop")
     ).distinct()
 
 
-def _rows(df: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return df.select(
-        F.col(doc_id).cast("string").alias("doc_id"),
-        F.col(text).alias("text"),
-        F.xxhash64(F.col(text)).alias("text_hash"),
-    )
-
-
 class _Hashes:
     """Hashes of any run of words of a batch, from running sums of powers."""
 
@@ -185,37 +181,33 @@ def _sliding(values: np.ndarray, width: int, better, rest: np.uint64) -> np.ndar
 
 
 def _seeds(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "text_hash", "at", "low", "high", "anchor", "context"]
+    names = ["text_hash", "place", "anchor", "context"]
     for batch in chunks(batches, "text"):
         anchors = _Anchors(_Hashes(Words(batch.column("text"))), length)
         owner = pa.array(anchors.owner)
+        place = (anchors.inside << _AT) + (anchors.low << _LOW) + anchors.high
         columns = [
-            batch.column("doc_id").take(owner),
             batch.column("text_hash").take(owner),
-            pa.array(anchors.inside.astype(np.int32)),
-            pa.array(anchors.low.astype(np.int32)),
-            pa.array(anchors.high.astype(np.int32)),
+            pa.array(place),
             pa.array(anchors.grams.view(np.int64)),
             pa.array(anchors.contexts.view(np.int64)),
         ]
         yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
-def _with_words(several: DataFrame, rows: DataFrame, length: int) -> DataFrame:
-    """The contexts with the hashes of their words, nearest first, from the text of one
-    holder each."""
-    wanted = several.groupBy("doc_id", "text_hash").agg(
+def _with_words(contexts: DataFrame, texts: DataFrame, length: int) -> DataFrame:
+    """The contexts with the hashes of their words, nearest first, from one text that holds
+    each."""
+    wanted = contexts.groupBy(F.col("holder").alias("text_hash")).agg(
         F.collect_set("context").alias("wanted")
-    ).withColumnsRenamed({"doc_id": "held_id", "text_hash": "held_hash"})
-    same = F.col("doc_id").eqNullSafe(F.col("held_id")) & (F.col("text_hash") == F.col("held_hash"))
-    # Rows that repeat hold the same contexts: the repeats go below.
-    texts = rows.join(wanted, same).select("text", "wanted")
-    read = texts.mapInArrow(lambda b: _read_contexts(b, length), _CONTEXTS)
-    read = read.groupBy("anchor", "context").agg(
-        F.min("left").alias("left"), F.min("right").alias("right")
     )
+    read = texts.join(wanted, "text_hash").select("text", "wanted")
+    # Texts that repeat hold the same contexts, and a text may hold one several times.
+    read = read.mapInArrow(lambda b: _read_contexts(b, length), _CONTEXTS).groupBy(
+        "anchor", "context"
+    ).agg(F.min("left").alias("left"), F.min("right").alias("right"))
     reach = length - seed_size(length)
-    return several.join(read, ["anchor", "context"]).select(
+    return contexts.join(read, ["anchor", "context"]).select(
         "anchor", "context", "known",
         F.lit(0).cast("long").alias("path"),
         F.col("high").alias("n_left"), (F.lit(reach) - F.col("low")).alias("n_right"),
