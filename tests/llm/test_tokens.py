@@ -187,3 +187,47 @@ def test_queries_equal_plain_tokenizing(spark):
     assert sorted(map(tuple, got)) == pieces
     tokens = sum(p[3] for p in pieces)
     assert packed.select("sequence_id").distinct().count() <= -(-tokens // 4096) + 1
+
+
+@pytest.mark.parametrize("most_ids, top", [(1 << 16, 65_535), (70_001, 70_000), (1 << 24, 200_000), (1 << 24, (1 << 24) - 1)])
+def test_large_ids_come_back(most_ids, top):
+    rng = np.random.default_rng(1)
+    lengths = np.array([700, 700, 33, 1])
+    blocks = rng.integers(0, top + 1, (4, 700), dtype=np.int64).astype(np.uint32)
+    blocks[:, ::3] = rng.integers(0, 5, (4, 234))
+    blocks[:, 5] = blocks[3, 0] = top
+    words = range_coder.encode(blocks, lengths, most_ids)
+    back = range_coder.decode(words, lengths, most_ids)
+    for block, n, own in zip(back, lengths, blocks):
+        assert block[:n].tolist() == own[:n].tolist()
+
+
+def test_ids_beyond_the_vocabulary_are_refused():
+    for ids in ([70_000, 5], [65_536]):
+        with pytest.raises(ValueError, match="do not fit"):
+            range_coder.encode(np.array([ids], dtype=np.uint32), np.array([len(ids)]))
+    with pytest.raises(ValueError, match="vocabulary"):
+        range_coder.encode(np.zeros((1, 1), dtype=np.uint32), np.array([1]), (1 << 24) + 1)
+
+
+def test_frames_keep_large_ids():
+    ids = np.array([70_000, 5, 199_999, 0] * 3000, dtype=np.uint32)
+    frame = token_files.frame_bytes(np.array([3, 4]), np.array([11_000, 1000]), ids, 200_000)
+    (found,) = token_files.read_frames(frame + b"\n")
+    assert found[0].tolist() == [3, 4] and found[1].tolist() == [11_000, 1000] and (found[2] == ids).all()
+
+
+def test_a_very_long_text_and_the_number_of_files(spark, tmp_path, monkeypatch):
+    long = " ".join(f"w{i % 977}" for i in range(300_000))
+    texts = [long, None, "short", long[:1000]] + ["x y z"] * 20
+    monkeypatch.setattr(token_files, "FILE_TEXT_BYTES", len(long) // 8)
+    path = str(tmp_path / "files")
+    token_files.write_files(documents(spark, texts), path, BYTES)
+    parts = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert 1 < len(parts) <= 9
+    rows = token_files.read_files(spark, path).orderBy("doc_id").collect()
+    start = 0
+    for row, ids in zip(rows, expected(texts, BYTES, 0)):
+        assert (row.start, row.n_tokens, row.ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4")))
+        start += len(ids)
+    assert len(rows) == len(texts)
