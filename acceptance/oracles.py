@@ -594,3 +594,13 @@ ORACLES["bikes_after_upsert"] = f"""
         FROM line_trips''')}
     SELECT start_year, start_month, count(DISTINCT bike_id) AS number_of_bikes FROM known GROUP BY ALL
     UNION ALL SELECT NULL, NULL, count(DISTINCT bike_id) FROM known"""
+
+ORACLES["bad_records"] = """
+    SELECT 'trip lines' AS what, count(*) AS read, count(*) FILTER (p_size = 7) AS bad
+    FROM lineitem JOIN part ON p_partkey = l_partkey
+    UNION ALL SELECT 'station documents', count(DISTINCT event_id // 100),
+        count(DISTINCT event_id // 100) FILTER ((event_id // 100) % 5 = 0) FROM events"""
+
+for _ours, _rows in (("trees_by_nodes", "scored_rows"), ("weather_trees_by_nodes", "weather_scored_rows")):
+    ORACLES[_ours] = f"""
+        SELECT model, count(*) AS rows, cast(0 AS BIGINT) AS different FROM ({ORACLES[_rows]}) GROUP BY model"""

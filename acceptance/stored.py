@@ -5,15 +5,21 @@ import functools
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from acceptance import standins
 from acceptance.queries import _clock_trips, _predictions_of, _weather_trips, query, rounded
 from tripstats import jobs, sinks, sources
-from tripstats.fixed_values import EVENT_NAMES, TRIP_KEY
-from tripstats.operators import nearest
-from tripstats.plans import bikes, demand, enrichment, forecasting
+from tripstats.fixed_values import (
+    EVENT_NAMES,
+    PREDICTION_KEY,
+    TRAINING_FRACTION,
+    TRIP_KEY,
+    TRIP_NAMES,
+)
+from tripstats.operators import nearest, split
+from tripstats.plans import bikes, demand, enrichment, forecasting, tree_nodes
 from tripstats.workspace import scratch_path
 
 
@@ -230,3 +236,58 @@ def bikes_after_upsert(spark, folder):
     monthly = sources.read_table(spark, out)
     by_month = bikes.count_bikes(monthly, *bikes.MONTH)
     return by_month.unionByName(bikes.count_bikes(monthly), allowMissingColumns=True)
+
+
+@query
+def bad_records(spark, folder):
+    """Lines and documents that cannot be read, as the readers count them on the way."""
+    lines = standins.table(spark, folder, "lineitem").select(
+        F.col("l_partkey").alias("bike_id"), F.col("l_suppkey").alias("n")
+    ).join(standins.table(spark, folder, "part").select(F.col("p_partkey").alias("bike_id"), "p_size"), "bike_id")
+    columns = {theirs: F.col("n") for theirs in TRIP_NAMES}
+    columns["tripduration"] = F.when(F.col("p_size") == 7, "x").otherwise("60")
+    columns["starttime"] = columns["stoptime"] = F.lit("2019-06-01 08:15:00")
+    trips, documents = scratch_path(spark, "trip-lines"), scratch_path(spark, "station-documents")
+    sinks.write_csv(lines.select(*(c.cast("string").alias(name) for name, c in columns.items())), trips)
+    cut = F.when(F.col("document") % 5 == 0, F.expr("left(value, length(value) - 10)")).otherwise(F.col("value"))
+    standins.station_documents(spark, folder).select(cut.alias("value")).write.text(documents)
+    counts = {what: Observation() for what in ("trip lines", "station documents")}
+    read = [
+        sources.read_trips(spark, trips, check_header=True, counted=counts["trip lines"]),
+        sources.read_station_snapshot(spark, documents, True, counted=counts["station documents"]),
+    ]
+    for rows in read:
+        rows.write.format("noop").mode("overwrite").save()
+    found = [(what, counted.get["read"], counted.get["bad"]) for what, counted in counts.items()]
+    return spark.createDataFrame(found, "what string, read long, bad long")
+
+
+def _by_nodes(spark, rows, with_weather):
+    """For each model the validation rows, and how many of them the node tables predict otherwise."""
+    found = forecasting.forecast_demand(rows, with_weather)
+    # The forecast's own split of the rows, with all features.
+    _, validation = split.split_by_key(rows, list(PREDICTION_KEY), TRAINING_FRACTION)
+    features = [*forecasting.FEATURES, *(demand.WEATHER_KEYS if with_weather else [])]
+    key = list(PREDICTION_KEY)
+    compared = []
+    for name, fitted in found.models.items():
+        model = fitted.stages[-1]
+        nodes = tree_nodes.node_table(spark, model)
+        ours = tree_nodes.predict_by_nodes(validation, nodes, features, key, *tree_nodes.size(model))
+        both = found.predictions[name].select(*key, F.col("prediction").alias("theirs")).join(ours, key, "full")
+        same = F.abs(F.col("theirs") - F.col("prediction")) < 1e-9
+        differ = F.count_if(~F.coalesce(same, F.lit(False))).alias("different")
+        compared.append(both.agg(F.count(F.lit(1)).alias("rows"), differ).withColumn("model", F.lit(name)))
+    return functools.reduce(DataFrame.unionByName, compared)
+
+
+@query
+def trees_by_nodes(spark, folder):
+    """Predictions of all three models, made once more by joins with tables of their nodes."""
+    return _by_nodes(spark, demand.training_rows(_clock_trips(spark, folder)), False)
+
+
+@query
+def weather_trees_by_nodes(spark, folder):
+    """As trees_by_nodes, of the models that know the weather."""
+    return _by_nodes(spark, demand.training_rows(_weather_trips(spark, folder), with_weather=True), True)

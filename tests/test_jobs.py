@@ -7,6 +7,7 @@ import pytest
 
 from test_sources import TRIP_HEADER
 from tripstats import jobs
+from tripstats.plans import bikes as bike_counts
 from tripstats.sources import read_table
 
 
@@ -124,3 +125,36 @@ def test_follow_stations(spark, rows, tmp_path):
         spark,
     )
     assert rows(read_table(spark, str(tmp_path / "t")), "id", "available_bikes") == [(1, 2)]
+
+
+def test_bikes_after_more_trips(spark, rows, tmp_path, caplog):
+    def line(bike, day, month=5):
+        return (f'300,"2019-0{month}-{day:02d} 08:05:00","2019-0{month}-{day:02d} 08:10:00",1,"North",40.5,-73.9,'
+                f'2,"South",40.6,-73.8,{bike},"Subscriber",1990,1')
+
+    def land(name, lines):
+        (tmp_path / name).write_text("\n".join([TRIP_HEADER, *lines]))
+        return str(tmp_path / name)
+
+    def job(*arguments):
+        jobs.main(list(arguments), spark)
+
+    trips, out = str(tmp_path / "trips"), str(tmp_path / "bikes")
+    job("trips", "--files", land("a.csv", [line(b, 1 + b % 28, 5 + b % 2) for b in range(60)]), "--out", trips)
+    job("bikes", "--trips", trips, "--out", out)
+    counted = read_table(spark, out)
+    assert rows(bike_counts.count_bikes(counted)) == [(60,)]
+    more = land("b.csv", [line(40_000 + b, 3) for b in range(5)] + [line(1, 2), line("?", 3)])
+    with caplog.at_level("WARNING"):
+        job("trips", "--files", more, "--out", trips, "--mode", "upsert")
+    assert "1 of 7 trip lines could not be read in full" in caplog.text
+    untouched = set((tmp_path / "bikes" / "start_year=2019" / "start_month=6").iterdir())
+    job("bikes", "--trips", trips, "--out", out, "--changed", more)
+    assert set((tmp_path / "bikes" / "start_year=2019" / "start_month=6").iterdir()) == untouched
+    counted = read_table(spark, out)
+    assert rows(bike_counts.count_bikes(counted)) == [(65,)]
+    assert rows(bike_counts.count_bikes(counted, "start_month")) == [(5, 36), (6, 30)]
+    swapped = land("c.csv", [line(1, 2)]).replace("c.csv", "d.csv")
+    (tmp_path / "d.csv").write_text("\n".join([TRIP_HEADER.replace('"bikeid","usertype"', '"usertype","bikeid"'), line(1, 2)]))
+    with pytest.raises(Exception, match="header does not conform"):
+        job("trips", "--files", swapped, "--out", str(tmp_path / "other"))

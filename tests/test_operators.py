@@ -72,6 +72,54 @@ def test_salt_spreads_a_hot_key(spark):
     assert max(sizes) < 5000
 
 
+def dealt(df, columns):
+    """Rows of the frame that stands in the plan's exchange by these columns, as a side of the join."""
+    return sorted(tuple(r) for r in df.groupBy(*columns).count().collect())
+
+
+def test_only_hot_keys_are_copied(spark, rows, monkeypatch):
+    from tripstats.operators import lookup as module
+
+    # A third of the rows have one key; the rest are spread over 500 keys.
+    key = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 500)
+    facts = spark.range(30_000).select(key.alias("k"), F.col("id").alias("v"))
+    facts = facts.unionByName(spark.createDataFrame([(None, 1)], "k long, v long"))
+    table = spark.range(-1, 600).select(F.col("id").alias("k"), F.lit("x").alias("w"))
+    hot = module.hot_keys(facts, ["k"], tasks=12).collect()
+    (minus_one,) = spark.range(1).select(F.xxhash64(F.lit(-1).cast("long"))).first()
+    assert [(r["_key"], r["_salts"]) for r in hot] == [(minus_one, 4)]
+
+    sides = []
+    original = type(facts).join
+
+    def spy(self, other, on=None, how=None):
+        if isinstance(on, list) and "_salt" in on:
+            sides.extend([self, other])
+        return original(self, other, on, how)
+
+    monkeypatch.setattr(type(facts), "join", spy)
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    try:
+        joined = lookup_join(facts, table, ["k"], ["v"], broadcast_bytes=-1)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    monkeypatch.undo()
+    assert rows(joined) == rows(facts.join(table, "k"))
+    left, right = sides
+    # One lookup row in 601 has copies, one for each salt of its key; the key's rows are dealt evenly.
+    assert right.count() == 601 + 3 and right.where("k = -1").count() == 4
+    assert left.where("k <> -1").select("_salt").distinct().collect() == [(0,)]
+    assert all(2300 < n < 2700 for _, n in dealt(left.where("k = -1"), ["_salt"]))
+
+
+def test_no_hot_keys(spark):
+    from tripstats.operators.lookup import hot_keys
+
+    assert hot_keys(spark.range(0), ["id"], 8).count() == 0
+    assert hot_keys(spark.range(1000), ["id"], 8).count() == 0
+    assert hot_keys(spark.createDataFrame([(None,)] * 9, "id long"), ["id"], 8).count() <= 1
+
+
 def test_small_lookup_leaves_facts_where_they_are(spark):
     facts = spark.range(100).withColumnRenamed("id", "k")
     joined = lookup_join(facts, spark.range(10).withColumnRenamed("id", "k"), ["k"])

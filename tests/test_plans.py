@@ -215,3 +215,82 @@ def test_trips_are_not_shuffled_to_be_enriched(spark, make):
     dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     assert all("Exchange hashpartitioning(weather_station_id" in line for line in dealt)
     assert enriched.count() == 1
+
+
+def test_reports_read_the_trips_once(spark, tmp_path, monkeypatch):
+    """All count and mean reports come from one scan with grouping sets."""
+    from tripstats.plans import report_cells
+
+    columns = dict.fromkeys(c for _, names in report_cells.SETS.values() for c in names)
+    trips = spark.range(50).select(
+        *((F.col("id") % (2 + i)).alias(c) for i, c in enumerate(columns)),
+        F.when(F.col("id") % 5 > 0, F.col("id")).cast("int").alias("trip_duration"),
+        (F.col("id") % 3).cast("int").alias("gender"),
+    )
+    trips.write.parquet(f"{tmp_path}/trips")
+    cells = report_cells.trip_cells(spark.read.parquet(f"{tmp_path}/trips"))
+    plan = executed_plan(cells)
+    assert plan.count("FileScan") == 1 and "Expand" in plan
+    assert cells.where("cell is null").isEmpty()
+
+
+def test_reports_from_cells_equal_those_from_trips(spark, rows):
+    from tripstats.plans import report_cells, usage, weather_profiles
+
+    n = F.col("id")
+    names = {"start": n % 4, "end": n % 3}
+    trips = spark.range(400).select(
+        *(F.concat(F.lit("S"), v.cast("string")).alias(f"{end}_station_name") for end, v in names.items()),
+        *(((v + n % 2) / 2).alias(f"{end}_station_{c}") for end, v in names.items() for c in ("latitude", "longitude")),
+        F.when(n % 11 > 0, n % 37).alias("bike_id"),
+        F.when(n % 3 > 0, "Subscriber").otherwise(F.when(n % 2 > 0, "Customer")).alias("user_type"),
+        (n % 6).cast("int").alias("age"),
+        (2018 + n % 2).cast("int").alias("start_year"),
+        (1 + n % 5).cast("int").alias("start_month"),
+        (n % 24).cast("int").alias("start_hour"),
+        *(F.when(n % (5 + i) > 0, n % (2 + i)).cast("double").alias(c) for i, c in enumerate(
+            ("temperature", "precipitation", "humidity", "windspeed"))),
+        F.when(n % 7 > 0, n).cast("int").alias("trip_duration"),
+        (n % 3).cast("int").alias("gender"),
+    )
+    for some in (trips, trips.where("trip_duration is null"), trips.where("false")):
+        made = report_cells.reports(report_cells.trip_cells(some))
+        plain = {
+            "total_trips": usage.total_trips(some),
+            "distinct_bikes": usage.distinct_bikes(some),
+            "start_trip_top_20": usage.top_start_stations(some, by_name=True),
+            "end_trip_top_20": usage.top_end_stations(some, by_name=True),
+            "average_trip_user_type": usage.user_type_summary(some),
+            "start_to_end_top_20": usage.top_routes(some, by_name=True),
+            "trips_age": usage.trips_by_age(some),
+            "trip_duration_age": usage.duration_by_age(some),
+            "grouped_count": usage.monthly_trips(some),
+            "grouped_count_season": usage.season_hour_trips(some),
+            "avg_temp": weather_profiles.by_temperature(some),
+            "phmd": weather_profiles.by_precipitation_and_humidity(some),
+            "windspeed": weather_profiles.by_wind_speed(some),
+        }
+        assert set(made) == set(plain)
+        for name, report in plain.items():
+            assert made[name].columns == report.columns, name
+            assert rows(made[name]) == rows(report), name
+
+
+def test_bikes_of_changed_months_only(spark, rows):
+    from tripstats.plans import bikes, usage
+
+    n = F.col("id")
+    trips = spark.range(5000).select(
+        F.when(n % 13 > 0, (n * 7919) % 200_003 - 70_000).alias("bike_id"),
+        (2018 + n % 2).cast("int").alias("start_year"),
+        (1 + n % 12).cast("int").alias("start_month"),
+    )
+    monthly = bikes.monthly_bikes(trips)
+    assert monthly.select("bucket").distinct().count() > 3
+    assert rows(bikes.count_bikes(monthly)) == rows(usage.distinct_bikes(trips))
+    by_month = trips.groupBy("start_year", "start_month").agg(F.countDistinct("bike_id"))
+    assert rows(bikes.count_bikes(monthly, *bikes.MONTH)) == rows(by_month)
+    chosen = bikes.of_months(trips, [(2018, 1), (2019, 2)])
+    assert rows(bikes.monthly_bikes(chosen)) == rows(bikes.of_months(monthly, [(2018, 1), (2019, 2)]))
+    assert bikes.of_months(trips, []).isEmpty()
+    assert rows(bikes.count_bikes(monthly.where("false"))) == [(0,)]

@@ -1,6 +1,9 @@
 import datetime as dt
 import json
 
+import pytest
+from pyspark.sql import Observation
+
 from tripstats import sources
 
 TRIP_HEADER = (
@@ -97,3 +100,40 @@ def test_read_table_takes_other_formats(spark, tmp_path):
     plain = str(tmp_path / "p")
     spark.range(4).write.parquet(plain)
     assert sources.read_table(spark, plain).count() == 4
+
+
+def test_a_swapped_header_stops_the_job(spark, tmp_path):
+    header = TRIP_HEADER.replace('"starttime","stoptime"', '"stoptime","starttime"')
+    (tmp_path / "trips.csv").write_text("\n".join([header, trip_line()]))
+    assert sources.read_trips(spark, str(tmp_path)).count() == 1
+    with pytest.raises(Exception, match="header does not conform"):
+        sources.read_trips(spark, str(tmp_path), check_header=True).collect()
+    (tmp_path / "trips.csv").write_text("\n".join([TRIP_HEADER.upper(), trip_line()]))
+    assert len(sources.read_trips(spark, str(tmp_path), check_header=True).collect()) == 1
+
+
+def test_unreadable_cells_are_counted(spark, tmp_path):
+    short = trip_line().rsplit(",", 3)[0]
+    lines = [TRIP_HEADER, trip_line(), trip_line(duration="x"), trip_line(birth=""), trip_line(start="?"), short]
+    (tmp_path / "trips.csv").write_text("\n".join(lines))
+    counted = Observation()
+    trips = sources.read_trips(spark, str(tmp_path), check_header=True, counted=counted)
+    plain = sources.read_trips(spark, str(tmp_path))
+    assert trips.columns == plain.columns and trips.collect() == plain.collect()
+    assert counted.get == {"read": 5, "bad": 3}
+
+
+def test_malformed_documents_are_counted(spark, tmp_path):
+    station = '{"id": 1, "stationName": "A", "latitude": 40.5, "longitude": -73.9}'
+    good = '{"stationBeanList": [%s, %s]}' % (station, station)
+    for name, text in (("a", good), ("b", good[:30]), ("c", "[]"), ("d", '{"stationBeanList": []}')):
+        (tmp_path / f"{name}.json").write_text(text)
+    counted = Observation()
+    assert sources.read_station_snapshot(spark, str(tmp_path), counted=counted).count() == 2
+    assert counted.get["bad"] == 1 and counted.get["read"] >= 3
+    hours = tmp_path / "hours"
+    hours.mkdir()
+    (hours / "h.json").write_text('{"id": "w", "data": [{"time": "2019-06-01 08:00"}]}\n{"id": "v", "data": [{\n{"id": 7}')
+    counted = Observation()
+    assert sources.read_weather_hours(spark, str(hours), counted).count() == 1
+    assert counted.get == {"read": 3, "bad": 1}

@@ -49,13 +49,19 @@ _log = logging.getLogger(__name__)
 TRIP_PARTITIONS = ["start_year", "start_month"]
 
 def weather_sites(spark: SparkSession, nearby: str, records: str, out: str) -> None:
-    sites = sources.read_weather_sites(spark, records, sources.read_nearby_sites(spark, nearby))
+    listed, counted = Observation(), Observation()
+    near = sources.read_nearby_sites(spark, nearby, listed)
+    sites = sources.read_weather_sites(spark, records, near, counted)
     sinks.write_keyed(sites, out, WEATHER_SITE_KEY, order_by=["name"])
+    _tell_bad("site lists", listed)
+    _tell_bad("site records", counted)
 
 
 def weather_hours(spark: SparkSession, documents: str, out: str) -> None:
-    hours = sources.read_weather_hours(spark, documents)
+    counted = Observation()
+    hours = sources.read_weather_hours(spark, documents, counted)
     sinks.write_keyed(hours, out, WEATHER_HOUR_KEY, order_by=["time_local"])
+    _tell_bad("weather documents", counted)
 
 
 def stations(
@@ -63,16 +69,31 @@ def stations(
 ) -> None:
     """The latest record of each station, with the nearest site; of sites equally near the
     least id."""
-    records = sources.read_station_snapshot(spark, snapshot, lines, time_col="_time")
+    counted = Observation()
+    records = sources.read_station_snapshot(spark, snapshot, lines, time_col="_time", counted=counted)
     known = records.dropna(subset=list(STATION_KEY))
     latest = latest_per_key(known, list(STATION_KEY), ["_time"]).drop("_time")
     located = enrichment.stations_with_site(latest, sources.read_table(spark, sites), ties="first")
     sinks.write_keyed(located, out, STATION_KEY, unique=True)
+    _tell_bad("station documents", counted)
 
 
-def trips(spark: SparkSession, files: str, out: str, mode: str = "errorifexists") -> None:
-    cleaned = enrichment.clean_trips(sources.read_trips(spark, files))
+def trips(
+    spark: SparkSession, files: str, out: str, mode: str = "errorifexists", any_header: bool = False
+) -> None:
+    """Store cleaned trips.  A file whose header names other columns, or the columns in another
+    order, stops the job, unless ``any_header``."""
+    counted = Observation()
+    raw = sources.read_trips(spark, files, check_header=not any_header, counted=counted)
+    cleaned = enrichment.clean_trips(raw)
     sinks.write_keyed(cleaned, out, TRIP_KEY, ["stop_time"], mode, TRIP_PARTITIONS)
+    _tell_bad("trip lines", counted)
+
+
+def _tell_bad(what: str, counted: Observation) -> None:
+    found = counted.get
+    if found["bad"]:
+        _log.warning("%s of %s %s could not be read in full", found["bad"], found["read"], what)
 
 
 def enrich(
@@ -201,6 +222,11 @@ def follow_stations(
     )
     run.awaitTermination(seconds)
     run.stop()
+    # The last hundred batches; each has told its own counts in its progress.
+    told = [p.observedMetrics.get(station_status.DOCUMENTS) for p in run.recentProgress]
+    bad, read = (sum(row[name] for row in told if row is not None) for name in ("bad", "read"))
+    if bad:
+        _log.warning("%s of the last %s station documents could not be read", bad, read)
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -220,6 +246,7 @@ def _parser() -> argparse.ArgumentParser:
     options.add_argument("--lines", action="store_true")
     options = add("trips", trips, "files", "out")
     options.add_argument("--mode", choices=["errorifexists", "upsert"], default="errorifexists")
+    options.add_argument("--any-header", action="store_true")
     options = add("enrich", enrich, "trips", "stations", "weather", "out")
     options.add_argument("--time", choices=["time", "time_local"], default="time")
     add("reports", reports, "trips", "out")

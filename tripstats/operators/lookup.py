@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripstats.workspace import checkpointed
+
 BROADCAST_BYTES = 128 * 1024 * 1024
+# Where the sides are searched many times over, keys get so many salts without being counted.
 SALTS = 16
 
 # A side that Spark's own estimate, times this, puts under the limit needs no measuring.
@@ -52,19 +55,57 @@ def fits(df: DataFrame, most_bytes: int) -> bool:
     return measure(df).bytes <= most_bytes
 
 
+def hot_keys(facts: DataFrame, on: list[str], tasks: int) -> DataFrame:
+    """(_key, _salts): keys with more rows than a task should get if ``facts`` were dealt evenly
+    over ``tasks`` tasks, and over how many tasks to spread each.  A key is named by its hash.
+
+    Rows are counted by a sketch of frequent items: of bounded size in each task, merged like
+    any partial aggregate, and no key with such a share escapes it.  Only the key columns are
+    read.  At most ``tasks`` keys can be hot, so the result is small whatever the data.
+    """
+    key = F.xxhash64(*on)
+    # Every key above a share of 1 / tasks is among the first so many; the sketch tracks more, for exactness.
+    tracked = min(1_000_000, 64 * tasks)
+    top = F.call_function("approx_top_k", key, F.lit(tasks), F.lit(tracked)).alias("top")
+    found = facts.agg(top, F.count(F.lit(1)).alias("rows"))
+    keys = found.select("rows", F.explode("top").alias("top")).select(
+        F.col("top.item").alias("_key"),
+        F.ceil(F.col("top.count") * tasks / F.col("rows")).cast("int").alias("_salts"),
+    )
+    return keys.where(F.col("_key").isNotNull() & (F.col("_salts") > 1))
+
+
 def salted_join(
-    facts: DataFrame, lookup: DataFrame, on: list[str], salt_by: list[str], salts: int = SALTS
+    facts: DataFrame,
+    lookup: DataFrame,
+    on: list[str],
+    salt_by: list[str],
+    salts: int | None = None,
 ) -> DataFrame:
-    """Inner shuffle join that spreads every key over ``salts`` tasks.
+    """Inner shuffle join that spreads the hot keys of ``facts`` over several tasks.
 
+    A key with the rows of n tasks gets n salts, and its lookup row n copies; other rows stay
+    single.  With ``salts`` every key gets so many, and ``facts`` is not counted.
     The salt is a hash of ``salt_by``, not a random number, so a task that runs
     again after a lost executor sends each row to the same place.
     """
-    numbers = F.sequence(F.lit(0), F.lit(salts - 1))
-    salted_facts = facts.withColumn(
-        "_salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int")
-    )
-    salted_lookup = lookup.withColumn("_salt", F.explode(numbers))
+    key = F.xxhash64(*on)
+    if salts is not None:
+        spread = F.lit(salts)
+        salted_facts, salted_lookup = facts, lookup
+    else:
+        tasks = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        # A row a hot key, fewer than there are tasks; counted once, not by either side.
+        hot = F.broadcast(checkpointed(hot_keys(facts, on, tasks)))
+        spread = F.coalesce("_salts", F.lit(1))
+        salted_facts = facts.withColumn("_key", key).join(hot, "_key", "left").drop("_key")
+        salted_lookup = lookup.withColumn("_key", key).join(hot, "_key", "left").drop("_key")
+    salted_facts = salted_facts.withColumn(
+        "_salt", F.pmod(F.xxhash64(*salt_by), spread).cast("int")
+    ).drop("_salts")
+    salted_lookup = salted_lookup.withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), spread - 1))
+    ).drop("_salts")
     return salted_facts.join(salted_lookup, [*on, "_salt"]).drop("_salt")
 
 
@@ -74,7 +115,7 @@ def lookup_join(
     on: list[str],
     salt_by: list[str] | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Inner equi-join of ``facts`` with a (usually small) ``lookup`` table.
 

@@ -8,7 +8,7 @@ from tripstats.functions.calendar import weekday_flag, weekend_flag
 from tripstats.functions.parsing import parse_time
 from tripstats.operators.columns import drop_incomplete
 from tripstats.operators.keyed import latest_per_key
-from tripstats.operators.lookup import BROADCAST_BYTES, SALTS, lookup_join
+from tripstats.operators.lookup import BROADCAST_BYTES, lookup_join
 from tripstats.operators.nearest import nearest_site
 
 # The rows of one station or weather hour are told apart by the trip key.
@@ -47,7 +47,7 @@ def attach_site(
     trips: DataFrame,
     stations: DataFrame,
     broadcast_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Trips with the weather site of their start station; others are left out."""
     sites = stations.select(F.col("id").alias("start_station_id"), "weather_station_id")
@@ -60,7 +60,7 @@ def attach_weather(
     time_col: str = "time",
     measures: tuple[str, ...] = WEATHER_MEASURES,
     broadcast_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Trips with the weather of their site and start hour; others are left out.
 

@@ -1,10 +1,11 @@
 """Station snapshot documents, landed as files or arriving on a stream."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripstats.fixed_values import STATION_NAMES, STATION_SNAPSHOT_SCHEMA
 from tripstats.functions.parsing import parse_snapshot_time
+from tripstats.sources.checked import BAD, observed, schema_with_bad
 
 
 def read_station_snapshot(
@@ -12,14 +13,19 @@ def read_station_snapshot(
     path: str | list[str],
     lines: bool = False,
     time_col: str | None = None,
+    counted: Observation | None = None,
 ) -> DataFrame:
     """One row per station record of landed snapshot documents.
 
     A file holds one document, or with ``lines`` one document per line, which lets
     Spark split large files.  ``time_col`` names a further column for the time of the
-    document; null where it has none.
+    document; null where it has none.  ``counted`` gets the number of documents ``read`` and of
+    those that are malformed (``bad``).
     """
-    documents = spark.read.schema(STATION_SNAPSHOT_SCHEMA).json(path, multiLine=not lines)
+    reader = spark.read.schema(schema_with_bad(STATION_SNAPSHOT_SCHEMA, counted))
+    documents = observed(
+        reader.json(path, multiLine=not lines, columnNameOfCorruptRecord=BAD), counted
+    )
     time = parse_snapshot_time(F.col("executionTime")).alias(time_col or "_time")
     records = documents.select(F.explode("stationBeanList").alias("station"), time)
     columns = ["station.*", time_col] if time_col else ["station.*"]

@@ -25,14 +25,22 @@ STATUS_COLUMNS = (
 )
 
 
+# Name of the counts that a stream's progress reports for each batch.
+DOCUMENTS = "station_documents"
+
+
 def station_status(messages: DataFrame) -> DataFrame:
     """One row per station of each document, batch or stream.
 
     ``messages`` has ``value``, ``arrived_at`` and ``sequence`` (see
-    ``read_snapshot_stream``).  Malformed documents give no rows.
+    ``read_snapshot_stream``).  Malformed documents give no rows; the progress of a stream has the number of
+    documents ``read`` and of ``bad`` ones, as metrics under the name DOCUMENTS.
     """
     document = parse_station_document(F.col("value")).alias("document")
     parsed = messages.select(document, "arrived_at", "sequence")
+    if messages.isStreaming:
+        bad = F.count_if(F.col("document.stationBeanList").isNull()).alias("bad")
+        parsed = parsed.observe(DOCUMENTS, F.count(F.lit(1)).alias("read"), bad)
     records = parsed.select(
         F.posexplode("document.stationBeanList").alias("position", "station"),
         parse_snapshot_time(F.col("document.executionTime")).alias("snapshot_time"),
