@@ -273,3 +273,57 @@ def test_damage_and_missing_ids_stop_the_job(spark, tmp_path):
 
 def test_empty_archive(spark, tmp_path):
     assert archive.read_records(spark, archived(spark, tmp_path, [])).count() == 0
+
+
+def exported(spark, tmp_path, rows=PAGES):
+    path = archived(spark, tmp_path, rows)
+    archive.export_warc(spark, path, f"{path}/warc")
+    return f"{path}/warc"
+
+
+def test_warc_files_are_read_back(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(archive, "FILE_BYTES", 100_000)
+    marks = "a WARC/1.1\r\nContent-Length: 9\r\n\r\n\r\nWARC/1.1\r\n" * 30
+    pages = PAGES + [(20, "u", marks), (21, "é|ü", marks), (-3, None, "\n"), (9, "other", "x" * 2000)]
+    path = exported(spark, tmp_path, pages)
+    files = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert len(files) > 1 and all(f.endswith(".gz") for f in files)
+    read = archive.read_warc(spark, path)
+    assert read.where("record_type = 'revisit' and payload is not null").isEmpty()
+    full = archive.full_payloads(read).collect()
+    assert sorted((r.page_id, bytes(r.payload).decode()) for r in full) == sorted((i, h or "") for i, _, h in pages)
+    for row in full:
+        assert row.payload_bytes == len(row.payload)
+        assert row.payload_digest == hashlib.sha1(bytes(row.payload)).hexdigest()
+    types = {(r.page_id, r.record_type, r.refers_to) for r in full}
+    assert {(1, "revisit", 9), (2, "revisit", 9), (20, "revisit", 21), (21, "response", None)} <= types
+    assert archive.full_payloads(archive.read_warc(spark, path, with_payload=False)).count() == len(pages)
+
+
+def test_damaged_warc_files_stop_the_job(spark, tmp_path):
+    records = archive.read_records(spark, archived(spark, tmp_path)).where("page_id in (3, 7)")
+    archive.write_warc(records.coalesce(1), str(tmp_path / "warc"))
+    (part,) = [f for f in os.listdir(tmp_path / "warc") if f.startswith("part-")]
+    good = (tmp_path / "warc" / part).read_bytes()
+    assert archive.read_warc(spark, str(tmp_path / "warc")).count() == 2
+    damaged = {
+        "digest": good.replace(b"\r\n\r\nsmall", b"\r\n\r\nsmell"),
+        "length says": good.replace(b"Content-Length: 5", b"Content-Length: 4"),
+        "length says|cut short": good[:-20],
+        "no length": good.replace(b"Content-Length: 5", b"Content-Size: 5"),
+        "does not begin": good + b"x",
+        "cut short": good + b"WARC/1.1\r\nWARC-Type: resp",
+    }
+    for n, (message, content) in enumerate(damaged.items()):
+        folder = tmp_path / f"damaged{n}"
+        folder.mkdir()
+        (folder / "a.warc").write_bytes(content)
+        with pytest.raises(PySparkException, match=message.strip()):
+            archive.read_warc(spark, str(folder)).collect()
+    whole = archive.read_warc(spark, exported(spark, tmp_path / "c"))
+    with pytest.raises(PySparkException, match="does not fit its response"):
+        archive.full_payloads(whole.where("page_id <> 9")).collect()
+
+
+def test_empty_warc(spark, tmp_path):
+    assert archive.full_payloads(archive.read_warc(spark, exported(spark, tmp_path, []))).count() == 0

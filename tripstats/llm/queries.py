@@ -21,7 +21,7 @@ from tripstats.llm import (
     token_files,
     toxicity,
 )
-from tripstats.llm.common import fold, table
+from tripstats.llm.common import fold, stored, table
 from tripstats.workspace import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,17 +110,14 @@ def op7_near_duplicates(spark, folder):
 
 @query
 def op8_archive(spark, folder):
-    """Every page written to an archive and read back."""
+    """Every page written to an archive, from there to WARC files, and read back from these."""
     path = scratch_path(spark, "archive")
     archive.write_archive(table(spark, folder, "pages"), path)
-    records = archive.read_records(spark, path)
-    refers_to = archive.page_of(archive.header_field("WARC-Refers-To"))
-    return records.select(
-        "page_id",
-        F.length("payload").cast("long").alias("payload_bytes"),
-        F.sha1("payload").alias("payload_digest"),
-        archive.header_field("WARC-Type").alias("record_type"),
-        refers_to.alias("refers_to"),
+    archive.export_warc(spark, path, f"{path}/warc")
+    # Read once, and stored without the payloads.
+    records = stored(archive.read_warc(spark, f"{path}/warc", with_payload=False), "warc-records")
+    return archive.full_payloads(records).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
 
 
