@@ -87,6 +87,8 @@ def hard_negatives(
             "row_block", F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1)))
         )
         key = ["anchor_block", "row_block"]
+        # A pair of blocks is much work for few bytes: each gets a task, whatever its size.
+        left, right = (side.repartition(anchor_blocks * row_blocks, *key) for side in (left, right))
         return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(
             lambda a, b: find(a, b, shape, settings), schema
         )
