@@ -62,10 +62,11 @@ def repeats(df: DataFrame, length: int = LENGTH, text: str = "text") -> DataFram
     texts = df.select(F.col(text).alias("text")).where("text is not null")
     texts = texts.withColumn("text_hash", F.xxhash64("text"))
     seeds = stored(texts.mapInArrow(lambda b: _seeds(b, length), _SEEDS), "seeds")
-    # Most anchors occur once and go here.
+    # Most anchors occur once and go here.  Stored, so that the join can split an anchor that very many share.
     repeated = seeds.groupBy("anchor").agg(
         F.count(F.lit(1)).alias("n"), F.min("context").alias("least"), F.max("context").alias("most")
     ).where("n > 1").select("anchor", (F.col("least") < F.col("most")).alias("differs"))
+    repeated = stored(repeated, "repeated-anchors")
     again = stored(seeds.join(repeated, "anchor"), "repeated-seeds")
     reach = F.col("place").bitwiseAND(F.lit((1 << _AT) - 1))
     contexts = stored(
