@@ -106,11 +106,13 @@ def test_means_are_those_of_the_features():
     assert features.references.tolist() == [[1, 0, 0], [0, 0, 0], [2, 0, 0]]
 
 
-def test_grade_chances_add_up_and_thresholds_rise():
+def test_grade_chances_add_up_and_thresholds_rise(spark):
     rng = np.random.default_rng(1)
     texts = [("w%d " % rng.integers(50)) * 5 + "vile " * int(n) for n in rng.integers(0, 4, 400)]
     toxic = np.array(["vile" in text for text in texts]).astype(int)
-    model = toxicity._learn(texts, toxic, 0.4)
+    rows = [(i, text, int(t)) for i, (text, t) in enumerate(zip(texts, toxic))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(df, df.select("doc_id", "toxic"))
     assert (np.diff(model.thresholds) > 0).all()
     chances = toxicity._chances(np.linspace(-40, 40, 9), model.thresholds)
     assert np.allclose(chances.sum(axis=1), 1) and (chances >= 0).all()
@@ -118,6 +120,79 @@ def test_grade_chances_add_up_and_thresholds_rise():
     assert (np.diff(severity) >= 0).all()
 
 
+def plain_features(text):
+    """Counts of the features of a text, word by word."""
+    import regex
+
+    counts = {}
+    words = regex.sub(r"[^\p{L}\p{N}*@$]+", " ", text.lower()).split()
+    for word in words:
+        parts = [word] + [word[:n] + "\N{HORIZONTAL ELLIPSIS}" for n in toxicity.PREFIXES if len(word) > n]
+        for part in parts:
+            feature = int(word_features([part], range(0), toxicity.BUCKETS)[0][0])
+            counts[feature] = counts.get(feature, 0) + 1
+    return counts, len(words)
+
+
+def test_toxicity_by_hand(spark):
+    rng = np.random.default_rng(7)
+    plain_words = ["".join(rng.choice(list("aeioustrlm"), rng.integers(3, 9))) for _ in range(300)]
+    rows = []
+    for i in range(500):
+        words = list(rng.choice(plain_words, rng.integers(5, 700)))
+        if i % 5 == 0:
+            for at in rng.integers(0, len(words), 1 + len(words) // 40):
+                words[at] = rng.choice(["vile", "scumbags", "Nasty!"])
+        rows.append((i, " ".join(words), int(i % 5 == 0)))
+    # Copies count once, and rows without label, id or text do not count.
+    rows += [(1000 + i, rows[1][1], 0) for i in range(50)] + [(None, "vile", 1), (2000, None, 1), (2001, "vile", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(df, df.select("doc_id", "toxic"))
+    texts = {text: toxic for i, text, toxic in rows if None not in (i, text, toxic)}
+    n, n_toxic = len(texts), sum(texts.values())
+    held = {}
+    for text, toxic in texts.items():
+        for feature in plain_features(text)[0]:
+            of = held.setdefault(feature, [0, 0])
+            of[0] += toxic
+            of[1] += 1
+    telling = {
+        f for f, (bad, total) in held.items()
+        if bad >= 3 and bad - n_toxic * total / n >= 5 * (n_toxic * total / n * (1 - total / n)) ** 0.5
+    }
+    assert set(model.features.tolist()) <= telling and len(model.features) >= 3
+    weight = dict(zip(model.features.tolist(), model.weights))
+    got = {r.text: r for r in toxicity.grade(df.where("text is not null"), model).collect()}
+    for text in list(texts)[:60] + [" ".join(t for t in texts if not texts[t])]:
+        counts, words = plain_features(text)
+        scale = min(1.0, 200 / max(words, 1))
+        at = sum(weight[f] * np.log1p(c * scale) for f, c in counts.items() if f in weight)
+        below = 1 / (1 + np.exp(-np.clip(model.thresholds - at, -50, 50)))
+        chances = np.diff([0, *below, 1])
+        severity = float(chances @ np.arange(len(chances)))
+        if text in got:
+            assert got[text].severity == pytest.approx(severity)
+            assert got[text].grade == chances.argmax() and got[text].toxic == (severity >= model.limit)
+        else:
+            assert severity < model.limit  # a hundred thousand clean words
+
+
+@needs_tables
+def test_long_clean_texts_are_kept(spark):
+    folder = "/root/testdata/sf0.1"
+    if not os.path.isdir(folder):
+        pytest.skip("no larger tables")
+    documents = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", F.col("toxic").alias("truth"))
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    model = toxicity.fit(documents.where(~held_out), labels.withColumnRenamed("truth", "toxic"))
+    graded = toxicity.grade(documents.join(labels, "doc_id"), model)
+    long = graded.where("truth = 0 and octet_length(text) > 8000").agg(F.avg((~F.col("toxic")).cast("int"))).first()[0]
+    caught = graded.where(held_out & (F.col("truth") == 1)).agg(F.avg(F.col("toxic").cast("int"))).first()[0]
+    clean = graded.where(held_out & (F.col("truth") == 0)).agg(F.avg((~F.col("toxic")).cast("int"))).first()[0]
+    assert long >= 0.98 and caught >= 0.91 and clean >= 0.98
+
+
 def test_word_features_know_ngrams():
     ids, starts = word_features(["abc", "xabc", ""], range(3, 4), 1 << 40)
     first, second, empty = (set(ids[a:b]) for a, b in zip(starts, starts[1:]))
@@ -179,6 +254,7 @@ def test_copies_and_headers_do_not_fill_the_sample(spark):
     model = language.fit(spark.createDataFrame(rows, "text string, lang string"), sample_documents=30)
     (dictionary,) = model.dictionaries
     assert len(dictionary.splitlines()) == 30 and len(set(dictionary.splitlines())) >= 25
-    assert dictionary.count(b"boilerplate") < 30 * 1500 / 19 / 2
+    # An excerpt from the top would be header alone, 79 times.
+    assert dictionary.count(b"boilerplate") < 30 * 79 * 0.75
     with pytest.raises(ValueError, match="more than 1"):
         language.fit(spark.createDataFrame([("x", "aa"), ("y", "bb")], "text string, lang string"), most_languages=1)

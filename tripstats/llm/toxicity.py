@@ -1,11 +1,12 @@
 """Toxicity: cumulative-link ordinal regression on sparse text features.
 
-A text's features are its hashed words and word beginnings.  One weight a feature is shared by
+A text's features are its hashed words and word beginnings, counted per so many words, so that long
+texts are judged like short ones.  One weight a feature is shared by
 all thresholds: P(grade <= k) = logistic(threshold_k - weights . features).  The result is
 the expected grade.
 
 The labels only say toxic or not, so grades come from both: 0 for clean documents, and for
-toxic ones 1 to 3 by how many features they hold that tell toxic documents from clean ones.
+toxic ones 1 to 3 by how much they hold of the features that tell toxic documents from clean ones.
 """
 
 from collections.abc import Iterator
@@ -14,19 +15,22 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tripstats.llm.common import Words, chunks, spread
+from tripstats.llm.common import Words, chunks, spread, stored
 from tripstats.llm.ngrams import word_features
-from tripstats.llm.quality_model import labelled_sample
+from tripstats.operators.lookup import fits
 
 BUCKETS = 1 << 20
 PREFIXES = range(4, 8)
 GRADES = 3
-# A feature carries a weight if it is in so many toxic documents of the sample, in such a share of
-# them, and by so many standard deviations more often than chance would have it.
+# A feature carries a weight if it is in so many toxic documents, in such a share of
+# them, and by so many standard deviations more often than chance would have it.  All labelled
+# documents are counted.
 LEAST_DOCUMENTS = 3
-LEAST_SHARE = 0.02
+LEAST_SHARE = 0.005
 LEAST_DEVIATIONS = 5.0
 STEPS = 400
 RATE = 0.05
@@ -34,12 +38,14 @@ PENALTY = 1e-6
 # Rejected from this expected grade on.
 LIMIT = 0.4
 
-# The model is fitted on a bounded sample of labelled documents: at most so many, of at most
-# so many bytes each.
-SAMPLE_DOCUMENTS = 4_000
-SAMPLE_BYTES = 8_000
-# Documents of the sample whose words are held at a time.
-FIT_STEP = 200
+# Counts are those in so many words; shorter texts count as they are.
+REFERENCE_WORDS = 200
+
+# The weights are fitted on a bounded sample of labelled documents, of which only the counts of telling
+# features are gathered, whatever their length.
+SAMPLE_DOCUMENTS = 12_000
+# Labels up to this size are sent to every task; beyond, they are joined by a shuffle.
+LABEL_BYTES = 64 << 20
 
 OUTPUT = "severity double, grade int, toxic boolean"
 
@@ -61,18 +67,82 @@ def fit(
     doc_id: str = "doc_id",
     label: str = "toxic",
     sample_documents: int = SAMPLE_DOCUMENTS,
-    sample_bytes: int = SAMPLE_BYTES,
     limit: float = LIMIT,
 ) -> Model:
     """Learn from the documents that have a label.
 
-    The sample goes by a hash of the id.  Rows without text or label are left out.  Without
+    Features are counted over all of them, by partial sums; a text with many copies counts once.  The
+    sample goes by a hash of the text.  Rows without text, id or label are left out; of labels
+    of one id, and of one text, the greatest counts.  Without
     toxic or without clean rows there is nothing to learn, and every text gets grade 0.
     """
-    sample = labelled_sample(df, labels, text, doc_id, label, sample_documents, sample_bytes)
-    # Copies of one text would make its words look telling.
-    texts = {row["text"]: row["label"] for row in sample}
-    return _learn(list(texts), np.array(list(texts.values())), limit)
+    marks = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label"))
+    marks = marks.dropna().groupBy("id").agg((F.max("label") > 0).cast("int").alias("label"))
+    rows = df.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).dropna()
+    places = _joined(rows.withColumn("place", F.xxhash64("text")).select("id", "place"), marks)
+    firsts = places.groupBy("place").agg(F.min("id").alias("id"), F.max("label").alias("label"))
+    chosen = stored(firsts, "labelled")
+    totals = chosen.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("toxic")).first()
+    n, n_toxic = totals["n"], totals["toxic"] or 0
+    if not 0 < n_toxic < n:
+        return Model(np.zeros(0, np.int64), np.zeros(0), np.array([30.0]), limit)
+    held = _joined(rows, chosen.select("id", "label").dropDuplicates(["id"])).mapInArrow(
+        _held, "feature long, in_toxic long, in_all long"
+    )
+    held = held.groupBy("feature").agg(F.sum("in_toxic").alias("in_toxic"), F.sum("in_all").alias("in_all"))
+    share = F.col("in_all") / n
+    spread_ = F.sqrt(F.greatest(n_toxic * share * (1 - share), F.lit(1e-9)))
+    telling = (F.col("in_toxic") - n_toxic * share >= LEAST_DEVIATIONS * spread_) & (
+        F.col("in_toxic") >= max(LEAST_DOCUMENTS, LEAST_SHARE * n_toxic)
+    )
+    # A number a feature, of BUCKETS at most.
+    known = np.sort(held.where(telling).select("feature").toArrow()["feature"].to_numpy().astype(np.int64))
+    sample = chosen.orderBy("place").limit(sample_documents).select("id", "label").dropDuplicates(["id"])
+    found = rows.join(F.broadcast(sample), "id").mapInArrow(
+        _sparse(known), "id string, text_hash long, label int, features array<int>, values array<double>"
+    )
+    return _learn(found.toArrow(), known, limit)
+
+
+def _joined(rows: DataFrame, marks: DataFrame) -> DataFrame:
+    """The rows with a mark; no text is shuffled if the marks are few enough to be sent."""
+    return rows.join(F.broadcast(marks) if fits(marks, LABEL_BYTES) else marks, "id")
+
+
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many toxic and in how many documents of a task each feature is."""
+    in_toxic, in_all = (np.zeros(BUCKETS, dtype=np.int64) for _ in range(2))
+    for batch in chunks(batches, "text"):
+        rows, features, _, _, _ = _counts(batch.column("text"), None)
+        toxic = batch.column("label").to_numpy() > 0
+        np.add.at(in_all, features, 1)
+        np.add.at(in_toxic, features[toxic[rows]], 1)
+    some = np.flatnonzero(in_all)
+    columns = [pa.array(some), pa.array(in_toxic[some]), pa.array(in_all[some])]
+    yield pa.RecordBatch.from_arrays(columns, names=["feature", "in_toxic", "in_all"])
+
+
+def _sparse(known: np.ndarray):
+    """The telling features of each document, by their place in ``known``, with their values."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, "text"):
+            rows, features, counts, scale, n = _counts(batch.column("text"), known)
+            offsets = np.searchsorted(rows, np.arange(n + 1)).astype(np.int32)
+            columns = [
+                batch.column("id").cast(pa.string()),
+                pa.array([xxhash.xxh3_64_intdigest(t) >> 1 for t in batch.column("text").to_pylist()], pa.int64()),
+                batch.column("label"),
+                pa.ListArray.from_arrays(offsets, pa.array(features.astype(np.int32))),
+                pa.ListArray.from_arrays(offsets, pa.array(_values(counts, scale[rows]))),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "text_hash", "label", "features", "values"])
+
+    return run
+
+
+def _values(counts: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    return np.log1p(counts * scale)
 
 
 def grade(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -87,8 +157,9 @@ def grade(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, text):
-            rows, features, counts, n = _counts(batch.column(text), model.features)
-            at = np.bincount(rows, np.log1p(counts) * model.weights[features], minlength=n)
+            rows, features, counts, scale, n = _counts(batch.column(text), model.features)
+            values = _values(counts, scale[rows])
+            at = np.bincount(rows, values * model.weights[features], minlength=n)
             chances = _chances(at, model.thresholds)
             severity = chances @ np.arange(chances.shape[1])
             columns = [
@@ -108,10 +179,12 @@ def _words(texts: pa.Array) -> Words:
 
 
 def _counts(texts: pa.Array, known: np.ndarray | None):
-    """Sparse counts (text, feature, count) and the number of texts.  With ``known``, only those
-    features, by their place in it."""
+    """Sparse counts (text, feature, count), the factor that takes the counts of each text to
+    REFERENCE_WORDS, and the number of texts.  With ``known``, only those features, by
+    their place in it."""
     words = _words(texts)
     n = len(words.starts) - 1
+    scale = np.minimum(1.0, REFERENCE_WORDS / np.maximum(np.diff(words.starts), 1))
     ids, starts = _beginnings(words.vocabulary)
     owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
     if known is not None:
@@ -130,7 +203,7 @@ def _counts(texts: pa.Array, known: np.ndarray | None):
     flat = np.arange(total) + np.repeat(first[word_ids] - (ends - sizes), sizes)
     keys = np.repeat(rows, sizes) * np.int64(BUCKETS) + ids[flat]
     keys, counts = np.unique(keys, return_counts=True)
-    return keys // BUCKETS, keys % BUCKETS, counts, n
+    return keys // BUCKETS, keys % BUCKETS, counts, scale, n
 
 
 def _beginnings(vocabulary: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -149,38 +222,25 @@ def _beginnings(vocabulary: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return ids[starts[:-1]][order] if len(parts) else ids, np.concatenate([[0], np.cumsum(counts)])
 
 
-def _learn(texts: list[str], labels: np.ndarray, limit: float) -> Model:
-    toxic = labels > 0 if len(labels) else np.zeros(0, dtype=bool)
+def _learn(sample: pa.Table, known: np.ndarray, limit: float) -> Model:
+    order = sample.sort_by([("id", "ascending"), ("text_hash", "ascending")]).combine_chunks()
+    n = order.num_rows
+    toxic = order["label"].to_numpy() > 0
+    lists = [order[name].chunk(0) if n else pa.array([], pa.list_(pa.float64())) for name in ("features", "values")]
+    sizes = lists[0].value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    place, values = (array.flatten().to_numpy(zero_copy_only=False) for array in lists)
+    rows = np.repeat(np.arange(n), sizes)
     if not toxic.any() or toxic.all():
         return Model(np.zeros(0, np.int64), np.zeros(0), np.array([30.0]), limit)
-    n = len(texts)
-    parts = []
-    for at in range(0, n, FIT_STEP):
-        rows, features, counts, _ = _counts(pa.array(texts[at : at + FIT_STEP], pa.string()), None)
-        parts.append((rows + at, features, counts))
-        pa.default_memory_pool().release_unused()
-    rows, features, counts = (np.concatenate(column) for column in zip(*parts))
-    known, place = np.unique(features, return_inverse=True)
-    in_toxic = np.bincount(place, toxic[rows], minlength=len(known))
-    in_all = np.bincount(place, minlength=len(known))
-    share = in_all / n
-    expected = share * toxic.sum()
-    spread_ = np.sqrt(np.maximum(toxic.sum() * share * (1 - share), 1e-9))
-    least = max(LEAST_DOCUMENTS, LEAST_SHARE * toxic.sum())
-    telling = (in_toxic - expected >= LEAST_DEVIATIONS * spread_) & (in_toxic >= least)
-    known = known[telling]
-    kept = telling[place]
-    rows, values = rows[kept], np.log1p(counts[kept])
-    place = np.searchsorted(known, features[kept])
-    grades = _grades(toxic, rows, counts[kept])
+    grades = _grades(toxic, rows, values)
     weights, thresholds = _ascend(rows, place, values, grades, n, len(known))
     used = weights != 0
     return Model(known[used], weights[used], thresholds, limit)
 
 
-def _grades(toxic: np.ndarray, rows: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """0 for clean documents, 1 to GRADES for toxic ones by how many telling features they hold."""
-    held = np.bincount(rows, counts, minlength=len(toxic))
+def _grades(toxic: np.ndarray, rows: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """0 for clean documents, 1 to GRADES for toxic ones by how much of telling features they hold."""
+    held = np.bincount(rows, values, minlength=len(toxic))
     cuts = np.quantile(held[toxic], np.arange(1, GRADES) / GRADES)
     return np.where(toxic, 1 + np.searchsorted(cuts, held, side="left"), 0)
 
