@@ -113,3 +113,35 @@ def test_clean_keeps_rows_and_columns(spark):
     docs = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b")], "doc_id long, text string")
     found = spark.createDataFrame([(1, 5), (1, 6)], "doc_id long, item_id long")
     assert [tuple(r) for r in decontamination.clean(docs, found).collect()] == [(2, "b")] * 2
+
+
+def test_very_short_items_match_if_asked_for(spark):
+    items = [(1, "Paris is the capital"), (2, "forty two"), (3, "x"), (4, ""), (5, "a b c d e")]
+    documents = [
+        (1, "They say that Paris is the capital."), (2, "Forty-two, no: forty two!"), (3, "forty one two"),
+        (4, "x"), (5, "a b c d e"), (6, "Paris was the capital"), (7, "forty"),
+    ]
+    assert set(leaks(spark, documents, items)) == {(5, 5)}
+    assert set(leaks(spark, documents, items, least_item_tokens=2)) == {(1, 1), (2, 2), (5, 5)}
+    assert set(leaks(spark, documents, items, least_item_tokens=1)) == {(1, 1), (2, 2), (4, 3), (5, 5)}
+
+
+def test_rows_that_share_an_id_are_compared_one_by_one(spark):
+    rng = random.Random(8)
+    item, other = text(rng, 20), text(rng, 20)
+    long = " ".join(text(rng, 900))
+    documents = [(1, long), (1, " ".join(item)), (1, " ".join(item[:15])), (2, long), (2, " ".join(other)),
+                 (2, " ".join(other)), (None, " ".join(item))]
+    found = leaks(spark, documents, [(1, " ".join(item)), (2, " ".join(other))])
+    assert {key: r.share for key, r in found.items()} == {(1, 1): 1.0, (2, 2): 1.0}
+
+
+def test_a_phrase_of_all_items_and_documents(spark):
+    # The phrase alone is no leak; each document holds one item besides.
+    rng = random.Random(9)
+    phrase = text(rng, 7)
+    items = [phrase + text(rng, 30) for _ in range(40)]
+    documents = [(i, " ".join(text(rng, 50) + phrase + text(rng, 50) + items[i % 40][7:])) for i in range(120)]
+    found = leaks(spark, documents, [(i, " ".join(words)) for i, words in enumerate(items)])
+    assert set(found) == {(i, i % 40) for i in range(120)}
+    assert all(r.n_matched == 37 for r in found.values())

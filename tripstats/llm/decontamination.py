@@ -24,8 +24,10 @@ MASKS = ("111111", "11101011", "1101100111", "110100110101")
 # item that the comparison of a diagonal accepts (all patterns of substitutions were tried).
 SHORT_ITEM_TOKENS = 16
 LIGHT_MASKS = ("1010011", "10111", "100100011", "11101")
-# Shorter items say nothing about where a text comes from, and match nothing.
+# Shorter items say nothing about where a text comes from, and match nothing unless the caller says so.
 LEAST_ITEM_TOKENS = 5
+# A document row is sent once for each of so many parts of the items that it may hold.
+ITEM_PARTS = 16
 # A stretch of a diagonal counts if its matches exceed its mismatches, weighted, by so much.
 LEAST_SCORE = 5.0
 MISMATCH_WEIGHT = 1.0
@@ -53,6 +55,7 @@ def leaks(
     item_text: str = "text",
     least_share: float = LEAST_SHARE,
     least_stretch: int = LEAST_STRETCH,
+    least_item_tokens: int = LEAST_ITEM_TOKENS,
 ) -> DataFrame:
     """One row for each document and benchmark item that it holds, by share or by one long
     stretch: doc_id, item_id, n_item_tokens, n_matched (item tokens found in stretches of the
@@ -60,39 +63,34 @@ def leaks(
 
     A token is a word without case, punctuation and symbols, or a character of a script
     without spaces.  Null and empty texts have none
-    and leak nothing; rows without an id are left out.  Of rows with one id the longest text
-    counts as the document or item.  Other columns are not read.
+    and leak nothing; rows without an id are left out.  Rows that share an id are compared one by one, and that
+    with the greatest share is told; of items with one id the longest text counts.  Items of fewer tokens than
+    ``least_item_tokens`` match nothing; shorter ones than any mask match as a whole, without
+    substitutions.  Other columns are not read.
     """
     items = _texts(benchmark, item_id, item_text)
-    seeds = stored(_seeds(items), "seeds")
+    seeds = stored(_seeds(items, least_item_tokens), "seeds")
     lengths = [row["n"] for row in seeds.where("mask < 0").select(F.expr("-mask").alias("n")).distinct().collect()]
     light = not seeds.where(F.col("mask") >= len(MASKS)).isEmpty()
     known = _filter_words(seeds)
     hit = stored(_hits(_texts(documents, doc_id, text), sorted(lengths), known, light), "hits")
-    found = hit.select("id", F.explode("hits").alias("hit")).select("id", "hit.*")
+    # Equal rows are one; rows with one id and other tokens are told apart by these.
+    hit = hit.withColumn("row", F.xxhash64("tokens"))
+    found = hit.select("id", "row", F.explode("hits").alias("hit")).select("id", "row", "hit.*")
     diagonals = found.join(seeds.withColumnRenamed("id", "item").withColumnRenamed("place", "at"), ["mask", "seed"])
-    diagonals = stored(
-        diagonals.select("id", "item", (F.col("place") - F.col("at")).alias("diagonal")).distinct(),
-        "diagonals",
-    )
-    matched = stored(_compare(diagonals, _one_per_id(hit), _tokens(items)), "matched")
-    totals = matched.groupBy("id", "item").agg(
-        F.max("n").alias("n_item_tokens"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_matched"),
-        F.min("first").alias("first_token"),
-        F.max("last").alias("last_token"),
-        F.max("longest").alias("longest"),
+    diagonals = diagonals.select("id", "row", "item", (F.col("place") - F.col("at")).alias("diagonal"))
+    pairs = stored(
+        diagonals.groupBy("id", "row", "item").agg(F.collect_set("diagonal").alias("diagonals")), "pairs"
     )
+    texts = hit.groupBy("id", "row").agg(F.any_value("tokens").alias("tokens"))
+    matched = _compare(pairs, texts, _tokens(items))
     share = F.col("n_matched") / F.col("n_item_tokens")
     leaked = (F.col("share") >= least_share) | (F.col("longest") >= least_stretch)
-    return totals.withColumn("share", share).where(leaked).select(
-        F.col("id").alias("doc_id"),
-        F.col("item").alias("item_id"),
-        "n_item_tokens",
-        "n_matched",
-        "share",
-        "first_token",
-        "last_token",
+    held = matched.withColumn("share", share).where(leaked)
+    told = ["n_item_tokens", "n_matched", "share", "first_token", "last_token"]
+    most = F.max_by(F.struct(*told), F.struct("share", "n_matched", "row")).alias("told")
+    return held.groupBy(F.col("id").alias("doc_id"), F.col("item").alias("item_id")).agg(most).select(
+        "doc_id", "item_id", "told.*"
     )
 
 
@@ -156,7 +154,7 @@ def _masked(tokens: _Tokens, mask: int, extra: str | None = None):
     return places, seeds
 
 
-def _seeds(items: DataFrame) -> DataFrame:
+def _seeds(items: DataFrame, least_tokens: int) -> DataFrame:
     """(mask, seed, id, place) of the benchmark.  An item shorter than the first mask is one
     seed as a whole, under a mask number of its own."""
     shortest = min(len(mask) for mask in MASKS)
@@ -167,7 +165,7 @@ def _seeds(items: DataFrame) -> DataFrame:
             ids = batch.column("id").to_numpy(zero_copy_only=False)
             lengths = np.diff(tokens.starts)
             owners = np.repeat(np.arange(len(lengths)), lengths)
-            short = (lengths < shortest) & (lengths >= LEAST_ITEM_TOKENS)
+            short = (lengths < shortest) & (lengths >= max(1, least_tokens))
             plans = [(mask, None) for mask in range(len(_ALL_MASKS))]
             plans += [(-int(n), "1" * int(n)) for n in np.unique(lengths[short])]
             for mask, extra in plans:
@@ -253,26 +251,48 @@ def _tokens(items: DataFrame) -> DataFrame:
     return stored(_one_per_id(items.mapInArrow(run, "id long, tokens binary")), "items")
 
 
-def _compare(diagonals: DataFrame, documents: DataFrame, items: DataFrame) -> DataFrame:
-    """For each diagonal the item tokens that its good stretches match."""
-    wide = diagonals.join(items.toDF("item", "item_tokens"), "item").join(documents, "id")
+def _compare(pairs: DataFrame, documents: DataFrame, items: DataFrame) -> DataFrame:
+    """For each document row and item what the good stretches of all their diagonals match.
+
+    The tokens of a document come once for all items of a part, not once for each diagonal.
+    """
+    part = F.pmod(F.xxhash64("item"), F.lit(ITEM_PARTS)).alias("part")
+    own = F.struct("item", "item_tokens", "diagonals")
+    gathered = pairs.join(items.toDF("item", "item_tokens"), "item").groupBy("id", "row", part).agg(
+        F.collect_list(own).alias("pairs")
+    )
+    wide = gathered.join(documents, ["id", "row"]).select("id", "row", "pairs", "tokens")
+    names = ["id", "row", "item", "n_item_tokens", "n_matched", "first_token", "last_token", "longest"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for row in batch.to_pylist():
-                item = np.frombuffer(row["item_tokens"], np.uint64)
-                document = np.frombuffer(row["tokens"], np.uint64)
-                places, longest = _good_places(document, item, row["diagonal"])
-                if len(places):
-                    at = places + row["diagonal"]
-                    rows.append((row["id"], row["item"], len(item), places, int(at[0]), int(at[-1]), longest))
-            kinds = [pa.int64()] * 3 + [pa.list_(pa.int64())] + [pa.int64()] * 3
-            columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "item", "n", "places", "first", "last", "longest"])
-
-    fields = "id long, item long, n long, places array<long>, first long, last long, longest long"
-    return wide.select("id", "item", "diagonal", "item_tokens", "tokens").mapInArrow(run, fields)
+            for i in range(batch.num_rows):
+                document = np.frombuffer(batch.column("tokens")[i].as_py(), np.uint64)
+                at = batch.column("id")[i].as_py(), batch.column("row")[i].as_py()
+                for pair in batch.column("pairs")[i].as_py():
+                    item = np.frombuffer(pair["item_tokens"], np.uint64)
+                    found = _matched(document, item, pair["diagonals"])
+                    if found:
+                        rows.append((*at, pair["item"], len(item), *found))
+            columns = [pa.array(column, pa.int64()) for column in (zip(*rows) if rows else [[]] * len(names))]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return wide.mapInArrow(run, ", ".join(f"{name} long" for name in names))
+
+
+def _matched(document: np.ndarray, item: np.ndarray, diagonals: list[int]) -> tuple[int, ...] | None:
+    """How many item tokens the good stretches of some diagonals match, the first and the last place of
+    these in the document, and how many the longest stretch has; None if there is none."""
+    held, first, last, longest = set(), [], [], 0
+    for diagonal in diagonals:
+        places, stretch = _good_places(document, item, diagonal)
+        if len(places):
+            held.update(places.tolist())
+            first.append(int(places[0]) + diagonal)
+            last.append(int(places[-1]) + diagonal)
+            longest = max(longest, stretch)
+    return (len(held), min(first), max(last), longest) if held else None
 
 
 def _good_places(document: np.ndarray, item: np.ndarray, diagonal: int) -> tuple[np.ndarray, int]:
@@ -280,6 +300,9 @@ def _good_places(document: np.ndarray, item: np.ndarray, diagonal: int) -> tuple
     many of them the longest stretch has."""
     start, stop = max(0, -diagonal), min(len(item), len(document) - diagonal)
     equal = item[start:stop] == document[start + diagonal : stop + diagonal]
+    # No stretch can score more than it matches.
+    if equal.sum() < min(LEAST_SCORE, len(item)):
+        return np.zeros(0, dtype=np.int64), 0
     if equal.all():
         good = len(equal) >= min(LEAST_SCORE, len(item))
         return (np.arange(start, stop), len(equal)) if good else (np.zeros(0, dtype=np.int64), 0)
