@@ -196,6 +196,55 @@ def test_answers_equal_brute_force(spark, monkeypatch):
         assert {(r.conv_id, r.turn): (r.reply_to, r.n_linked) for r in linked(spark, rows)} == expected
 
 
+def test_sql_twin_on_quoted_conversations(spark):
+    import duckdb
+
+    from tripstats.llm.oracles import ORACLES
+
+    rng = random.Random(12)
+    words = ["hi", "all", "best", "See", "note", "one", "two", "so", "be", "it", "雨", "é!"]
+    rows = list(MESSAGES)
+    for conv in range(3, 9):
+        said = []
+        for turn in range(30):
+            own = [" ".join(rng.choices(words, k=rng.randrange(1, 6))) for _ in range(rng.randrange(4))]
+            parts = []
+            for _ in range(rng.randrange(3)):
+                lines = rng.choice(said) if said and rng.random() < 0.7 else [rng.choice(words)]
+                if rng.random() < 0.4:  # re-wrapped, or a part of it
+                    flat = " ".join(lines).split()
+                    flat = flat[rng.randrange(len(flat)):]
+                    cut = rng.randrange(len(flat) + 1)
+                    lines = [" ".join(flat[:cut]), " ".join(flat[cut:])]
+                marks = rng.choice(["> ", ">", ">> ", "> > "])
+                parts += [marks + line for line in lines] + rng.choice([[], [""], ["so"]])
+            if own:
+                said.append(own)
+            rows.append((conv, turn - rng.randrange(2), "a", "\n".join(parts + own) if rng.random() < 0.97 else None))
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    ours = [tuple(r) for r in quotations.link_quotes(df).select(
+        "conv_id", "turn", "role", "text", "n_quotes", "max_level", "reply_to", "n_linked", "thread", "depth").collect()]
+    conversations = df.toArrow()  # noqa: F841 - the SQL reads it by this name
+    theirs = duckdb.connect().execute(ORACLES["op4_quotation_linking"]).fetchall()
+    assert sorted(map(repr, ours)) == sorted(map(repr, theirs))
+    assert sum(row[6] is not None for row in ours) > 60 and max(row[9] for row in ours) > 3
+
+
+def test_the_twin_answers_the_message_quoted_most():
+    import duckdb
+
+    from tripstats.llm.oracles import ORACLES
+
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    for turn, text in ((0, "Hello there.\nFine."), (4, "Hello there.\nFine.\nNew point"),
+                       (5, "> Hello there.\n> Fine.\n> New point\nYes")):
+        connection.execute("INSERT INTO conversations VALUES (1, ?, 'a', ?)", [turn, text])
+    result = connection.execute(ORACLES["op4_quotation_linking"])
+    reply = [c[0] for c in result.description].index("reply_to")
+    assert sorted((row[1], row[reply]) for row in result.fetchall()) == [(0, None), (4, None), (5, 4)]
+
+
 def test_no_messages(spark):
     assert linked(spark, []) == []
 

@@ -80,22 +80,52 @@ WITH RECURSIVE messages AS (
     regexp_replace(line, '^(?:[ \t]*>)+', '') AS body
   FROM split
 ), normed AS (
-  SELECT *, trim(regexp_replace(lower(body), '[^\p{L}\p{N}]+', ' ', 'g')) AS norm,
+  SELECT *, trim(regexp_replace(regexp_replace(lower(body),
+      '([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])', ' \1 ', 'g'),
+      '[^\p{L}\p{N}]+', ' ', 'g')) AS norm,
     lag(level, 1, 0) OVER (PARTITION BY row_id ORDER BY place) AS level_before
   FROM lines
-), quoted AS (
-  SELECT conv_id, turn, level, norm, count(*) AS n FROM normed
+), numbered AS (
+  SELECT *, sum((level <> level_before)::INT) OVER (PARTITION BY row_id ORDER BY place) AS run FROM normed
+), passages AS (
+  SELECT row_id, run, string_agg(norm, ' ' ORDER BY place) AS passage FROM numbered
   WHERE level > 0 AND norm <> '' GROUP BY ALL
-), origins AS (
-  SELECT conv_id, norm, min(turn) AS origin FROM normed
+), quoted AS (
+  SELECT conv_id, turn, level, passage, norm AS line, count(*) AS n
+  FROM numbered JOIN passages USING (row_id, run) WHERE level > 0 AND norm <> '' GROUP BY ALL
+), units AS (
+  SELECT conv_id, passage AS unit FROM quoted UNION SELECT conv_id, line FROM quoted
+), own AS (
+  SELECT row_id, conv_id, turn AS origin, list(norm ORDER BY place) AS said FROM normed
   WHERE level = 0 AND norm <> '' GROUP BY ALL
+), held AS (
+  -- A message holds a unit as whole lines if some of its lines one after the other make it.
+  SELECT conv_id, unit, origin, bool_or(list_contains(flatten(list_transform(range(1, len(said) + 1),
+      lambda i: list_transform(range(i, len(said) + 1), lambda j: array_to_string(said[i:j], ' ')))), unit)) AS whole
+  FROM units JOIN own USING (conv_id)
+  WHERE contains(' ' || array_to_string(said, ' ') || ' ', ' ' || unit || ' ')
+  GROUP BY ALL
+), found AS (
+  SELECT q.*, CASE WHEN p.first < turn THEN passage WHEN l.first < turn THEN line END AS unit
+  FROM quoted q
+    LEFT JOIN (SELECT conv_id, unit, min(origin) AS first FROM held GROUP BY ALL) p
+      ON p.conv_id = q.conv_id AND p.unit = q.passage
+    LEFT JOIN (SELECT conv_id, unit, min(origin) AS first FROM held GROUP BY ALL) l
+      ON l.conv_id = q.conv_id AND l.unit = q.line
+), used AS (
+  SELECT conv_id, turn, unit, coalesce(sum(n) FILTER (level = 1), 0) AS direct, sum(n) AS n
+  FROM found WHERE unit IS NOT NULL GROUP BY ALL
+), met AS (
+  SELECT used.*, origin, whole, bool_or(whole) OVER (PARTITION BY conv_id, turn, unit) AS strict
+  FROM used JOIN held USING (conv_id, unit) WHERE origin < turn
 ), votes AS (
-  SELECT conv_id, turn, origin, coalesce(sum(n) FILTER (level = 1), 0) AS direct, sum(n) AS n
-  FROM quoted JOIN origins USING (conv_id, norm) WHERE origin < turn GROUP BY ALL
+  SELECT conv_id, turn, origin, sum(direct) AS direct, sum(n) AS n
+  FROM met WHERE whole OR NOT strict GROUP BY ALL
+), linked AS (
+  SELECT conv_id, turn, sum(n)::BIGINT AS n_linked FROM used GROUP BY ALL
 ), answered AS (
-  SELECT conv_id, turn, max({'d': direct, 'n': n, 'o': origin}).o AS reply_to,
-    sum(n)::BIGINT AS n_linked
-  FROM votes GROUP BY ALL
+  SELECT conv_id, turn, max({'d': direct, 'n': n, 'o': origin}).o AS reply_to, any_value(n_linked) AS n_linked
+  FROM votes JOIN linked USING (conv_id, turn) GROUP BY conv_id, turn
 ), chain AS (
   SELECT conv_id, turn, reply_to AS thread, 1::BIGINT AS depth FROM answered
   UNION ALL
