@@ -75,7 +75,8 @@ def near_duplicates(
 
     A-Z is lower-cased; words are separated by ASCII white space.  A text with fewer words than a
     shingle is one shingle, a text without words and a null text have none and link
-    with nothing.  Of rows with one id that with the largest set counts; rows without an id
+    with nothing.  Texts of any length are compared whole.  Of rows with one id that with the largest set counts,
+    of equally large sets that with the greatest digest; rows without an id
     are left out.  Other columns are not read.
     """
     rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))

@@ -44,7 +44,8 @@ def pack(
 
     A document's ids are those of its text and ``end_id``; a null text is empty, so every
     row has one piece or more.  Documents of up to ``capacity`` ids stay whole, longer ones
-    are cut every ``capacity`` ids.  Repeated rows and ids are packed like others.
+    are cut every ``capacity`` ids, so a text of any length is a run of pieces.  Repeated rows and ids are
+    packed like others; which of equally long pieces goes where follows the order of reading.
     Other columns are not returned.
     """
     cut_up = stored(pieces(df, tokenizer, cut, doc_id, text, capacity, end_id, keep_ids), "pieces")
