@@ -106,6 +106,42 @@ def test_means_are_those_of_the_features():
     assert features.references.tolist() == [[1, 0, 0], [0, 0, 0], [2, 0, 0]]
 
 
+def test_quality_by_hand(spark):
+    """Scores from the embeddings, word by word; long texts are learned from as well."""
+    rng = np.random.default_rng(2)
+    good, bad = "lorem ipsum dolor sit amet elit".split(), "buy now click here free win".split()
+    rows = [(i, " ".join(rng.choice(good if i % 2 else bad, rng.integers(3, 6000))), i % 2) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    labels = df.select("doc_id", "quality")
+    assert len(quality_model.labelled_sample(df, labels, "text", "doc_id", "quality", 200, 100)) == 120
+    model = quality_model.fit(df, labels, excerpt=500)
+    size = quality_model.BUCKETS - quality_model.BACK_REFERENCES
+
+    def by_hand(text):
+        words = text.split()
+        if not words:
+            mean = np.zeros(quality_model.DIMENSIONS)
+        else:
+            vectors = []
+            for at, word in enumerate(words):
+                ids, _ = word_features([word], quality_model.SIZES, size)
+                vectors.append(model.embeddings[ids].mean(axis=0, dtype=float))
+                for back in range(1, quality_model.BACK_REFERENCES + 1):
+                    if at >= back and words[at - back] == word:
+                        vectors[-1] = vectors[-1] + model.embeddings[size + back - 1]
+                        break
+            mean = np.sum(vectors, axis=0) / len(words)
+        odds = mean @ model.layer + model.bias
+        return float(1 / (1 + np.exp(np.clip(odds[0] - odds[1], -500, 500))))
+
+    texts = ["", "lorem", "free free free win", "lorem ipsum buy lorem", "Ünknown words é é", " ".join(good * 50), rows[0][1]]
+    got = quality_model.score(spark.createDataFrame([(t,) for t in texts], "text string"), model).collect()
+    for row in got:
+        assert row.score == pytest.approx(by_hand(row.text), abs=1e-5)
+    scores = {r.doc_id: r.score for r in quality_model.score(df, model).collect()}
+    assert all((scores[i] > 0.5) == bool(label) for i, _, label in rows)
+
+
 def test_grade_chances_add_up_and_thresholds_rise(spark):
     rng = np.random.default_rng(1)
     texts = [("w%d " % rng.integers(50)) * 5 + "vile " * int(n) for n in rng.integers(0, 4, 400)]
