@@ -109,3 +109,12 @@ def test_components(spark, seed):
 
 def test_no_edges(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_long_texts_fill_blocks_sooner(spark, monkeypatch):
+    from tripstats.llm import near_duplicates as module
+
+    monkeypatch.setattr(module, "BLOCK_BYTES", 4000)
+    words = [f"w{i}" for i in range(700)]
+    rows = [(i, " ".join(words[i * 8 : i * 8 + 200])) for i in range(40)]
+    assert found(spark, rows, Settings(3, 85)) == brute_force(rows, 3, 85)

@@ -35,8 +35,10 @@ MISS_CHANCE = 1e-6
 HASHES = 192
 # Signatures count as agreeing down to so many standard deviations below the threshold.
 DEVIATIONS = 5.0
-# Members of a block; two blocks of sets meet in one task.
+# Members of a block, at most; two blocks of sets meet in one task.
 BLOCK = 256
+# And at most about so many bytes of shingle hashes.
+BLOCK_BYTES = 16 << 20
 
 _SKETCH = "doc_id long, n_shingles long, digest binary, signature binary, bands array<long>"
 
@@ -302,8 +304,13 @@ def _links_between(
     )
     labels = open_spots.select("rep", "component").distinct()
     placed = groups.select(F.col("id").alias("rep"), F.col("component").alias("grp"))
-    counted = stored(placed.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).where("n > 2"), "sizes")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    widths = sets.select(F.col("doc_id").alias("rep"), F.length("content").alias("width"))
+    counted = placed.join(widths, "rep").groupBy("grp").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("width").alias("bytes")
+    )
+    counted = stored(counted.where("n > 2"), "sizes")
+    # Sets of long texts fill a block sooner.
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
     block = F.pmod(F.xxhash64("rep"), blocks).cast("int")
     placed = placed.join(counted, "grp").join(labels, "rep").select(
         "rep", "component", "grp", blocks.alias("blocks"), block.alias("block")
