@@ -520,7 +520,7 @@ ORACLES: dict[str, str] = {
         WHERE cast(concat('0x', substr(digest, 1, 4)) AS int) >= 49152""",
 }
 
-ORACLES["station_stream_batches"] = ORACLES["station_stream"]
+ORACLES["station_stream_batches"] = ORACLES["station_stream_bounded"] = ORACLES["station_stream"]
 
 # (table, its rows, key, measures)
 _REPORTS = [

@@ -661,12 +661,31 @@ def station_stream_batches(spark, folder):
     landed = scratch_path(spark, "status-documents")
     documents = standins.station_documents(spark, folder)
     documents.repartition(6, "document").select("value").write.text(landed)
+    table = scratch_path(spark, "station-status")
+    _follow(spark, landed, table, scratch_path(spark, "stream-checkpoint"), caught_up=True)
+    return station_status.read_station_status(spark, table).select(
+        "id", "station_name", "available_bikes", "available_docks"
+    )
+
+
+@query
+def station_stream_bounded(spark, folder):
+    """As station_stream_batches, by a run that is stopped after a second, wherever it is then, and one that goes
+    on from its checkpoint."""
+    landed = scratch_path(spark, "status-documents")
+    documents = standins.station_documents(spark, folder)
+    documents.repartition(6, "document").select("value").write.text(landed)
     table, checkpoint = (scratch_path(spark, name) for name in ("station-status", "stream-checkpoint"))
+    _follow(spark, landed, table, checkpoint, seconds=1)
+    _follow(spark, landed, table, checkpoint, caught_up=True)
+    return station_status.read_station_status(spark, table).select(
+        "id", "station_name", "available_bikes", "available_docks"
+    )
+
+
+def _follow(spark, landed, table, checkpoint, **bound):
     jobs.follow_stations(
         spark, table, checkpoint, fmt="text",
         option=[f"path={landed}", "wholetext=false", "pathGlobFilter=part-*"],
-        per_batch=2, caught_up=True, order_by=["snapshot_time", "position"],
-    )
-    return station_status.read_station_status(spark, table).select(
-        "id", "station_name", "available_bikes", "available_docks"
+        per_batch=2, order_by=["snapshot_time", "position"], **bound,
     )

@@ -195,3 +195,11 @@ def test_options_that_bound_a_batch():
     assert _admission("kafka", None, None) == _admission("text", None, 8) == {}
     with pytest.raises(ValueError, match="per_batch"):
         _admission("text", 0, None)
+
+
+def test_progress_counts_malformed_documents(spark, landed, tmp_path):
+    from tripstats.streaming.station_status import DOCUMENTS
+
+    folder, _ = landed
+    told = [p.observedMetrics[DOCUMENTS] for p in batches(run(spark, folder, tmp_path))]
+    assert sum(row["read"] for row in told) == 5 and sum(row["bad"] for row in told) == 1
