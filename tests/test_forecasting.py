@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tripstats.fixed_values import PREDICTION_KEY
 from tripstats.plans import forecasting
@@ -68,3 +69,15 @@ def test_rows_are_stored_in_the_shared_folder(spark, demand_rows):
     assert "Scan ExistingRDD" in stored._jdf.queryExecution().executedPlan().toString()
     assert folder in spark.sparkContext.getCheckpointDir()
     assert stored.count() == demand_rows.count()
+
+
+def test_trees_without_a_split(spark):
+    from pyspark.ml.regression import GBTRegressor
+
+    from tripstats.plans import tree_nodes
+
+    rows = spark.range(20).select("id", F.lit(1.0).alias("x"), F.lit(4.0).alias(forecasting.LABEL))
+    model = GBTRegressor(labelCol=forecasting.LABEL, maxIter=3).fit(forecasting.assembler(["x"]).transform(rows))
+    nodes = tree_nodes.node_table(spark, model)
+    found = tree_nodes.predict_by_nodes(rows, nodes, ["x"], ["id"], *tree_nodes.size(model))
+    assert {r.prediction for r in found.collect()} == {4.0} and found.count() == 20

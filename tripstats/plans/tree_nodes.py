@@ -60,12 +60,18 @@ def predict_by_nodes(
 
     Models have at most a few thousand nodes (their depth and number of trees bound them), so a
     join is a broadcast; the trees of a row meet by its key at the end, summed in each task first.
+    The roots, one a tree, are known to all rows: the first step needs no join.
     """
-    trees = F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")
+    roots = nodes.filter(F.col("node") == _ROOT).orderBy("tree").collect()
+    kinds = {"feature": "int", "threshold": "double", "left": "int", "right": "int"}
+    splits = [F.lit([root[c] for root in roots]).cast(f"array<{kind}>") for c, kind in kinds.items()]
+    feature, threshold, left, right = (F.element_at(split, F.col("tree") + 1) for split in splits)
     nodes = F.broadcast(nodes)
     values = F.array(*(F.col(name).cast("double") for name in features)).alias("values")
-    at = rows.select(*key, values, trees, F.lit(_ROOT).alias("node"))
-    for _ in range(depth):
+    at = rows.select(*key, values, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+    below = F.when(F.element_at("values", feature + 1) <= threshold, left).otherwise(right)
+    at = at.withColumn("node", F.when(feature.isNull(), F.lit(_ROOT)).otherwise(below))
+    for _ in range(depth - 1):
         step = nodes.select("tree", "node", "left", "right", "feature", "threshold")
         value = F.element_at("values", F.col("feature") + 1)
         below = F.when(value <= F.col("threshold"), F.col("left")).otherwise(F.col("right"))
