@@ -19,7 +19,7 @@ from tokenizers import Tokenizer
 from tripstats.llm.common import ragged
 
 # Distinct words that a task remembers; beyond, it starts anew.
-MOST_WORDS = 1_000_000
+MOST_WORDS = 2_000_000
 # Text cut at a time: the more, the fewer words are met again.
 TEXT_BYTES = 2 << 20
 # Words given to the tokenizer at a time; its answers are far larger than the ids.
@@ -113,9 +113,10 @@ class TextEncoder:
             self.ids = np.concatenate([self.ids, flat])
             self.starts = np.concatenate([self.starts, starts])
             self.sizes = np.concatenate([self.sizes, sizes])
-            keys = np.concatenate([self.keys, key[unknown]])
-            order = np.argsort(keys, kind="stable")
-            self.keys = keys[order]
-            self.checks = np.concatenate([self.checks, check[unknown]])[order]
-            self.slots = np.concatenate([self.slots, places[unknown].astype(np.int32)])[order]
+            # The known keys stay in order; only the new ones are sorted.
+            new = unknown[np.argsort(key[unknown], kind="stable")]
+            at = np.searchsorted(self.keys, key[new])
+            self.keys = np.insert(self.keys, at, key[new])
+            self.checks = np.insert(self.checks, at, check[new])
+            self.slots = np.insert(self.slots, at, places[new])
         return places
