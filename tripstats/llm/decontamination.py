@@ -40,6 +40,8 @@ LEAST_STRETCH = 13
 FILTER_BITS = 1 << 27
 
 _ALL_MASKS = MASKS + LIGHT_MASKS
+# Powers of an odd number, which lose no bit: one for each position of a mask.
+_FACTORS = np.multiply.accumulate(np.full(64, 0xD1342543DE82EF95, dtype=np.uint64))
 
 _NO_TOKEN = regex.compile(r"[^\p{L}\p{N}]+")
 # Scripts without spaces.
@@ -142,16 +144,15 @@ def _masked(tokens: _Tokens, mask: int, extra: str | None = None):
     """The seeds of one mask at every place where it fits into a text: (place in
     the batch, seed)."""
     pattern = extra or _ALL_MASKS[mask]
-    n = len(tokens.hashes)
+    n, width = len(tokens.hashes), len(pattern)
     ends = np.repeat(tokens.starts[1:], np.diff(tokens.starts))
-    places = np.flatnonzero(np.arange(n) + len(pattern) <= ends)
-    seeds = np.full(len(places), 17 + mask, dtype=np.uint64) if mask >= 0 else np.full(
-        len(places), 1000 - mask, dtype=np.uint64
-    )
+    places = np.flatnonzero(np.arange(n) + width <= ends)
+    # A sum of the tokens read, each by a factor of its position, scrambled at the end.
+    sums = np.full(max(n - width + 1, 0), 17 + mask if mask >= 0 else 1000 - mask, dtype=np.uint64)
     for step, bit in enumerate(pattern):
         if bit == "1":
-            seeds = mixed(seeds + tokens.hashes[places + step])
-    return places, seeds
+            sums += tokens.hashes[step : step + len(sums)] * _FACTORS[step]
+    return places, mixed(sums[places])
 
 
 def _seeds(items: DataFrame, least_tokens: int) -> DataFrame:
