@@ -670,8 +670,8 @@ def station_stream_batches(spark, folder):
 
 @query
 def station_stream_bounded(spark, folder):
-    """As station_stream_batches, by a run that is stopped after a second, wherever it is then, and one that goes
-    on from its checkpoint."""
+    """As station_stream_batches, by a run that is stopped after a second and the batch under way then, and
+    one that goes on from its checkpoint."""
     landed = scratch_path(spark, "status-documents")
     documents = standins.station_documents(spark, folder)
     documents.repartition(6, "document").select("value").write.text(landed)

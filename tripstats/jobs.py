@@ -10,10 +10,12 @@ Order: weather-sites, weather-hours, stations, trips, enrich; then the rest.
 import argparse
 import functools
 import logging
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tripstats import sinks, sources
 from tripstats.fixed_values import (
@@ -48,6 +50,9 @@ _log = logging.getLogger(__name__)
 # Trips are stored by month, so that a filter on time skips whole folders.
 TRIP_PARTITIONS = ["start_year", "start_month"]
 
+# A bounded run of a stream waits so long for the batch under way.
+GRACE_SECONDS = 60
+
 def weather_sites(spark: SparkSession, nearby: str, records: str, out: str) -> None:
     listed, counted = Observation(), Observation()
     near = sources.read_nearby_sites(spark, nearby, listed)
@@ -220,7 +225,10 @@ def follow_stations(
         order_by=tuple(order_by or station_status.ARRIVAL_ORDER),
         trigger={"availableNow": True} if caught_up else None,
     )
-    run.awaitTermination(seconds)
+    if seconds is None:
+        run.awaitTermination()
+    elif not run.awaitTermination(seconds):
+        _let_batch_end(run)
     run.stop()
     # The last hundred batches; each has told its own counts in its progress.
     told = [p.observedMetrics.get(station_status.DOCUMENTS) for p in run.recentProgress]
@@ -229,6 +237,14 @@ def follow_stations(
         _log.warning("%s of the last %s station documents could not be read", bad, read)
 
 
+def _let_batch_end(run: StreamingQuery) -> None:
+    """A batch under way is finished before the stream is stopped, unless that takes too long; if it is cut
+    off, the next run plays it again."""
+    until = time.monotonic() + GRACE_SECONDS
+    while run.isActive and run.status["isTriggerActive"] and time.monotonic() < until:
+        time.sleep(0.1)
+
+
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="tripstats.jobs")
     jobs = parser.add_subparsers(dest="job", required=True)
