@@ -267,6 +267,20 @@ def test_within_radius_equals_brute_force(spark, km, spread, broadcast_bytes):
     assert len(found) > 0
 
 
+def test_within_radius_without_broadcast_is_never_broadcast(spark):
+    left, right = scattered(1, 120, 0.05), scattered(2, 90, 0.05)
+    pairs = within_radius(
+        places(spark, left),
+        places(spark, right, "e int, lat double, lng double"),
+        4,
+        right_point=("lat", "lng"),
+        broadcast_bytes=-1,
+    )
+    assert {(r.id, r.e) for r in pairs.collect()} == brute_force_pairs(left, right, 4)
+    plan = executed_plan(pairs)
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_within_radius_is_strict_and_skips_missing_coordinates(spark):
     left = places(spark, [(1, 0.0, 0.0), (2, None, 0.0)])
     right = places(
