@@ -294,3 +294,21 @@ def test_bikes_of_changed_months_only(spark, rows):
     assert rows(bikes.monthly_bikes(chosen)) == rows(bikes.of_months(monthly, [(2018, 1), (2019, 2)]))
     assert bikes.of_months(trips, []).isEmpty()
     assert rows(bikes.count_bikes(monthly.where("false"))) == [(0,)]
+
+
+def test_bitmaps_are_built_after_the_shuffle(spark, rows):
+    from tripstats.plans import bikes
+
+    n = F.col("id")
+    trips = spark.range(3000).repartition(8).select(
+        ((n * 7919) % 100_003).alias("bike_id"),
+        (2018 + n % 2).cast("int").alias("start_year"),
+        (1 + n % 3).cast("int").alias("start_month"),
+    )
+    monthly = bikes.monthly_bikes(trips)
+    counted = bikes.count_bikes(monthly, *bikes.MONTH)
+    expected = trips.groupBy(*bikes.MONTH).agg(F.countDistinct("bike_id"))
+    assert rows(counted) == rows(expected)
+    plan = executed_plan(monthly)
+    # No map task sends a bitmap of its own for a month and bucket.
+    assert plan.index("partial_bitmap_construct_agg") < plan.index("Exchange")

@@ -20,8 +20,17 @@ def monthly_bikes(trips: DataFrame, bike: str = "bike_id") -> DataFrame:
     are left out."""
     known = trips.dropna(subset=[bike, *MONTH])
     number = F.col(bike).cast("long")
-    return known.groupBy(*MONTH, F.bitmap_bucket_number(number).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bikes")
+    bits = known.select(
+        *MONTH,
+        F.bitmap_bucket_number(number).alias("bucket"),
+        F.bitmap_bit_position(number).alias("_bit"),
+    )
+    # The rows, not a 4 KB bitmap of each task for each month and bucket, are shuffled: a bitmap
+    # is built once, in the task that gets all rows of its month and bucket.
+    return (
+        bits.repartition(*BIKES_KEY)
+        .groupBy(*BIKES_KEY)
+        .agg(F.bitmap_construct_agg("_bit").alias("bikes"))
     )
 
 
