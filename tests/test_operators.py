@@ -361,3 +361,56 @@ def test_split_is_whole_repeatable_and_about_right(spark, rows):
 def test_split_takes_null_keys(spark):
     first, second = split_by_key(spark.createDataFrame([(None,), (1,)], "k int"), ["k"])
     assert first.count() + second.count() == 2
+
+
+def joined_sides(monkeypatch, spark):
+    """Both sides of each join made from now on."""
+    sides = []
+    kind = type(spark.range(1))
+    original = kind.join
+
+    def spy(self, other, on=None, how=None):
+        sides.append((self, other))
+        return original(self, other, on, how)
+
+    monkeypatch.setattr(kind, "join", spy)
+    return sides
+
+
+def test_radius_join_copies_right_rows_only_where_they_are_needed(spark, monkeypatch):
+    # A grid of points 2.2 km apart or less: no cell has a task's share of them.
+    left = [(i, 10.0 + i % 30 * 0.02, 20.0 + i // 30 * 0.02) for i in range(900)]
+    right = [(i, lat + 0.005, lng - 0.003) for i, lat, lng in left]
+    sides = joined_sides(monkeypatch, spark)
+    pairs = within_radius(
+        places(spark, left),
+        places(spark, right, "e int, lat double, lng double"),
+        1,
+        right_point=("lat", "lng"),
+        broadcast_bytes=-1,
+    )
+    assert {(r.id, r.e) for r in pairs.collect()} == brute_force_pairs(left, right, 1)
+    ((facts, lookup),) = sides
+    assert facts.count() == 900
+    # Eight cells of sixteen salts before.
+    assert lookup.count() < 6 * 900
+
+
+def test_radius_join_still_spreads_a_crowded_cell(spark, monkeypatch):
+    left = scattered(1, 300, 0.0001) + [(300 + i, -30.0 + i * 0.05, 60.0) for i in range(60)]
+    right = [(i, lat, lng) for i, lat, lng in left[::6]]
+    sides = joined_sides(monkeypatch, spark)
+    pairs = within_radius(
+        places(spark, left),
+        places(spark, right, "e int, lat double, lng double"),
+        1,
+        right_point=("lat", "lng"),
+        broadcast_bytes=-1,
+    )
+    found = [(r.id, r.e) for r in pairs.collect()]
+    assert len(found) == len(set(found))
+    assert set(found) == brute_force_pairs(left, right, 1)
+    ((facts, _),) = sides
+    crowded = facts.groupBy("_cell").agg(F.countDistinct("_salt").alias("salts")).orderBy(F.desc("salts"))
+    salts = [r["salts"] for r in crowded.collect()]
+    assert salts[0] > 1 and salts[-1] == 1
