@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pytest
 
 from tripstats.llm import range_coder, token_files
 
@@ -72,3 +73,14 @@ def test_carries_reach_numbers_already_written():
     for most_ids in (4, 1 << 24):
         words = range_coder.encode(blocks, lengths, most_ids)
         assert (range_coder.decode(words, lengths, most_ids) == blocks).all()
+
+
+def test_blocks_of_other_lengths():
+    rng = np.random.default_rng(5)
+    most = (1 << 16) - 1
+    for most_ids in (1 << 16, 1 << 24):
+        block = (rng.zipf(1.3, (1, most)) % most_ids).astype(np.uint32)
+        words = range_coder.encode(block, np.array([most]), most_ids)
+        assert (range_coder.decode(words, np.array([most]), most_ids) == block).all()
+    with pytest.raises(ValueError, match="at most"):
+        range_coder.encode(np.zeros((1, most + 1), dtype=np.uint32), np.array([most + 1]))
